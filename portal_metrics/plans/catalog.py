@@ -74,3 +74,30 @@ _model_query("doc2_views_by_website_month", R.doc_views_by_website_month)
 _model_query("doc3_top_pages", R.doc_top_pages)
 _model_query("doc4_traffic_by_channel", R.doc_traffic_by_channel)
 _model_query("doc5_class_distribution", R.doc_class_distribution, date_from=DOC_FROM, date_to=DOC_TO)
+
+# ---------------------------------------------------------------- MEA-1..38
+from . import measures as MS  # noqa: E402
+
+STRATEGY = Filters(equals={"newscategory": ["Strategy"]})
+NARROW_CONTENT = Filters(date_from=19960101, date_to=19960107, page_url="/promo")
+COVERAGE_FILTER = Filters(date_from=19970101, date_to=19970331, equals={"newscategory": ["Strategy"]})
+
+_model_query("mea01_07_core_by_contenttype", MS.core_measures, by=["contenttype"])
+_model_query("mea08_09_reach_rate_by_month", MS.reach_rate, by=["year_month"])
+_model_query("mea10_daily_average_uv_by_channel", MS.daily_average_uv, by=["referrerapplicationid"])
+_model_query("mea11_reach_by_region", MS.reach_by_segment, segment="employeeregion")
+_model_query("mea12_reach_by_division", MS.reach_by_segment, segment="employeebusinessdivision")
+_model_query("mea13_reach_mom_change", MS.reach_mom_change)
+_model_query("mea14_reach_trend_6m", MS.reach_trend_6m)
+_model_query("mea15_17_homepage_article_ctr", MS.homepage_article_ctr, by=["referrerapplicationid"])
+_model_query("mea18_21_journey_depth", MS.journey_depth, by=["referrerapplicationid"])
+_model_query("mea22_engagement_conversion", MS.engagement_conversion, by=["contenttype"])
+_model_query("mea23_24_channel_measures", MS.channel_measures, by=["contenttype"])
+_model_query("mea25_page_ranks", MS.page_ranks)
+_model_query("mea26_27_theme_context", MS.attribute_context, attribute="theme", detail="pagename")
+_model_query("mea28_30_performance_vs_avg", MS.performance_vs_avg, by=["pagename"])
+_model_query("mea31_division_reach_for_content", MS.division_reach_for_content, filters=STRATEGY)
+_model_query("mea32_divisions_not_reached", MS.segments_not_reached, filters=NARROW_CONTENT)
+_model_query("mea33_target_region_match", MS.target_match, by=["targetregion"])
+_model_query("mea34_35_category_measures", MS.category_measures, by=["referrerapplicationid"])
+_model_query("mea36_38_coverage", MS.coverage, filters=COVERAGE_FILTER)

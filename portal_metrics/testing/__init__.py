@@ -1,0 +1,9 @@
+"""Oracle SQL twins of the registered queries (DuckDB dialect)."""
+
+
+def all_sql() -> dict[str, str]:
+    from . import oracle_measures, oracle_sql
+    out: dict[str, str] = {}
+    for mod in (oracle_sql, oracle_measures):
+        out.update(mod.SQL)
+    return out
