@@ -85,3 +85,14 @@ def calendar_summary(dim: DataFrame) -> DataFrame:
 def calendar_days(start, end) -> int:
     """Row count of a calendar range, known without running a job."""
     return (_to_date(end) - _to_date(start)).days + 1
+
+
+def date_dim_spanning(df: DataFrame, col: str) -> DataFrame:
+    """Calendar covering the [min, max] dates of ``col`` in ``df``.
+
+    The bounds come from one aggregate; the spine is exploded from that
+    single row, so its size is the number of days spanned (bounded by the
+    data's date range, not its row count)."""
+    b = df.agg(F.min(F.to_date(F.col(col))).alias("lo"), F.max(F.to_date(F.col(col))).alias("hi"))
+    spine = b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("d"))
+    return spine.select(*calendar_columns(F.col("d")))

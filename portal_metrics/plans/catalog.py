@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.filters import Filters
 from ..sources.tpch_star import star_from_tpch
@@ -101,3 +102,117 @@ _model_query("mea32_divisions_not_reached", MS.segments_not_reached, filters=NAR
 _model_query("mea33_target_region_match", MS.target_match, by=["targetregion"])
 _model_query("mea34_35_category_measures", MS.category_measures, by=["referrerapplicationid"])
 _model_query("mea36_38_coverage", MS.coverage, filters=COVERAGE_FILTER)
+
+# ------------------------------------------------------------- VAL, DIM, FIL
+from ..functions import calendar as CAL  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..schemas import FACT_KEY  # noqa: E402
+from ..sources.tpch_star import journey_events, read_table  # noqa: E402
+from . import search as SR  # noqa: E402
+
+_q = lambda name: (lambda f: CATALOG.__setitem__(name, f))
+
+_q("val1_duplicate_page_ids")(lambda s, d: Q.duplicate_keys(_star(s, d).page_inventory, ["marketingpageid"]))
+_q("val1_duplicate_page_names")(lambda s, d: Q.duplicate_keys(_star(s, d).page_inventory, ["pagename"]))
+_q("val2_duplicate_fact_keys")(lambda s, d: Q.duplicate_keys(_star(s, d).fact, FACT_KEY))
+_q("val3_4_fact_key_stats")(lambda s, d: Q.key_stats(_star(s, d).fact, FACT_KEY))
+_q("val5_orphan_pages")(lambda s, d: Q.orphans(_star(s, d).fact, _star(s, d).page_inventory, "marketingpageid"))
+_q("val6_quality_summary")(lambda s, d: Q.quality_summary(_star(s, d)))
+_q("val7_unmatched_visitors")(lambda s, d: Q.unmatched_visitors(_star(s, d).fact, _star(s, d).employee_contact))
+
+_q("dim1_9_calendar_span")(lambda s, d: CAL.date_dim_spanning(read_table(s, d, "orders"), "o_orderdate"))
+_q("dim10_calendar_summary")(lambda s, d: CAL.calendar_summary(
+    CAL.date_dim_spanning(read_table(s, d, "orders"), "o_orderdate")))
+
+FIL_SITE = Filters(date_from=19960101, date_to=19971231, website="brand#1")
+FIL_URL = Filters(page_url="/promo/")
+FIL_EQ = Filters(page_name="ring", equals={"contenttype": ["Homepage", "Article"],
+                                           "employeeregion": ["ASIA", "EUROPE"]})
+AS_OF = "2000-06-15"
+_model_query("fil01_03_filtered_monthly", R.monthly_uv, filters=FIL_SITE)
+_model_query("fil04_url_top_pages", R.top_pages_by_views, filters=FIL_URL)
+_model_query("fil05_06_equals_region", R.uv_by_region, filters=FIL_EQ)
+_q("fil18_search_websites")(lambda s, d: SR.search_websites(_star(s, d).page_inventory, "#1"))
+_q("fil19_search_pages")(lambda s, d: SR.search_pages(_star(s, d).page_inventory, "/promo/", 50))
+_q("fil20_date_range")(lambda s, d: SR.date_range(_star(s, d).fact))
+
+# ---------------------------------------------------------------- DSH-1..17
+from . import dashboards as DS  # noqa: E402
+
+STRATEGIC_MONTH = Filters(date_from=19960101, date_to=19960131)
+_model_query("dsh01_executive_cards", DS.executive_cards)
+_model_query("dsh02_reach_vs_target", DS.reach_vs_target)
+_model_query("dsh03_monthly_reach_by_region", DS.monthly_reach_by_region)
+_model_query("dsh04_content_cards", DS.content_cards)
+_model_query("dsh05_content_quadrants", DS.content_quadrants)
+_model_query("dsh06_content_table", DS.content_table)
+_model_query("dsh07_funnel", DS.funnel)
+_model_query("dsh08_channel_mix", DS.channel_mix)
+_model_query("dsh09_channel_table", DS.channel_table)
+_model_query("dsh10_coverage_gauges", DS.coverage_gauges, filters=COVERAGE_FILTER)
+_model_query("dsh11_gap_matrix", DS.gap_matrix, filters=STRATEGIC_MONTH)
+_model_query("dsh12_missing_divisions", DS.missing_divisions, filters=STRATEGIC_MONTH)
+_model_query("dsh13_strategic_vs_general", DS.strategic_vs_general)
+_model_query("dsh14_theme_engagement_split", DS.theme_engagement_split)
+_model_query("dsh15_theme_topic_tree", DS.theme_topic_tree)
+_model_query("dsh16_uv_by_newscategory", DS.uv_by_attribute, attribute="newscategory")
+_model_query("dsh17_low_reach_strategic_pages", DS.low_reach_strategic_pages)
+
+# ---------------------------------------------------------------- ASK-1..20
+from . import questions as QS  # noqa: E402
+
+_model_query("ask01_generic_report", R.report, by=["contenttype", "referrerapplicationid"],
+             metrics=("uv", "views", "engagement_rate"))
+_model_query("ask02_period_compare", QS.period_compare, period_a=(19970101, 19970331),
+             period_b=(19970401, 19970630))
+_model_query("ask03_growth_by_channel", QS.growth, by=("referrerapplicationid",), metric="uv", grain="month")
+_model_query("ask03_fastest_growing_sites", QS.fastest_growing, by=("websitename",), metric="views",
+             grain="quarter", k=5)
+_model_query("ask04_trend_last6_months", QS.trend, grain="month", n_periods=6, as_of=AS_OF)
+_model_query("ask05_zero_engagement_pages", QS.zero_engagement_pages, filters=STRATEGIC_MONTH)
+_model_query("ask06_ignored_pages", QS.ignored_pages, filters=STRATEGIC_MONTH)
+_model_query("ask07_comments_without_likes", QS.comments_without_likes, filters=STRATEGIC_MONTH)
+_model_query("ask08_top_by_ratio", QS.top_by_ratio, min_views=100, k=20)
+_model_query("ask09_day_of_week_profile", QS.day_of_week_profile)
+_model_query("ask09_weekend_profile", QS.day_of_week_profile, weekend=True)
+_model_query("ask10_peak_month", QS.peak_period, grain="month", metric="uv")
+_model_query("ask11_segment_share", QS.segment_share, segment="employeeclass", metric="uv")
+_model_query("ask12_ab_compare", QS.ab_compare, filters_a=Filters(equals={"newscategory": ["Culture"]}),
+             filters_b=Filters(equals={"newscategory": ["Strategy"]}))
+_model_query("ask13_benchmark_page", QS.benchmark_page, page_id="1", group="contenttype")
+_model_query("ask14_co_visit", QS.co_visit, filter_a=Filters(equals={"contenttype": ["Homepage"]}),
+             filter_b=Filters(equals={"contenttype": ["Article"]}), by=("referrerapplicationid",))
+_model_query("ask15_content_engagers", QS.content_engagers, content=STRATEGY, by=("contenttype",))
+_model_query("ask16_reach_gap", QS.reach_gap, segment="employeebusinessdivision")
+_model_query("ask17_target_org_match", QS.target_audience_match, kind="organization")
+_q("ask19_page_lookup")(lambda s, d: QS.page_lookup(_star(s, d), "ring")["pages"])
+_q("ask19_page_lookup_by_region")(lambda s, d: QS.page_lookup(_star(s, d), "ring")["by_region"])
+_q("ask20_period_summary")(lambda s, d: QS.period_summary(_star(s, d), QS.named_periods(AS_OF)))
+
+# ----------------------------------------------------------- ASK-18 journeys
+from ..operators import journeys as J  # noqa: E402
+
+
+def _sessions(s, d):
+    return J.sessionize(journey_events(s, d), "user_id", "ts", gap_minutes=30)
+
+
+_q("ask18_sessions")(lambda s, d: J.sessions(_sessions(s, d)))
+_q("ask18_session_depth")(lambda s, d: J.session_depth(_sessions(s, d)))
+_q("ask18_next_page")(lambda s, d: J.next_page_counts(_sessions(s, d)))
+_q("ask18_common_paths3")(lambda s, d: J.common_paths(_sessions(s, d), 3, 20))
+
+# -------------------------------------------------------------- WIN, SRT
+from ..operators import reshape as RS  # noqa: E402
+from ..operators import trends as TR  # noqa: E402
+
+
+def _cumulative(s, d):
+    w = _star(s, d).wide(page="left", date="inner")
+    return TR.cumulative_reach(w.select("viewingcontactid", "date"), "viewingcontactid", "date")
+
+
+_q("win5_cumulative_reach")(_cumulative)
+_q("srt3_daily_engagement_tail30")(lambda s, d: RS.tail(R.daily_engagement(_star(s, d)), 30, "date"))
+_q("srt4_top_pages_per_site")(lambda s, d: RS.top_k_per_group(
+    DS.page_performance(_star(s, d)), "websitename", [F.desc("uv")], 3, tie_keys=["marketingpageid"]))

@@ -165,6 +165,7 @@ def journey_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-stamped page events for journeys (ASK-18): user, ts, page."""
     ev = read_table(spark, sf_dir, "events")
     return ev.select(
+        F.col("event_id"),
         F.col("user_id").alias("user_id"),
         F.col("ts").alias("ts"),
         F.get_json_object("props", "$.k").alias("page"),

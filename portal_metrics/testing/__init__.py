@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from . import oracle_measures, oracle_sql
+    from . import oracle_measures, oracle_more, oracle_sql
     out: dict[str, str] = {}
-    for mod in (oracle_sql, oracle_measures):
+    for mod in (oracle_sql, oracle_measures, oracle_more):
         out.update(mod.SQL)
     return out
