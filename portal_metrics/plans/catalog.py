@@ -216,3 +216,60 @@ _q("win5_cumulative_reach")(_cumulative)
 _q("srt3_daily_engagement_tail30")(lambda s, d: RS.tail(R.daily_engagement(_star(s, d)), 30, "date"))
 _q("srt4_top_pages_per_site")(lambda s, d: RS.top_k_per_group(
     DS.page_performance(_star(s, d)), "websitename", [F.desc("uv")], 3, tie_keys=["marketingpageid"]))
+
+# ------------------------------------------------------------ MRG-2..6
+from ..operators import merge as MG  # noqa: E402
+from ..sources.tpch_star import employees_from_tpch, pages_from_tpch  # noqa: E402
+
+EXTRACT_FROM, EXTRACT_TO, EXTRACT_GAP = 19980101, 19980331, 19980215
+
+
+def fact_extract(star):
+    """A 90-day re-export: corrected views, one day missing from the file."""
+    f = star.fact
+    return (f.where(F.col("visitdatekey").between(EXTRACT_FROM, EXTRACT_TO)
+                    & (F.col("visitdatekey") != EXTRACT_GAP))
+            .withColumn("views", F.col("views") + 1))
+
+
+def page_extract(spark, sf_dir, cur):
+    """New pages (parts missing from the inventory) + renamed articles."""
+    new = pages_from_tpch(spark, sf_dir, all_parts=True).join(cur.select("marketingpageid"), "marketingpageid",
+                                                              "left_anti")
+    upd = cur.where(F.col("contenttype") == "Article").withColumn("pagename", F.upper("pagename"))
+    return new.unionByName(upd)
+
+
+def employee_extract(spark, sf_dir, cur):
+    """New hires (customers missing from the table) + reclassified ASIA staff."""
+    new = employees_from_tpch(spark, sf_dir, all_customers=True).join(cur.select("contactid"), "contactid",
+                                                                       "left_anti")
+    upd = cur.where(F.col("employeeregion") == "ASIA").withColumn("employeeclass", F.lit("Employee"))
+    return new.unionByName(upd)
+
+
+def _mrg2(s, d):
+    st = _star(s, d)
+    return MG.replace_range(st.fact, fact_extract(st))
+
+
+def _mrg6(s, d):
+    st = _star(s, d)
+    inc = fact_extract(st)
+    return MG.load_audit("fact", st.fact, inc, MG.replace_range(st.fact, inc))
+
+
+def _mrg3(s, d):
+    cur = _star(s, d).page_inventory
+    return MG.upsert(cur, page_extract(s, d, cur), "marketingpageid")
+
+
+def _mrg4(s, d):
+    cur = _star(s, d).employee_contact
+    return MG.upsert(cur, employee_extract(s, d, cur), "contactid")
+
+
+CATALOG["mrg2_replace_range"] = _mrg2
+CATALOG["mrg3_upsert_pages"] = _mrg3
+CATALOG["mrg4_upsert_employees"] = _mrg4
+CATALOG["mrg6_load_audit"] = _mrg6

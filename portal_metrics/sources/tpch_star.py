@@ -90,8 +90,11 @@ def fact_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pages_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 20 != 0)
+def pages_from_tpch(spark: SparkSession, sf_dir: str, all_parts: bool = False) -> DataFrame:
+    """Page inventory; ``all_parts`` also maps the parts left out of it."""
+    p = read_table(spark, sf_dir, "part")
+    if not all_parts:
+        p = p.filter(F.col("p_partkey") % 20 != 0)
     key = F.col("p_partkey").cast("string")
     brand, ptype, size = F.col("p_brand"), F.col("p_type"), F.col("p_size")
     theme = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
@@ -122,8 +125,11 @@ def pages_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def employees_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cst = read_table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 25 != 0)
+def employees_from_tpch(spark: SparkSession, sf_dir: str, all_customers: bool = False) -> DataFrame:
+    """Employee contacts; ``all_customers`` also maps those left out of it."""
+    cst = read_table(spark, sf_dir, "customer")
+    if not all_customers:
+        cst = cst.filter(F.col("c_custkey") % 25 != 0)
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     # nation and region are fixed 25- and 5-row tables.

@@ -423,3 +423,30 @@ SELECT * FROM (SELECT d.date, d.day_name, d.is_weekend, {LIKES} AS likes, {COMME
 SQL["srt4_top_pages_per_site"] = q("""
 SELECT * FROM (SELECT pp.*, CAST(ROW_NUMBER() OVER (PARTITION BY websitename ORDER BY uv DESC, marketingpageid)
                                  AS INTEGER) AS rank FROM pp) r WHERE rank <= 3""", PP)
+
+# ---------------------------------------------------------------- MRG-2..6
+EXTRACT = """inc AS (SELECT * REPLACE (views + 1 AS views) FROM fact
+  WHERE visitdatekey BETWEEN 19980101 AND 19980331 AND visitdatekey <> 19980215),
+b AS (SELECT MIN(visitdatekey) AS lo, MAX(visitdatekey) AS hi FROM inc),
+merged AS (SELECT fact.* FROM fact, b
+           WHERE fact.visitdatekey IS NULL OR NOT COALESCE(fact.visitdatekey BETWEEN b.lo AND b.hi, false)
+           UNION ALL SELECT * FROM inc)"""
+SQL["mrg2_replace_range"] = q("SELECT * FROM merged", EXTRACT)
+SQL["mrg6_load_audit"] = q("""
+SELECT 'fact' AS "table", (SELECT COUNT(*) FROM fact) AS rows_before, (SELECT COUNT(*) FROM inc) AS incoming_rows,
+       (SELECT COUNT(*) FROM merged) AS rows_after, (SELECT lo FROM b) AS min_key, (SELECT hi FROM b) AS max_key""",
+                           EXTRACT)
+
+
+def _upsert(cur, allv, key, upd_where, replace):
+    return q(f"""
+SELECT * FROM {cur} WHERE {key} IS NULL OR {key} NOT IN (SELECT {key} FROM inc WHERE {key} IS NOT NULL)
+UNION ALL SELECT * FROM inc""", f"""inc AS (
+  SELECT * FROM {allv} WHERE {key} NOT IN (SELECT {key} FROM {cur} WHERE {key} IS NOT NULL)
+  UNION ALL SELECT * REPLACE ({replace}) FROM {cur} WHERE {upd_where})""")
+
+
+SQL["mrg3_upsert_pages"] = _upsert("page_inventory", "page_all", "marketingpageid",
+                                   "contenttype = 'Article'", "upper(pagename) AS pagename")
+SQL["mrg4_upsert_employees"] = _upsert("employee_contact", "emp_all", "contactid",
+                                       "employeeregion = 'ASIA'", "'Employee' AS employeeclass")

@@ -30,7 +30,7 @@ fact AS (
               WHEN l.l_returnflag = 'A' THEN '' ELSE NULL END AS marketingpageidliked
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
-page_inventory AS (
+page_all AS (
   SELECT p_brand AS websitename,
          'https://portal.example.com/' || lower(p_brand) AS websiteurl,
          p_type AS owningbusinessunit,
@@ -55,9 +55,10 @@ page_inventory AS (
          CASE p_size % 5 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'FURNITURE'
                          WHEN 3 THEN 'HOUSEHOLD' ELSE 'MACHINERY' END AS targetorganization,
          CAST(1 AS BIGINT) AS cnt
-  FROM part WHERE p_partkey % 20 <> 0
+  FROM part
 ),
-employee_contact AS (
+page_inventory AS (SELECT * FROM page_all WHERE CAST(marketingpageid AS BIGINT) % 20 <> 0),
+emp_all AS (
   SELECT CAST(c.c_custkey AS VARCHAR) AS contactid,
          c.c_mktsegment AS employeebusinessdivision,
          CASE WHEN c.c_custkey % 2 = 0 THEN 'Staff' ELSE 'Management' END AS employeecategory,
@@ -78,8 +79,8 @@ employee_contact AS (
   FROM customer c
   LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) g
          ON c.c_nationkey = g.n_nationkey
-  WHERE c.c_custkey % 25 <> 0
 ),
+employee_contact AS (SELECT * FROM emp_all WHERE CAST(contactid AS BIGINT) % 25 <> 0),
 dim_date AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS datekey,
          d AS date,
