@@ -273,3 +273,6 @@ CATALOG["mrg2_replace_range"] = _mrg2
 CATALOG["mrg3_upsert_pages"] = _mrg3
 CATALOG["mrg4_upsert_employees"] = _mrg4
 CATALOG["mrg6_load_audit"] = _mrg6
+
+# approximate variant (no SQL twin: sketch estimates are engine-specific)
+_model_query("mea14_reach_trend_6m_approx", MS.reach_trend_6m, approx=True)

@@ -23,7 +23,7 @@ from ..functions import metrics as M
 from ..functions.filters import NO_FILTERS, Filters
 from ..model import StarModel
 from ..operators.reshape import dense_rank_desc
-from ..operators.trends import period_change, rolling_distinct
+from ..operators.trends import period_change, rolling_distinct, rolling_distinct_approx
 from ..schemas import DATE_COLUMNS, EMPLOYEE_COLUMNS, PAGE_COLUMNS
 
 _DATE_COLS = {n for n, _ in DATE_COLUMNS}
@@ -130,13 +130,15 @@ def reach_mom_change(model: StarModel, by=(), filters: Filters = NO_FILTERS) ->
 
 
 def reach_trend_6m(model: StarModel, filters: Filters = NO_FILTERS, months: int = 6,
-                   by=()) -> DataFrame:
+                   by=(), approx: bool = False) -> DataFrame:
     """MEA-14: per month with data, UV over the 6 months ending at the
-    month's last day (DATESINPERIOD(date, MAX(date), -6, MONTH))."""
+    month's last day (DATESINPERIOD(date, MAX(date), -6, MONTH)).
+    ``approx=True`` uses daily HLL sketches instead of exact distincts."""
     names = _by(by)
     w = wide_for(model, names, filters, need=("date",))
     visits = w.select(*_keys(names), "viewingcontactid", "date")
-    return rolling_distinct(visits, "viewingcontactid", "date", months, out="uv_6m", by=names)
+    fn = rolling_distinct_approx if approx else rolling_distinct
+    return fn(visits, "viewingcontactid", "date", months, out="uv_6m", by=names)
 
 
 # -------------------------------------------------------------- MEA-15..24

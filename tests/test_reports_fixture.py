@@ -102,3 +102,11 @@ def test_share_sums_to_100(spark, star):
     from portal_metrics.plans.dashboards import channel_mix
     s = sum(r["share_pct"] for r in channel_mix(star).collect())
     assert abs(s - 100.0) < 0.05
+
+
+def test_rolling_distinct_approx_close_to_exact(spark, star):
+    exact = {r["month"]: r["uv_6m"] for r in MS.reach_trend_6m(star).collect()}
+    approx = {r["month"]: r["uv_6m"] for r in MS.reach_trend_6m(star, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for m, v in exact.items():
+        assert abs(approx[m] - v) <= max(2, 0.05 * v), (m, v, approx[m])
