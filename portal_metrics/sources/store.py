@@ -57,6 +57,27 @@ def with_visit_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, (F.col("visitdatekey") / 100).cast("long"))
 
 
+def files_per_month(spark: SparkSession) -> int:
+    v = spark.conf.get("portal_metrics.fact.filesPerMonth", None)
+    if v:
+        return max(1, int(v))
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
+def _month_layout(df: DataFrame, k: int) -> DataFrame:
+    """Cluster rows by visit month, each month split over ``k`` tasks by a
+    deterministic hash of (visitor, page): a hot month becomes k files
+    written in parallel, not one task, and a retried task rewrites the
+    same rows (no random salt)."""
+    salt = F.pmod(F.xxhash64("viewingcontactid", "marketingpageid", "visitdatekey"), F.lit(k))
+    return df.repartition(F.col(FACT_PARTITION), salt)
+
+
+def write_fact(df: DataFrame, path: str, k: int | None = None) -> None:
+    k = k or files_per_month(df.sparkSession)
+    _month_layout(df, k).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
+
+
 class StarStore:
     """The analytic tables kept between loads (SNK-2)."""
 
@@ -93,7 +114,8 @@ class StarStore:
         return self.spark.read.parquet(p)
 
     def pages(self) -> DataFrame:
-        return self.dimension("page_inventory", PAGE_SCHEMA) or empty_table(self.spark, PAGE_SCHEMA)
+        p = self.dimension("page_inventory", PAGE_SCHEMA)
+        return p if p is not None else empty_table(self.spark, PAGE_SCHEMA)
 
     def employees(self) -> DataFrame | None:
         return self.dimension("employee_contact", EMPLOYEE_SCHEMA)
@@ -115,7 +137,7 @@ class StarStore:
 
     def full_refresh_fact(self, incoming: DataFrame) -> None:
         """MRG-1 for the fact: the stored table becomes the extract."""
-        with_visit_month(incoming).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(self.fact_path)
+        write_fact(with_visit_month(incoming), self.fact_path)
 
     def replace_fact_range(self, incoming: DataFrame, lo: int, hi: int) -> list[int]:
         """MRG-2 on storage: rewrite visit months lo//100 .. hi//100.
@@ -125,7 +147,7 @@ class StarStore:
         m_lo, m_hi = lo // 100, hi // 100
         new = with_visit_month(incoming)
         if not _exists(spark, self.fact_path):
-            new.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(self.fact_path)
+            write_fact(new, self.fact_path)
             return []
         cur = spark.read.parquet(self.fact_path)
         # NULL-day rows live in the default partition; they are kept and the
@@ -134,7 +156,7 @@ class StarStore:
         keep = touched.where(F.col("visitdatekey").isNull() | ~F.col("visitdatekey").between(lo, hi))
         merged = keep.unionByName(new.select(*keep.columns))
         stage = scratch_dir(spark, "fact-merge")
-        merged.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(stage)
+        write_fact(merged, stage)
         staged = spark.read.parquet(stage)
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -186,3 +208,17 @@ def export_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
         w.parquet(path)
     else:
         raise ValueError(fmt)
+
+
+def materialize_star(model: StarModel, root: str) -> StarModel:
+    """Write a star (e.g. one derived from other tables) as a store and
+    return the model that reads it back: month-partitioned fact, versioned
+    dimensions, calendar.  Cuts the lineage to the source tables."""
+    store = StarStore(model.spark, root)
+    store.full_refresh_fact(model.fact.drop(FACT_PARTITION) if FACT_PARTITION in model.fact.columns
+                            else model.fact)
+    store.write_dimension("page_inventory", model.page_inventory)
+    if model.employee_contact is not None:
+        store.write_dimension("employee_contact", model.employee_contact)
+    store.write_calendar(model.dim_date)
+    return store.model()
