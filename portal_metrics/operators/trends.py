@@ -84,7 +84,10 @@ def rolling_distinct(visits: DataFrame, who: str, day: str, months: int = 6,
     ``month`` = month start) limits the output; default: months with data.
     """
     by = list(by)
-    vd = visits.select(*by, who, day).where(F.col(who).isNotNull()).distinct()
+    # one distinct (who, day) feeds both branches (NULL visitors kept only
+    # to mark months with data); Spark reuses the shared exchange
+    vd_all = visits.select(*by, who, day).distinct()
+    vd = vd_all.where(F.col(who).isNotNull())
     month0 = F.trunc(F.col(day), "MM")
     cand = vd.select(*by, who, day,
                      F.explode(F.sequence(F.lit(0), F.lit(months))).alias("_k"))
@@ -94,7 +97,7 @@ def rolling_distinct(visits: DataFrame, who: str, day: str, months: int = 6,
     per = inwin.select(*by, "month", who).distinct()
     res = per.groupBy(*by, "month").agg(F.count(F.lit(1)).alias(out))
     if report_months is None:
-        report_months = visits.select(*by, F.trunc(F.col(day), "MM").alias("month")).distinct()
+        report_months = vd_all.select(*by, F.trunc(F.col(day), "MM").alias("month")).distinct()
     return report_months.join(res, by + ["month"], "left").fillna(0, subset=[out])
 
 

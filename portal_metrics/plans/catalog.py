@@ -282,3 +282,4 @@ CATALOG["mrg6_load_audit"] = _mrg6
 
 # approximate variant (no SQL twin: sketch estimates are engine-specific)
 _model_query("mea14_reach_trend_6m_approx", MS.reach_trend_6m, approx=True)
+_model_query("join8_viewer_set_semi_join", QS.also_viewed, content=STRATEGY, by=("contenttype",))

@@ -39,12 +39,19 @@ def _by(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by or [])
 
 
-def wide_for(model: StarModel, by, filters: Filters = NO_FILTERS, need=()) -> DataFrame:
-    """The star joined just enough for ``by`` + ``need`` columns."""
+def wide_for(model: StarModel, by, filters: Filters = NO_FILTERS, need=(),
+             distinct_only: bool = False) -> DataFrame:
+    """The star joined just enough for ``by`` + ``need`` columns.
+
+    The page LEFT join is kept by default because duplicate page keys fan
+    out sums (M8).  Measures made only of distinct counts are immune to
+    that fan-out, so with ``distinct_only`` the join is dropped unless a
+    page column is grouped on or filtered."""
     cols = set(_by(by)) | set(need)
     date = "inner" if cols & _DATE_COLS else None
     emp = "left" if (cols & _EMP_COLS) or filters.uses_employee() else None
-    return model.wide(filters, page="left", date=date, employee=emp)
+    page = None if distinct_only and not (cols & _PAGE_COLS) else "left"
+    return model.wide(filters, page=page, date=date, employee=emp)
 
 
 def _keys(by) -> list[Column]:
@@ -79,7 +86,9 @@ def total_employees(model: StarModel, fixed: int | None = None) -> Column:
 def reach_rate(model: StarModel, by=(), filters: Filters = NO_FILTERS,
                employees: int | None = None) -> DataFrame:
     """MEA-9 (and MEA-38 Message Penetration): UV / Total Employees * 100."""
-    g = _agg(model, by, filters, [M.uv().alias("uv")])
+    w = wide_for(model, by, filters, distinct_only=True)
+    keys = _keys(by)
+    g = w.groupBy(*keys).agg(M.uv().alias("uv")) if keys else w.agg(M.uv().alias("uv"))
     tot = total_employees(model, employees)
     return g.withColumn("total_employees", tot).withColumn(
         "reach_rate", M.pct_zero(F.col("uv"), F.col("total_employees")))
@@ -87,7 +96,7 @@ def reach_rate(model: StarModel, by=(), filters: Filters = NO_FILTERS,
 
 def daily_average_uv(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-10: mean of daily UV over the days that have visits."""
-    w = wide_for(model, by, filters, need=("date",))
+    w = wide_for(model, by, filters, need=("date",), distinct_only=True)
     keys = _keys(by)
     daily = w.groupBy(*keys, "date").agg(M.uv().alias("_uv"))
     names = _by(by)
@@ -113,8 +122,7 @@ def reach_by_segment(model: StarModel, segment: str = "employeeregion",
 
 
 def monthly_uv(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
-    w = model.wide(filters, page="left", date="inner",
-                   employee="left" if set(_by(by)) & _EMP_COLS or filters.uses_employee() else None)
+    w = wide_for(model, by, filters, need=("date",), distinct_only=True)
     return w.groupBy(*_keys(by), "year_month", F.trunc("date", "MM").alias("month_start")) \
             .agg(M.uv().alias("uv"))
 
@@ -135,7 +143,7 @@ def reach_trend_6m(model: StarModel, filters: Filters = NO_FILTERS, months: int
     month's last day (DATESINPERIOD(date, MAX(date), -6, MONTH)).
     ``approx=True`` uses daily HLL sketches instead of exact distincts."""
     names = _by(by)
-    w = wide_for(model, names, filters, need=("date",))
+    w = wide_for(model, names, filters, need=("date",), distinct_only=True)
     visits = w.select(*_keys(names), "viewingcontactid", "date")
     fn = rolling_distinct_approx if approx else rolling_distinct
     return fn(visits, "viewingcontactid", "date", months, out="uv_6m", by=names)

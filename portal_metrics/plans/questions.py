@@ -301,3 +301,24 @@ def named_periods(as_of, kinds=("today", "this_week", "last_week", "this_month",
         lo, hi = period_bounds(k, as_of, 30 if k == "last_n_days" else None)
         out[k] = (lo, hi)
     return out
+
+
+# ------------------------------------------------------------------ JOIN-8
+def viewer_set(model: StarModel, content: Filters) -> DataFrame:
+    """Distinct visitors of the selected content (TREATAS source set)."""
+    return (model.wide(content, page="left").select("viewingcontactid")
+            .where(F.col("viewingcontactid").isNotNull()).distinct())
+
+
+def also_viewed(model: StarModel, content: Filters, by=("contenttype",),
+                filters: Filters = NO_FILTERS) -> DataFrame:
+    """JOIN-8: everything the viewers of ``content`` viewed, by ``by``.
+
+    The fact is restricted with a LEFT SEMI join on the viewer set; no
+    broadcast hint is given because the set grows with the data -- AQE
+    broadcasts it at runtime when the measured set is small, and splits a
+    hot visitor's partition otherwise."""
+    viewers = viewer_set(model, content)
+    w = model.wide(filters, page="left").join(viewers, "viewingcontactid", "left_semi")
+    keys = MS._keys(by)
+    return w.groupBy(*keys).agg(M.uv().alias("uv"), M.views().alias("total_views"))

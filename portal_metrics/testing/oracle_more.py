@@ -450,3 +450,9 @@ SQL["mrg3_upsert_pages"] = _upsert("page_inventory", "page_all", "marketingpagei
                                    "contenttype = 'Article'", "upper(pagename) AS pagename")
 SQL["mrg4_upsert_employees"] = _upsert("employee_contact", "emp_all", "contactid",
                                        "employeeregion = 'ASIA'", "'Employee' AS employeeclass")
+
+SQL["join8_viewer_set_semi_join"] = q(f"""
+SELECT COALESCE(p.contenttype, 'Unknown') AS contenttype, {UV} AS uv, {VIEWS} AS total_views
+{FROM_P} WHERE f.viewingcontactid IN (
+  SELECT DISTINCT f.viewingcontactid {FROM_P} WHERE p.newscategory IN ('Strategy') AND f.viewingcontactid IS NOT NULL)
+GROUP BY 1""")
