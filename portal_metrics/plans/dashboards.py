@@ -196,8 +196,8 @@ def gap_matrix(model: StarModel, filters: Filters = NO_FILTERS, categories=STRAT
     spine); strategic pages nobody viewed are added by a left join from the
     inventory and show 0 everywhere."""
     f = _strategic(filters, categories)
-    w = model.wide(f, page="inner", employee="inner")
-    cells = w.groupBy("marketingpageid", segment).agg(M.uv().alias("uv"))
+    v = MS._visitors(model, f, keys=("marketingpageid",), how="inner", page="inner")
+    cells = v.groupBy("marketingpageid", segment).agg(F.count_distinct("viewingcontactid").alias("uv"))
     if divisions is None:
         divisions = sorted(r[0] for r in model.employee_contact.where(F.col(segment).isNotNull())
                            .select(segment).distinct().collect())   # bounded: one row per division
@@ -216,8 +216,8 @@ def missing_divisions(model: StarModel, filters: Filters = NO_FILTERS, categorie
     """DSH-12 / SET-3: strategic pages not reaching every division, with the
     divisions reached and missing (sorted arrays)."""
     f = _strategic(filters, categories)
-    w = model.wide(f, page="inner", employee="inner").where(F.col(segment).isNotNull())
-    reached = w.groupBy("marketingpageid", "pagename").agg(
+    v = MS._visitors(model, f, keys=("marketingpageid", "pagename"), how="inner", page="inner")
+    reached = v.where(F.col(segment).isNotNull()).groupBy("marketingpageid", "pagename").agg(
         F.array_sort(F.collect_set(segment)).alias("divisions_reached"))
     allv = _all_divisions(model, segment)
     missing = F.array_except(allv, F.col("divisions_reached"))

@@ -115,12 +115,20 @@ def reach_by_segment(model: StarModel, segment: str = "employeeregion",
     """
     pop = (model.employee_contact.groupBy(M.label(segment).alias(segment))
            .agg(F.count_distinct("contactid").alias("employees")))
-    w = model.wide(filters, page="left", employee="inner")
-    seen = w.groupBy(M.label(segment).alias(segment)).agg(M.uv().alias("uv"))
+    # visitors are reduced to one row each before the employee join
+    v = _visitors(model, filters, how="inner")
+    seen = v.groupBy(M.label(segment).alias(segment)).agg(F.count_distinct("viewingcontactid").alias("uv"))
     j = pop.join(seen, segment, "left").fillna(0, subset=["uv"])
     return j.withColumn("reach_rate", M.pct_zero(F.col("uv"), F.col("employees")))
 
 
+def _visitors(model: StarModel, filters: Filters, keys=(), how: str = "left", page: str | None = "left",
+              date=None) -> DataFrame:
+    """Fact pre-aggregated per (keys, visitor) and joined to employees."""
+    from .reports import visitor_partials
+    return visitor_partials(model, filters, keys=keys, date=date, page=page, how=how)
+
+
 def monthly_uv(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
     w = wide_for(model, by, filters, need=("date",), distinct_only=True)
     return w.groupBy(*_keys(by), "year_month", F.trunc("date", "MM").alias("month_start")) \
@@ -289,8 +297,8 @@ def segments_not_reached(model: StarModel, filters: Filters = NO_FILTERS,
                          segment: str = "employeebusinessdivision") -> DataFrame:
     """MEA-32 (count) and SET-3 (list): segments with no viewer of the content."""
     allseg = model.employee_contact.select(segment).where(F.col(segment).isNotNull()).distinct()
-    w = model.wide(filters, page="left", employee="inner")
-    seen = w.select(segment).where(F.col(segment).isNotNull()).distinct()
+    v = _visitors(model, filters, how="inner")
+    seen = v.select(segment).where(F.col(segment).isNotNull()).distinct()
     return allseg.join(seen, segment, "left_anti")
 
 
@@ -301,9 +309,9 @@ def coverage(model: StarModel, filters: Filters = NO_FILTERS,
     e = model.employee_contact
     tot_div = e.select(F.count_distinct("employeebusinessdivision")).scalar()
     tot_reg = e.select(F.count_distinct("employeeregion")).scalar()
-    w = model.wide(filters, page="left", employee="left")
+    w = _visitors(model, filters)
     g = w.agg(
-        M.uv().alias("uv"),
+        F.count_distinct("viewingcontactid").alias("uv"),
         F.count_distinct("employeebusinessdivision").alias("divisions_reached"),
         F.count_distinct("employeeregion").alias("regions_reached"))
     g = (g.withColumn("total_divisions", tot_div).withColumn("total_regions", tot_reg)
@@ -323,10 +331,11 @@ def target_match(model: StarModel, by=("targetregion",), filters: Filters = NO_F
                  global_value: str | None = "Global") -> DataFrame:
     """MEA-33 / ASK-17: visitors whose attribute equals the page's target
     / UV * 100; a 'Global' target counts as 100."""
-    w = model.wide(filters, page="left", employee="left")
+    raw = [b for b in _by(by) if b not in _EMP_COLS]
+    w = _visitors(model, filters, keys=tuple(dict.fromkeys(raw + [target])))
     keys = _keys(by)
     match = F.count_distinct(F.when(F.col(attribute) == F.col(target), F.col("viewingcontactid")))
-    g = w.groupBy(*keys).agg(M.uv().alias("uv"), match.alias("matching_visitors"),
+    g = w.groupBy(*keys).agg(F.count_distinct("viewingcontactid").alias("uv"), match.alias("matching_visitors"),
                              F.max(F.col(target)).alias("_t"), F.min(F.col(target)).alias("_t0"))
     rate = M.pct_zero(F.col("matching_visitors"), F.col("uv"))
     if global_value is not None:

@@ -246,8 +246,9 @@ def reach_gap(model: StarModel, segment: str = "employeebusinessdivision",
     """ASK-16: segments by reach rate, lowest first, zero-viewer segments
     kept; with the segment's engagement rate (0 when no view)."""
     r = MS.reach_by_segment(model, segment, filters)
-    w = model.wide(filters, page="left", employee="inner")
-    eng = w.groupBy(M.label(segment).alias(segment)).agg(M.engagement_rate_zero().alias("engagement_rate"))
+    v = MS._visitors(model, filters, how="inner")
+    eng = v.groupBy(M.label(segment).alias(segment)).agg(M.pct_zero(
+        F.sum("likes") + F.coalesce(F.sum("comments"), F.lit(0).cast("long")), F.sum("views")).alias("engagement_rate"))
     out = r.join(eng, segment, "left").fillna(0.0, subset=["engagement_rate"])
     return out.orderBy(F.asc("reach_rate"), F.col(segment).asc_nulls_last())
 

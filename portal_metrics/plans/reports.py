@@ -251,22 +251,24 @@ def _split_employee_filters(filters: Filters):
 
 
 def visitor_partials(model: StarModel, filters: Filters = NO_FILTERS, keys=(), date=None,
-                     distinct=()) -> DataFrame:
-    """Fact rows pre-aggregated per (keys, visitor), joined to employees.
+                     distinct=(), page: str | None = "left", how: str = "left") -> DataFrame:
+    """Fact rows pre-aggregated per (keys, visitor), then joined to employees.
 
     Carries partial sums (views, visits, likes, comments, durationsum,
     rows) and, for each name in ``distinct``, the per-visitor distinct
-    count of that column.  Employee filters apply after the join.
+    count of that column.  ``how`` is the employee join type; employee
+    filters apply after the join.  Unused partial sums are pruned by
+    Catalyst, so distinct-only callers pay for the visitor key alone.
     """
     rest, emp_pred = _split_employee_filters(filters)
-    w = model.wide(rest, page="left", date=date)
+    w = model.wide(rest, page=page, date=date)
     aggs = [M.views().alias("views"), M.visits().alias("visits"), M.likes().alias("likes"),
             M.comments().alias("comments"), F.sum("durationsum").alias("durationsum"),
             M.rows().alias("rows")]
     aggs += [F.count_distinct(x).alias(f"n_{x}") for x in distinct]
     per = w.groupBy(*keys, "viewingcontactid").agg(*aggs)
     e = model.employees()
-    j = per.join(e, per["viewingcontactid"] == e["contactid"], "left")
+    j = per.join(e, per["viewingcontactid"] == e["contactid"], how)
     return j.filter(emp_pred) if emp_pred is not None else j
 
 
@@ -356,8 +358,8 @@ def employee_count(model: StarModel) -> DataFrame:
 # ------------------------------------------------------------------ DOC-1..5
 def doc_uv_by_region(model: StarModel, date_from, date_to) -> DataFrame:
     """DOC-1: raw region (NULL kept) for a day range."""
-    w = model.wide(Filters(date_from=date_from, date_to=date_to), page=None, employee="left")
-    return (w.groupBy("employeeregion").agg(M.uv().alias("unique_visitors"))
+    j = visitor_partials(model, Filters(date_from=date_from, date_to=date_to), page=None)
+    return (j.groupBy("employeeregion").agg(F.count_distinct("viewingcontactid").alias("unique_visitors"))
             .orderBy(F.desc("unique_visitors"), *_asc("employeeregion")))
 
 
@@ -387,8 +389,8 @@ def doc_traffic_by_channel(model: StarModel) -> DataFrame:
 
 def doc_class_distribution(model: StarModel, date_from, date_to) -> DataFrame:
     """DOC-5."""
-    w = model.wide(Filters(date_from=date_from, date_to=date_to), page=None, employee="left")
-    return (w.groupBy("employeeclass").agg(M.uv().alias("unique_visitors"))
+    j = visitor_partials(model, Filters(date_from=date_from, date_to=date_to), page=None)
+    return (j.groupBy("employeeclass").agg(F.count_distinct("viewingcontactid").alias("unique_visitors"))
             .orderBy(F.desc("unique_visitors"), *_asc("employeeclass")))
 
 
