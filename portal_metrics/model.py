@@ -37,15 +37,29 @@ def plan_size_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(spark: SparkSession) -> int:
+    """Byte limit for an explicit broadcast; -1 when broadcasts are disabled."""
+    if int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b") or 0) < 0:
+        return -1
     v = spark.conf.get("portal_metrics.broadcast.maxBytes", None)
     return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
+def broadcast_inflation(spark: SparkSession) -> float:
+    """Catalyst sizes a Parquet scan by its compressed file bytes; in memory
+    the rows are several times larger, so the estimate is scaled up."""
+    return float(spark.conf.get("portal_metrics.broadcast.inflation", None) or 4.0)
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the estimated size is known and under the limit."""
-    limit = max_bytes if max_bytes is not None else broadcast_limit(df.sparkSession)
+    """Broadcast hint only when the size estimate is known and, inflated to
+    in-memory size, under the limit.  Otherwise the join is left to the
+    planner (shuffle join; AQE may still broadcast from measured sizes)."""
+    spark = df.sparkSession
+    limit = max_bytes if max_bytes is not None else broadcast_limit(spark)
+    if limit < 0:
+        return df
     size = plan_size_bytes(df)
-    if size is not None and size <= limit:
+    if size is not None and size * broadcast_inflation(spark) <= limit:
         return F.broadcast(df)
     return df
 

@@ -9,12 +9,12 @@ bucket); what crosses a bucket edge is carried by small per-bucket
 summaries (last timestamp, session starts, first L-1 events) that are
 windowed per user -- one row per bucket, not per event:
 
-1. within a bucket: ``lag`` of the timestamp, row number;
-2. per bucket: last timestamp -> ``lag`` over buckets gives the
-   predecessor of each bucket's first event;
-3. session numbers: starts per bucket -> running sum over buckets gives
-   each bucket's offset, plus the running sum inside the bucket;
-4. paths of length L: ``lead`` inside the bucket, and the heads (first
+1. within a bucket: ``lag`` of the timestamp (in-bucket gaps), row number;
+2. per bucket (one row): first/last timestamp and in-bucket starts; a
+   ``lag`` over the user's buckets decides whether the bucket's first
+   event starts a session, and a running sum of starts gives the bucket's
+   session offset -- joined back once;
+3. paths of length L: ``lead`` inside the bucket, and the heads (first
    L-1 events) of the next L-1 buckets for rows near the bucket's end.
 """
 
@@ -36,28 +36,36 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_min
                bucket_seconds: int = 3600, tiebreak: str | None = "event_id") -> DataFrame:
     """Adds ``session_no`` (1, 2, ... per user), ``session_start`` and the
     helper columns ``_t`` (epoch micros), ``_rn``/``_cnt`` (row and size in
-    the bucket) and ``_bucket``."""
+    the bucket) and ``_bucket``.
+
+    One window pass per (user, bucket) gives in-bucket gaps; one row per
+    bucket then carries its first/last time, count and in-bucket session
+    starts, from which a window over the user's buckets derives whether the
+    bucket's first event starts a session and the bucket's session offset.
+    A single join brings that back to the events."""
     gap = int(gap_minutes) * 60 * 1_000_000
     e = events.withColumn("_t", _epoch_seconds(events, ts))
     e = e.withColumn(_B, F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)))
     order = [F.col("_t")] + ([F.col(tiebreak)] if tiebreak else [])
     wb = Window.partitionBy(user, _B).orderBy(*order)
-    e = e.withColumn("_prev", F.lag("_t").over(wb)).withColumn("_rn", F.row_number().over(wb))
+    e = (e.withColumn("_rn", F.row_number().over(wb))
+          .withColumn("_inner", (F.col("_t") - F.lag("_t").over(wb)) > F.lit(gap)))
 
-    bs = e.groupBy(user, _B).agg(F.max("_t").alias("_bmax"), F.count(F.lit(1)).alias("_cnt"))
+    bs = e.groupBy(user, _B).agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"),
+                                 F.count(F.lit(1)).alias("_cnt"), F.count_if("_inner").alias("_n_inner"))
     wu = Window.partitionBy(user).orderBy(_B)
-    bs = bs.withColumn("_prev_bmax", F.lag("_bmax").over(wu))
-    e = e.join(bs.select(user, _B, "_prev_bmax", "_cnt"), [user, _B])
-    prev = F.coalesce(F.col("_prev"), F.when(F.col("_rn") == 1, F.col("_prev_bmax")))
-    e = e.withColumn("session_start", prev.isNull() | ((F.col("_t") - prev) > F.lit(gap)))
-
-    starts = e.groupBy(user, _B).agg(F.count_if("session_start").alias("_starts"))
-    starts = starts.withColumn("_offset", F.sum("_starts").over(
+    prev_max = F.lag("_bmax").over(wu)
+    bs = bs.withColumn("_first", prev_max.isNull() | ((F.col("_bmin") - prev_max) > F.lit(gap)))
+    bs = bs.withColumn("_starts", F.col("_n_inner") + F.col("_first").cast("long"))
+    bs = bs.withColumn("_offset", F.sum("_starts").over(
         wu.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_starts"))
-    e = e.join(starts.select(user, _B, "_offset"), [user, _B])
+    e = e.join(bs.select(user, _B, "_first", "_cnt", "_offset"), [user, _B])
+    e = e.withColumn("session_start", F.when(F.col("_rn") == 1, F.col("_first"))
+                     .otherwise(F.coalesce(F.col("_inner"), F.lit(False))))
     run = F.sum(F.col("session_start").cast("long")).over(
         wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return e.withColumn("session_no", (F.col("_offset") + run).cast("long")).drop("_prev", "_prev_bmax", "_offset")
+    return (e.withColumn("session_no", (F.col("_offset") + run).cast("long"))
+             .drop("_inner", "_first", "_offset"))
 
 
 def sessions(sess: DataFrame, user: str = "user_id", ts: str = "ts", page: str = "page") -> DataFrame:
