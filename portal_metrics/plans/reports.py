@@ -395,21 +395,43 @@ def doc_class_distribution(model: StarModel, date_from, date_to) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- ASK-1
+# metrics that can be rebuilt from per-visitor partial sums (see visitor_partials)
+_PARTIAL_METRICS = {
+    "rows": lambda: F.sum("rows"),
+    "uv": lambda: F.count_distinct("viewingcontactid"),
+    "views": lambda: F.sum("views"),
+    "visits": lambda: F.sum("visits"),
+    "likes": lambda: F.sum("likes"),
+    "comments": lambda: F.sum("comments"),
+    "engagements": lambda: F.sum("likes") + F.sum("comments"),
+    "engagement_rate": lambda: M.pct_null(F.sum("likes") + F.sum("comments"), F.sum("views"), 3),
+}
+
+
 def report(model: StarModel, by, metrics=("uv", "views"), filters: Filters = NO_FILTERS,
-           order_by=None, limit: int | None = None, label_unknown: bool = True) -> DataFrame:
+           order_by=None, limit: int | None = None, label_unknown: bool = True,
+           eager: bool = True) -> DataFrame:
     """Generic slice-and-dice: group by any star columns, any named metrics.
 
     Page and employee attributes are labelled 'Unknown' when unmatched;
     the calendar is joined (inner) only when a calendar column is asked for.
+    Grouped by employee attributes with re-aggregatable metrics, the fact
+    is first reduced per visitor (``eager``), as in QRY-21..27.
     """
     by = [by] if isinstance(by, str) else list(by)
+    metrics = list(metrics)
     need_date = any(b in _DATE_COLS for b in by)
     need_emp = any(b in _EMP_COLS for b in by) or filters.uses_employee()
-    w = model.wide(filters, page="left", date="inner" if need_date else None,
-                   employee="left" if need_emp else None)
     keys = [M.label(b).alias(b) if label_unknown and (b in _PAGE_COLS or b in _EMP_COLS)
             else F.col(b) for b in by]
-    g = w.groupBy(*keys).agg(*[M.metric(m) for m in metrics])
+    if eager and need_emp and all(m in _PARTIAL_METRICS for m in metrics):
+        raw = [b for b in by if b not in _EMP_COLS]
+        j = visitor_partials(model, filters, keys=raw, date="inner" if need_date else None)
+        g = j.groupBy(*keys).agg(*[_PARTIAL_METRICS[m]().alias(m) for m in metrics])
+    else:
+        w = model.wide(filters, page="left", date="inner" if need_date else None,
+                       employee="left" if need_emp else None)
+        g = w.groupBy(*keys).agg(*[M.metric(m) for m in metrics])
     order = order_by or [F.desc_nulls_last(metrics[0])]
     order = [F.desc_nulls_last(o) if isinstance(o, str) else o for o in order]
     if limit:

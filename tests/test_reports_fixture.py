@@ -110,3 +110,11 @@ def test_rolling_distinct_approx_close_to_exact(spark, star):
     assert exact.keys() == approx.keys()
     for m, v in exact.items():
         assert abs(approx[m] - v) <= max(2, 0.05 * v), (m, v, approx[m])
+
+
+def test_generic_report_eager_equals_raw_join(spark, star):
+    by = ["employeeregion", "year_month", "contenttype"]
+    mets = ["uv", "views", "likes", "comments", "engagements", "engagement_rate", "rows"]
+    a = sorted(tuple(r) for r in R.report(star, by, mets).collect())
+    b = sorted(tuple(r) for r in R.report(star, by, mets, eager=False).collect())
+    assert a == b and len(a) > 0
