@@ -76,11 +76,20 @@ def ab_compare(model: StarModel, filters_a: Filters, filters_b: Filters,
 
 
 # ------------------------------------------------------------- ASK-3, 4, 10
-def _period_frame(model, filters, grain, by, metric_cols: list[Column]):
-    need_emp = any(b.startswith("employee") for b in by) or filters.uses_employee()
-    w = model.wide(filters, page="left", date="inner", employee="left" if need_emp else None)
+def _period_frame(model, filters, grain, by, metrics: list[str]):
+    """Metrics per (by, period start).  With employee attributes in ``by``
+    (or in the filters) and re-aggregatable metrics, the fact is reduced
+    per (period, visitor) before the employee join."""
+    from .reports import _PARTIAL_METRICS, visitor_partials
+    need_emp = any(b in MS._EMP_COLS for b in by) or filters.uses_employee()
     keys = MS._keys(by)
-    return w.groupBy(*keys, period_start(F.col("date"), grain).alias("period_start")).agg(*metric_cols)
+    ps = period_start(F.col("date"), grain).alias("period_start")
+    if need_emp and all(m in _PARTIAL_METRICS for m in metrics):
+        raw = [F.col(b) for b in by if b not in MS._EMP_COLS]
+        j = visitor_partials(model, filters, keys=(*raw, ps), date="inner")
+        return j.groupBy(*keys, "period_start").agg(*[_PARTIAL_METRICS[m]().alias(m) for m in metrics])
+    w = model.wide(filters, page="left", date="inner", employee="left" if need_emp else None)
+    return w.groupBy(*keys, ps).agg(*[M.metric(m) for m in metrics])
 
 
 def growth(model: StarModel, by=("referrerapplicationid",), metric: str = "uv", grain: str = "month",
@@ -88,7 +97,7 @@ def growth(model: StarModel, by=("referrerapplicationid",), metric: str = "uv",
     """ASK-3: per segment and period, the metric, its value n periods
     earlier and the growth in % (NULL when there is no earlier value)."""
     by = list(by)
-    g = _period_frame(model, filters, grain, by, [M.metric(metric)])
+    g = _period_frame(model, filters, grain, by, [metric])
     return period_change(g, "period_start", metric, grain, n, by=by, prev_out=f"prev_{metric}",
                          change_out="growth_pct", zero_when_missing=False)
 
@@ -119,14 +128,14 @@ def trend(model: StarModel, grain: str = "month", n_periods: int = 6, as_of=None
             m = first.month - 1 - months
             start = _dt.date(first.year + m // 12, m % 12 + 1, 1)
         filters = filters.replace(date_from=to_daykey(start), date_to=to_daykey(end))
-    g = _period_frame(model, filters, grain, list(by), [M.metric(m) for m in metrics])
+    g = _period_frame(model, filters, grain, list(by), list(metrics))
     return g.orderBy("period_start", *by)
 
 
 def peak_period(model: StarModel, grain: str = "day", metric: str = "uv",
                 filters: Filters = NO_FILTERS) -> DataFrame:
     """ASK-10: busiest (and quietest) period by any metric, earliest on ties."""
-    g = _period_frame(model, filters, grain, [], [M.metric(metric)])
+    g = _period_frame(model, filters, grain, [], [metric])
     return arg_extremes(g, metric, "period_start")
 
 

@@ -118,3 +118,16 @@ def test_generic_report_eager_equals_raw_join(spark, star):
     a = sorted(tuple(r) for r in R.report(star, by, mets).collect())
     b = sorted(tuple(r) for r in R.report(star, by, mets, eager=False).collect())
     assert a == b and len(a) > 0
+
+
+def test_growth_by_employee_attribute_matches_raw(spark, star):
+    from portal_metrics.plans import questions as Q
+    from pyspark.sql import functions as F
+    g = Q.growth(star, by=("employeeregion",), metric="views", grain="quarter")
+    raw = (star.wide(page="left", date="inner", employee="left")
+           .groupBy(F.coalesce("employeeregion", F.lit("Unknown")).alias("employeeregion"),
+                    F.trunc("date", "quarter").alias("period_start"))
+           .agg(F.sum("views").alias("views")))
+    a = sorted((r["employeeregion"], r["period_start"], r["views"]) for r in g.collect())
+    b = sorted((r["employeeregion"], r["period_start"], r["views"]) for r in raw.collect())
+    assert a == b
