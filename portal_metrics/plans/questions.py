@@ -63,16 +63,55 @@ def period_compare(model: StarModel, period_a, period_b, filters: Filters = NO_F
     return _compare_rows(one, "period_a", "period_b")
 
 
+def _side(f: Filters):
+    """(row-level predicate on fact/page columns, employee-level predicate)."""
+    from .reports import _split_employee_filters
+    rest, emp = _split_employee_filters(f)
+    p = rest.predicate()
+    return (p if p is not None else F.lit(True)), emp
+
+
 def ab_compare(model: StarModel, filters_a: Filters, filters_b: Filters,
                base: Filters = NO_FILTERS) -> DataFrame:
-    """ASK-12: the same metrics under two filter sets, side by side (one scan)."""
+    """ASK-12: the same metrics under two filter sets, side by side (one scan).
+
+    Without employee conditions it is one conditional aggregation.  With
+    them, each side's partial sums are built per visitor first, the
+    employees are joined to one row per visitor, and the employee part of
+    each side is applied there (re-summed, so key fan-out is unchanged)."""
     emp = filters_a.uses_employee() or filters_b.uses_employee() or base.uses_employee()
-    w = model.wide(base, page="left", employee="left" if emp else None)
-    pa, pb = filters_a.predicate(), filters_b.predicate()
-    pa = pa if pa is not None else F.lit(True)
-    pb = pb if pb is not None else F.lit(True)
-    one = w.where(pa | pb).agg(*_cond_metrics(pa, "_a"), *_cond_metrics(pb, "_b"))
-    return _compare_rows(one, "side_a", "side_b")
+    if not emp:
+        w = model.wide(base, page="left")
+        pa, pb = _side(filters_a)[0], _side(filters_b)[0]
+        one = w.where(pa | pb).agg(*_cond_metrics(pa, "_a"), *_cond_metrics(pb, "_b"))
+        return _compare_rows(one, "side_a", "side_b")
+    from .reports import _split_employee_filters
+    base_rest, base_emp = _split_employee_filters(base)
+    (pa, ea), (pb, eb) = _side(filters_a), _side(filters_b)
+    w = model.wide(base_rest, page="left")
+    parts = []
+    for sfx, p in (("_a", pa), ("_b", pb)):
+        p = F.coalesce(p, F.lit(False))
+        parts += [F.sum(F.when(p, F.col("views"))).alias(f"v{sfx}"), F.sum(F.when(p, F.col("visits"))).alias(f"n{sfx}"),
+                  F.count_if(p & M.is_like()).alias(f"l{sfx}"), F.sum(F.when(p, F.col("comments"))).alias(f"c{sfx}"),
+                  F.max(p).alias(f"any{sfx}")]
+    per = w.where(pa | pb).groupBy("viewingcontactid").agg(*parts)
+    e = model.employees()
+    j = per.join(e, per["viewingcontactid"] == e["contactid"], "left")
+    if base_emp is not None:
+        j = j.where(base_emp)
+    cols = []
+    for sfx, ep in (("_a", ea), ("_b", eb)):
+        ok = F.coalesce(ep, F.lit(False)) if ep is not None else F.lit(True)
+        z = F.lit(0).cast("long")
+        vw = F.coalesce(F.sum(F.when(ok, F.col(f"v{sfx}"))), z)
+        lk = F.coalesce(F.sum(F.when(ok, F.col(f"l{sfx}"))), z)
+        cm = F.coalesce(F.sum(F.when(ok, F.col(f"c{sfx}"))), z)
+        cols += [F.count_distinct(F.when(ok & F.col(f"any{sfx}"), F.col("viewingcontactid"))).alias(f"uv{sfx}"),
+                 vw.alias(f"views{sfx}"), F.coalesce(F.sum(F.when(ok, F.col(f"n{sfx}"))), z).alias(f"visits{sfx}"),
+                 lk.alias(f"likes{sfx}"), cm.alias(f"comments{sfx}"), (lk + cm).alias(f"engagements{sfx}"),
+                 M.pct_zero(lk + cm, vw).alias(f"engagement_rate{sfx}")]
+    return _compare_rows(j.agg(*cols), "side_a", "side_b")
 
 
 # ------------------------------------------------------------- ASK-3, 4, 10
@@ -227,20 +266,33 @@ def benchmark_page(model: StarModel, page_id: str, group: str = "contenttype",
 def co_visit(model: StarModel, filter_a: Filters, filter_b: Filters, base: Filters = NO_FILTERS,
              by=()) -> DataFrame:
     """ASK-14: visitors who saw A, who saw B, who saw both, and the share of
-    A's visitors who also saw B (and the drop-off)."""
-    emp = filter_a.uses_employee() or filter_b.uses_employee() or any(b.startswith("employee") for b in by)
-    w = model.wide(base, page="left", employee="left" if emp else None)
-    pa, pb = filter_a.predicate(), filter_b.predicate()
-    pa = pa if pa is not None else F.lit(True)
-    pb = pb if pb is not None else F.lit(True)
-    keys = MS._keys(by)
-    per = (w.where(F.col("viewingcontactid").isNotNull())
-           .groupBy(*keys, "viewingcontactid").agg(F.max(F.coalesce(pa, F.lit(False))).alias("_a"),
-                                                   F.max(F.coalesce(pb, F.lit(False))).alias("_b")))
-    names = list(by)
+    A's visitors who also saw B (and the drop-off).
+
+    Flags are maxed per visitor on the fact (page/fact parts of A and B);
+    employee attributes -- in ``by`` or in the filters -- are joined to
+    that one-row-per-visitor result and the flags re-maxed, never joined
+    to raw page views."""
+    from .reports import _split_employee_filters
+    by = list(by)
+    base_rest, base_emp = _split_employee_filters(base)
+    (pa, ea), (pb, eb) = _side(filter_a), _side(filter_b)
+    emp_by = [b for b in by if b in MS._EMP_COLS]
+    fact_by = [b for b in by if b not in MS._EMP_COLS]
+    w = model.wide(base_rest, page="left").where(F.col("viewingcontactid").isNotNull())
+    per = w.groupBy(*MS._keys(fact_by), "viewingcontactid").agg(
+        F.max(F.coalesce(pa, F.lit(False))).alias("_a"), F.max(F.coalesce(pb, F.lit(False))).alias("_b"))
+    if emp_by or any(x is not None for x in (ea, eb, base_emp)):
+        e = model.employees()
+        j = per.join(e, per["viewingcontactid"] == e["contactid"], "left")
+        if base_emp is not None:
+            j = j.where(base_emp)
+        a = F.col("_a") & (F.coalesce(ea, F.lit(False)) if ea is not None else F.lit(True))
+        b = F.col("_b") & (F.coalesce(eb, F.lit(False)) if eb is not None else F.lit(True))
+        per = j.groupBy(*[F.col(x) for x in fact_by], *MS._keys(emp_by), "viewingcontactid").agg(
+            F.max(a).alias("_a"), F.max(b).alias("_b"))
     cols = [F.count_if("_a").alias("visitors_a"), F.count_if("_b").alias("visitors_b"),
             F.count_if(F.col("_a") & F.col("_b")).alias("visitors_both")]
-    out = per.groupBy(*names).agg(*cols) if names else per.agg(*cols)
+    out = per.groupBy(*by).agg(*cols) if by else per.agg(*cols)
     return (out.withColumn("a_to_b_pct", M.pct_zero(F.col("visitors_both"), F.col("visitors_a")))
                .withColumn("drop_off_pct", F.lit(100.0) - F.col("a_to_b_pct")))
 

@@ -131,3 +131,38 @@ def test_growth_by_employee_attribute_matches_raw(spark, star):
     a = sorted((r["employeeregion"], r["period_start"], r["views"]) for r in g.collect())
     b = sorted((r["employeeregion"], r["period_start"], r["views"]) for r in raw.collect())
     assert a == b
+
+
+def _raw_ab(star, fa, fb):
+    from pyspark.sql import functions as F
+    from portal_metrics.plans.questions import _compare_rows, _cond_metrics
+    w = star.wide(page="left", employee="left")
+    pa, pb = fa.predicate(), fb.predicate()
+    return _compare_rows(w.where(pa | pb).agg(*_cond_metrics(pa, "_a"), *_cond_metrics(pb, "_b")), "side_a", "side_b")
+
+
+def test_ab_compare_with_employee_sides_matches_raw_join(spark, star):
+    from portal_metrics.functions.filters import Filters
+    from portal_metrics.plans import questions as Q
+    fa = Filters(equals={"employeeregion": ["ASIA"], "contenttype": ["Article"]})
+    fb = Filters(equals={"employeeregion": ["EUROPE"]})
+    a = sorted(tuple(r) for r in Q.ab_compare(star, fa, fb).collect())
+    b = sorted(tuple(r) for r in _raw_ab(star, fa, fb).collect())
+    assert a == b
+
+
+def test_co_visit_with_employee_by_matches_raw_join(spark, star):
+    from pyspark.sql import functions as F
+    from portal_metrics.functions.filters import Filters
+    from portal_metrics.plans import questions as Q
+    fa = Filters(equals={"contenttype": ["Homepage"]})
+    fb = Filters(equals={"contenttype": ["Article"], "employeeclass": ["Employee"]})
+    got = {r["employeeregion"]: (r["visitors_a"], r["visitors_b"], r["visitors_both"])
+           for r in Q.co_visit(star, fa, fb, by=("employeeregion",)).collect()}
+    w = star.wide(page="left", employee="left").where(F.col("viewingcontactid").isNotNull())
+    per = w.groupBy(F.coalesce("employeeregion", F.lit("Unknown")).alias("r"), "viewingcontactid").agg(
+        F.max(F.coalesce(fa.predicate(), F.lit(False))).alias("a"),
+        F.max(F.coalesce(fb.predicate(), F.lit(False))).alias("b"))
+    exp = {r["r"]: (r["x"], r["y"], r["z"]) for r in per.groupBy("r").agg(
+        F.count_if("a").alias("x"), F.count_if("b").alias("y"), F.count_if(F.col("a") & F.col("b")).alias("z")).collect()}
+    assert got == exp
