@@ -67,7 +67,22 @@ def _agg(model, by, filters, cols: list[Column], need=()) -> DataFrame:
 # ---------------------------------------------------------------- MEA-1..7
 def core_measures(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-1..7: UV, Total Views, Total Visits, Likes, Comments,
-    Engagements (blank = 0) and Engagement Rate (DIVIDE(..,0) * 100)."""
+    Engagements (blank = 0) and Engagement Rate (DIVIDE(..,0) * 100).
+
+    By employee attributes, the fact is reduced per visitor first."""
+    names = _by(by)
+    if any(b in _EMP_COLS for b in names) or filters.uses_employee():
+        raw = [b for b in names if b not in _EMP_COLS]
+        v = _visitors(model, filters, keys=tuple(F.col(b) for b in raw),
+                      date="inner" if set(names) & _DATE_COLS else None)
+        z = F.lit(0).cast("long")
+        lk, cm, vw = F.coalesce(F.sum("likes"), z), F.sum("comments"), F.sum("views")
+        eng = lk + F.coalesce(cm, z)
+        cols = [F.count_distinct("viewingcontactid").alias("uv"), vw.alias("total_views"),
+                F.sum("visits").alias("total_visits"), lk.alias("likes"), cm.alias("comments"),
+                eng.alias("engagements"), M.pct_zero(eng, vw).alias("engagement_rate")]
+        keys = _keys(names)
+        return v.groupBy(*keys).agg(*cols) if keys else v.agg(*cols)
     return _agg(model, by, filters, [
         M.uv().alias("uv"), M.views().alias("total_views"), M.visits().alias("total_visits"),
         M.likes_count().alias("likes"), M.comments().alias("comments"),
