@@ -137,3 +137,19 @@ def test_incremental_load_twice_is_idempotent(spark, tmp_path):
     r = run_load(spark, fact, pages, None, root, export=False)
     assert r.audits[0].rows_before == r.audits[0].rows_after == 2
     assert r.audits[1].rows_after == 1                       # page upsert replaced, not duplicated
+
+
+def test_infer_mode_ends_in_declared_schema(spark, tmp_path):
+    path = _fact_csv(str(tmp_path / "f.csv"), [(20251001, 3)])
+    df = read_fact_csv(spark, path, infer=True)
+    assert df.schema == FACT_SCHEMA and df.first()["views"] == 3
+
+
+def test_export_report_csv_roundtrip(spark, tmp_path):
+    from portal_metrics.plans.reports import summary
+    from portal_metrics.sources.store import export_report
+    from tests.fixtures import fixture_model
+    out = str(tmp_path / "rep")
+    export_report(summary(fixture_model(spark)), out)
+    back = spark.read.option("header", True).csv(out).first()
+    assert back["total_rows"] == "7"
