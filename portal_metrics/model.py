@@ -134,5 +134,21 @@ class StarModel:
         emp = optional_parquet(spark, f"{base}/employee_contact.parquet")
         return cls(fact, pages, dates, emp)
 
+    def with_unique_page_keys(self) -> "StarModel":
+        """Declare page ids unique -- only after checking it (one aggregate
+        over the page inventory, dimension-sized).
+
+        The inventory is then expressed as ``dropDuplicates`` on its key,
+        a no-op for unique keys that tells Catalyst the join side is
+        distinct: reports that read no page column lose the page LEFT join
+        entirely (outer-join elimination), the others keep it.  With
+        duplicated ids the model is returned unchanged, so their fan-out
+        (rule M8) is preserved and the quality report still shows them."""
+        from .operators.quality import key_stats
+        dup = key_stats(self.page_inventory, ["marketingpageid"]).first()["duplicate_key_groups"]
+        if dup:
+            return self
+        return dataclasses.replace(self, page_inventory=self.page_inventory.dropDuplicates(["marketingpageid"]))
+
     def fact_columns(self) -> list[str]:
         return [c for c in self.fact.columns if c != FACT_PARTITION]

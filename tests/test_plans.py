@@ -45,3 +45,17 @@ def test_bounded_broadcast_respects_limit(spark, star):
     hinted = bounded_broadcast(pages, max_bytes=1)
     assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" in bounded_broadcast(pages)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_validated_unique_page_keys_drop_unused_join(spark, star):
+    m = star.with_unique_page_keys()
+    p = m.wide(page="left").groupBy("visitdatekey").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in p
+    for fn in (reports.monthly_uv, reports.uv_by_website, reports.uv_by_region, reports.summary):
+        assert sorted(map(tuple, fn(m).collect())) == sorted(map(tuple, fn(star).collect())), fn.__name__
+
+
+def test_duplicate_page_keys_keep_the_join(spark):
+    from tests.fixtures import PAGE_ROWS, fixture_model
+    m = fixture_model(spark, pages=PAGE_ROWS + [PAGE_ROWS[0]])
+    assert m.with_unique_page_keys() is m
