@@ -169,7 +169,7 @@ def star_from_tpch(spark: SparkSession, sf_dir: str, with_employee: bool = True)
     driver round trips, reading them costs nothing until an action)."""
     key = (id(spark), sf_dir.rstrip("/"), with_employee)
     hit = _STAR_CACHE.get(key)
-    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+    if hit is not None and hit[0] is spark:
         return hit[1]
     model = StarModel(
         fact=fact_from_tpch(spark, sf_dir),
