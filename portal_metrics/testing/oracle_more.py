@@ -113,7 +113,7 @@ LEFT JOIN (SELECT COALESCE(e.{seg}, 'Unknown') AS {seg}, {UV} AS uv
 
 
 SQL["dsh02_reach_vs_target"] = q(f"""
-SELECT segment_type, segment, employees, uv, reach_rate, 80.0 AS target_pct, 80.0 - reach_rate AS gap_pct,
+SELECT segment_type, segment, employees, uv, reach_rate, CAST(80.0 AS DOUBLE) AS target_pct, 80.0 - reach_rate AS gap_pct,
        reach_rate >= 80.0 AS target_met
 FROM (SELECT 'division' AS segment_type, * FROM ({_reach('employeebusinessdivision')}) a
       UNION ALL SELECT 'region' AS segment_type, * FROM ({_reach('employeeregion')}) b) u""")
@@ -377,12 +377,12 @@ PERIODS = [("today", 20000615, 20000615), ("this_week", 20000612, 20000618),
            ("last_quarter", 20000101, 20000331), ("this_year", 20000101, 20001231),
            ("last_n_days", 20000516, 99991231)]
 SQL["ask20_period_summary"] = q(f"""
-SELECT pr.period, pr.day_from, pr.day_to, {UV} AS uv, {VIEWS} AS total_views, {VISITS} AS total_visits,
+SELECT pr.period, CAST(pr.day_from AS BIGINT) AS day_from, CAST(pr.day_to AS BIGINT) AS day_to, {UV} AS uv, {VIEWS} AS total_views, {VISITS} AS total_visits,
        {LIKES_N} AS likes, COALESCE({COMMENTS}, 0) AS comments, {ENG0} AS engagements, {RATE0} AS engagement_rate
 FROM fact f LEFT JOIN page_inventory p ON f.marketingpageid = p.marketingpageid
 JOIN (VALUES {', '.join(f"('{n}', {a}, {b})" for n, a, b in PERIODS)}) pr(period, day_from, day_to)
   ON f.visitdatekey BETWEEN pr.day_from AND pr.day_to
-GROUP BY 1, 2, 3""")
+GROUP BY pr.period, pr.day_from, pr.day_to""")
 
 # ---------------------------------------------------------- ASK-18 journeys
 EV = """ev AS (SELECT user_id, ts, event_id, json_extract_string(props, '$.k') AS page FROM events),

@@ -39,3 +39,24 @@ def test_oracle_spot(spark, name):
     res = con.execute(E.oracle_sql()[name])
     err = compare([tuple(r) for r in df.collect()], df.columns, res.fetchall(), [d[0] for d in res.description])
     assert err is None, err
+
+
+def test_oracle_column_types_match(spark):
+    """Spark and DuckDB agree on every column's type, not only its values."""
+    m = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+         "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+    con = duckdb.connect()
+    for t in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+              "labels conversations").split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    sqls = E.oracle_sql()
+    bad = []
+    for name, fn in E.queries().items():
+        if name not in sqls:
+            continue
+        st = {f.name: f.dataType.simpleString() for f in fn(spark, SF_SMALL).schema.fields}
+        rel = con.sql(sqls[name])
+        for c, t in zip(rel.columns, rel.types):
+            if m.get(str(t), str(t)) != st.get(c):
+                bad.append((name, c, st.get(c), str(t)))
+    assert not bad, bad[:10]
