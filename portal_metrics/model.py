@@ -50,18 +50,21 @@ def broadcast_inflation(spark: SparkSession) -> float:
     return float(spark.conf.get("portal_metrics.broadcast.inflation", None) or 4.0)
 
 
-def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the size estimate is known and, inflated to
-    in-memory size, under the limit.  Otherwise the join is left to the
-    planner (shuffle join; AQE may still broadcast from measured sizes)."""
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """The size check behind every explicit broadcast."""
     spark = df.sparkSession
     limit = max_bytes if max_bytes is not None else broadcast_limit(spark)
     if limit < 0:
-        return df
+        return False
     size = plan_size_bytes(df)
-    if size is not None and size * broadcast_inflation(spark) <= limit:
-        return F.broadcast(df)
-    return df
+    return size is not None and size * broadcast_inflation(spark) <= limit
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only when the size estimate is known and, inflated to
+    in-memory size, under the limit.  Otherwise the join is left to the
+    planner (shuffle join; AQE may still broadcast from measured sizes)."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 @dataclasses.dataclass

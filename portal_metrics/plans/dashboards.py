@@ -91,11 +91,9 @@ def monthly_reach_by_region(model: StarModel, filters: Filters = NO_FILTERS,
 # ---------------------------------------------------------------- DSH-4..6
 def page_performance(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """Per page: UV, views, engagements (blank = 0), engagement rate."""
-    w = model.wide(filters, page="left")
-    return w.groupBy("marketingpageid", M.label("pagename").alias("pagename"),
-                     M.label("websitename").alias("websitename")).agg(
-        M.uv().alias("uv"), M.views().alias("total_views"),
-        M.engagements_zero().alias("engagements"), M.engagement_rate_zero().alias("engagement_rate"))
+    return R.page_grouped(model, filters, [F.col("marketingpageid"), M.label("pagename").alias("pagename"),
+                                           M.label("websitename").alias("websitename")], [
+        ("uv", "uv"), ("total_views", "views"), ("engagements", "engagements0"), ("engagement_rate", "rate0")])
 
 
 def content_cards(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:

@@ -34,6 +34,81 @@ def _asc(*cols):
     return [F.col(x).asc_nulls_last() if isinstance(x, str) else x for x in cols]
 
 
+# ------------------------------------------------------- page-grouped plans
+# name -> (aggregate over joined fact rows, aggregate over page_partials rows)
+_GROUP_METRICS = {
+    "rows": (M.rows, lambda: F.sum("rows")),
+    "uv": (M.uv, lambda: F.count_distinct("viewingcontactid")),
+    "views": (M.views, lambda: F.sum("views")),
+    "visits": (M.visits, lambda: F.sum("visits")),
+    "likes": (M.likes, lambda: F.sum("likes")),
+    "comments": (M.comments, lambda: F.sum("comments")),
+    "engagements": (M.engagements, lambda: F.sum("likes") + F.sum("comments")),
+    "pages": (M.pages, lambda: F.count_distinct("marketingpageid")),
+    "rate2": (lambda: M.engagement_rate(2),
+              lambda: M.pct_null(F.sum("likes") + F.sum("comments"), F.sum("views"), 2)),
+    "rate3": (lambda: M.engagement_rate(3),
+              lambda: M.pct_null(F.sum("likes") + F.sum("comments"), F.sum("views"), 3)),
+    "views_per_visitor": (lambda: M.per_visitor(M.views(), 2),
+                          lambda: F.round(M.ratio_null(F.sum("views"), F.count_distinct("viewingcontactid")), 2)),
+    "avg_duration": (lambda: F.round(F.avg("durationavg"), 1),
+                     lambda: F.round(F.try_divide(F.sum("davg_sum"), F.sum("davg_n").cast("double")), 1)),
+    "likes0": (M.likes_count, lambda: F.coalesce(F.sum("likes"), F.lit(0).cast("long"))),
+    "comments0": (lambda: F.coalesce(M.comments(), F.lit(0).cast("long")),
+                  lambda: F.coalesce(F.sum("comments"), F.lit(0).cast("long"))),
+    "engagements0": (M.engagements_zero,
+                     lambda: F.coalesce(F.sum("likes"), F.lit(0).cast("long"))
+                     + F.coalesce(F.sum("comments"), F.lit(0).cast("long"))),
+    "rate0": (M.engagement_rate_zero,
+              lambda: M.pct_zero(F.coalesce(F.sum("likes"), F.lit(0).cast("long"))
+                                 + F.coalesce(F.sum("comments"), F.lit(0).cast("long")), F.sum("views"))),
+}
+
+
+def _page_filter_parts(filters: Filters):
+    """(fact-only filters, predicate on page columns or None)."""
+    fact_eq = tuple((k, v) for k, v in filters.equals if k not in _PAGE_COLS)
+    page_eq = tuple((k, v) for k, v in filters.equals if k in _PAGE_COLS)
+    fact_only = Filters(date_from=filters.date_from, date_to=filters.date_to, equals=fact_eq)
+    page_only = Filters(website=filters.website, page_url=filters.page_url, page_name=filters.page_name,
+                        equals=page_eq)
+    return fact_only, page_only.predicate()
+
+
+def page_partials(model: StarModel, filters: Filters = NO_FILTERS, keys=(), date=None) -> DataFrame:
+    """Fact rows pre-aggregated per (page, visitor, keys), then joined to the
+    page inventory: the plan for page-grouped reports when the inventory is
+    too big to broadcast.  The fact is shuffled once, already reduced (and a
+    hot page's rows are spread over its visitors), before the page join.
+    Page filters apply after the join, so orphans drop out as in M7."""
+    fact_only, page_pred = _page_filter_parts(filters)
+    w = model.wide(fact_only, page=None, date=date)
+    per = w.groupBy("marketingpageid", "viewingcontactid", *keys).agg(
+        M.rows().alias("rows"), M.views().alias("views"), M.visits().alias("visits"),
+        M.likes().alias("likes"), M.comments().alias("comments"),
+        F.sum("durationavg").alias("davg_sum"), F.count("durationavg").alias("davg_n"))
+    j = per.join(model.page_inventory, "marketingpageid", "left")
+    return j.filter(page_pred) if page_pred is not None else j
+
+
+def page_grouped(model: StarModel, filters: Filters, keys: list, metrics: list, fact_keys=(),
+                 date=None) -> DataFrame:
+    """Group by page attributes (``keys`` are Columns over the joined star)
+    with named re-aggregatable metrics [(alias, name)].  The page join is a
+    broadcast when the inventory passes the size check; beyond it, the fact
+    is first reduced per (page, visitor)."""
+    from ..model import fits_broadcast
+    if not filters.uses_employee() and not fits_broadcast(model.page_inventory):
+        j = page_partials(model, filters, keys=fact_keys, date=date)
+        return j.groupBy(*keys).agg(*[_GROUP_METRICS[n][1]().alias(a) for a, n in metrics])
+    w = model.wide(filters, page="left", date=date)
+    return w.groupBy(*keys).agg(*[_GROUP_METRICS[n][0]().alias(a) for a, n in metrics])
+
+
+_BASE = [("unique_visitors", "uv"), ("total_views", "views"), ("total_visits", "visits"),
+         ("likes", "likes"), ("comments", "comments"), ("engagements", "engagements")]
+
+
 # ------------------------------------------------------------------ QRY-1..5
 def summary(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """QRY-1: one row of dataset totals."""
@@ -86,19 +161,16 @@ def quarterly_uv(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
 # ----------------------------------------------------------------- QRY-6..15
 def uv_by_website(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """QRY-6."""
-    w = model.wide(filters, page="left")
-    return (w.groupBy(M.label("websitename").alias("website"))
-            .agg(*M.base_metrics(), M.pages().alias("pages_viewed"))
-            .orderBy(F.desc("unique_visitors"), *_asc("website")))
+    g = page_grouped(model, filters, [M.label("websitename").alias("website")],
+                     _BASE + [("pages_viewed", "pages")])
+    return g.orderBy(F.desc("unique_visitors"), *_asc("website"))
 
 
 def uv_by_theme(model: StarModel, filters: Filters = NO_FILTERS, limit: int = 20) -> DataFrame:
     """QRY-7: top themes by UV."""
-    w = model.wide(filters, page="left")
-    g = w.groupBy(M.label("theme").alias("theme")).agg(
-        M.uv().alias("unique_visitors"), M.views().alias("total_views"),
-        M.likes().alias("likes"), M.comments().alias("comments"),
-        M.engagements().alias("engagements"), M.pages().alias("pages_in_theme"))
+    g = page_grouped(model, filters, [M.label("theme").alias("theme")], [
+        ("unique_visitors", "uv"), ("total_views", "views"), ("likes", "likes"), ("comments", "comments"),
+        ("engagements", "engagements"), ("pages_in_theme", "pages")])
     return top_k(g, [F.desc("unique_visitors")], ["theme"], limit)
 
 
@@ -116,45 +188,37 @@ _PAGE_KEY4 = ["marketingpageid", "pagename", "websitename"]
 
 def top_engaged_pages(model: StarModel, filters: Filters = NO_FILTERS, limit: int = 25) -> DataFrame:
     """QRY-9: pages with engagement > 0, most engaged first."""
-    w = model.wide(filters, page="left")
     keys = _PAGE_KEY4 + ["theme"]
-    g = (w.groupBy(*keys).agg(
-        M.likes().alias("likes"), M.comments().alias("comments"),
-        M.engagements().alias("total_engagements"), M.views().alias("total_views"),
-        M.uv().alias("unique_visitors"), M.engagement_rate(2).alias("engagement_rate_pct"))
-        .filter(F.col("total_engagements") > 0))
+    g = page_grouped(model, filters, [F.col(k) for k in keys], [
+        ("likes", "likes"), ("comments", "comments"), ("total_engagements", "engagements"),
+        ("total_views", "views"), ("unique_visitors", "uv"), ("engagement_rate_pct", "rate2")])
+    g = g.filter(F.col("total_engagements") > 0)
     return top_k(g, [F.desc("total_engagements")], keys, limit)
 
 
 def engagement_by_contenttype(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """QRY-10."""
-    w = model.wide(filters, page="left")
-    return (w.groupBy(M.label("contenttype").alias("content_type")).agg(
-        M.likes().alias("likes"), M.comments().alias("comments"),
-        M.engagements().alias("total_engagements"), M.views().alias("total_views"),
-        M.uv().alias("unique_visitors"), M.engagement_rate(3).alias("engagement_rate_pct"))
-        .orderBy(F.desc_nulls_last("total_engagements"), *_asc("content_type")))
+    g = page_grouped(model, filters, [M.label("contenttype").alias("content_type")], [
+        ("likes", "likes"), ("comments", "comments"), ("total_engagements", "engagements"),
+        ("total_views", "views"), ("unique_visitors", "uv"), ("engagement_rate_pct", "rate3")])
+    return g.orderBy(F.desc_nulls_last("total_engagements"), *_asc("content_type"))
 
 
 def top_pages_by_views(model: StarModel, filters: Filters = NO_FILTERS, limit: int = 25) -> DataFrame:
     """QRY-11."""
-    w = model.wide(filters, page="left")
     keys = _PAGE_KEY4 + ["fullpageurl"]
-    g = w.groupBy(*keys).agg(
-        M.views().alias("total_views"), M.visits().alias("total_visits"),
-        M.uv().alias("unique_visitors"), M.likes().alias("likes"), M.comments().alias("comments"),
-        F.round(F.avg("durationavg"), 1).alias("avg_duration_sec"))
+    g = page_grouped(model, filters, [F.col(k) for k in keys], [
+        ("total_views", "views"), ("total_visits", "visits"), ("unique_visitors", "uv"),
+        ("likes", "likes"), ("comments", "comments"), ("avg_duration_sec", "avg_duration")])
     return top_k(g, [F.desc_nulls_last("total_views")], keys, limit)
 
 
 def top_pages_by_uv(model: StarModel, filters: Filters = NO_FILTERS, limit: int = 25) -> DataFrame:
     """QRY-12."""
-    w = model.wide(filters, page="left")
     keys = _PAGE_KEY4 + ["fullpageurl"]
-    g = w.groupBy(*keys).agg(
-        M.uv().alias("unique_visitors"), M.views().alias("total_views"),
-        M.per_visitor(M.views(), 2).alias("views_per_visitor"),
-        M.likes().alias("likes"), M.comments().alias("comments"))
+    g = page_grouped(model, filters, [F.col(k) for k in keys], [
+        ("unique_visitors", "uv"), ("total_views", "views"), ("views_per_visitor", "views_per_visitor"),
+        ("likes", "likes"), ("comments", "comments")])
     return top_k(g, [F.desc("unique_visitors")], keys, limit)
 
 
@@ -185,10 +249,9 @@ def overall_engagement(model: StarModel, filters: Filters = NO_FILTERS) -> DataF
 
 def rows_per_website(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """QRY-15: data volume per site."""
-    w = model.wide(filters, page="left")
-    return (w.groupBy(M.label("websitename").alias("website")).agg(
-        M.rows().alias("row_count"), M.views().alias("total_views"), M.uv().alias("unique_visitors"))
-        .orderBy(F.desc("row_count"), *_asc("website")))
+    g = page_grouped(model, filters, [M.label("websitename").alias("website")], [
+        ("row_count", "rows"), ("total_views", "views"), ("unique_visitors", "uv")])
+    return g.orderBy(F.desc("row_count"), *_asc("website"))
 
 
 # ---------------------------------------------------------------- QRY-16..20
@@ -212,18 +275,16 @@ def peak_day(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
 
 def top15_pages_chart(model: StarModel, filters: Filters = NO_FILTERS, limit: int = 15) -> DataFrame:
     """QRY-18: top pages by UV with a display label cut at 43 chars."""
-    w = model.wide(filters, page="left")
-    g = w.groupBy(F.coalesce("pagename", "marketingpageid").alias("page")).agg(
-        M.uv().alias("unique_visitors"), M.views().alias("total_views"))
+    g = page_grouped(model, filters, [F.coalesce("pagename", "marketingpageid").alias("page")], [
+        ("unique_visitors", "uv"), ("total_views", "views")])
     return top_k(g, [F.desc("unique_visitors")], ["page"], limit).withColumn(
         "page_short", M.truncate_label("page"))
 
 
 def uv_by_website_chart(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """QRY-19: UV per site plus the (double-counting) sum of site UVs."""
-    w = model.wide(filters, page="left")
-    g = w.groupBy(M.label("websitename").alias("website")).agg(
-        M.uv().alias("unique_visitors"), M.views().alias("total_views"))
+    g = page_grouped(model, filters, [M.label("websitename").alias("website")], [
+        ("unique_visitors", "uv"), ("total_views", "views")])
     # one row per site: the un-partitioned window runs over a small result
     return g.withColumn("sum_of_site_uv", F.sum("unique_visitors").over(Window.partitionBy())) \
             .orderBy(F.desc("unique_visitors"), *_asc("website"))
@@ -231,11 +292,9 @@ def uv_by_website_chart(model: StarModel, filters: Filters = NO_FILTERS) -> Data
 
 def engagement_chart(model: StarModel, filters: Filters = NO_FILTERS, limit: int = 15) -> DataFrame:
     """QRY-20."""
-    w = model.wide(filters, page="left")
-    g = (w.groupBy(M.label("contenttype").alias("content_type")).agg(
-        M.likes().alias("likes"), M.comments().alias("comments"),
-        M.engagements().alias("total_engagements"))
-        .filter(F.col("total_engagements") > 0))
+    g = page_grouped(model, filters, [M.label("contenttype").alias("content_type")], [
+        ("likes", "likes"), ("comments", "comments"), ("total_engagements", "engagements")])
+    g = g.filter(F.col("total_engagements") > 0)
     return top_k(g, [F.desc("total_engagements")], ["content_type"], limit)
 
 
