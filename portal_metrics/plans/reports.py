@@ -483,10 +483,16 @@ def report(model: StarModel, by, metrics=("uv", "views"), filters: Filters = NO_
     need_emp = any(b in _EMP_COLS for b in by) or filters.uses_employee()
     keys = [M.label(b).alias(b) if label_unknown and (b in _PAGE_COLS or b in _EMP_COLS)
             else F.col(b) for b in by]
+    as_group = {"engagement_rate": "rate3"}
     if eager and need_emp and all(m in _PARTIAL_METRICS for m in metrics):
         raw = [b for b in by if b not in _EMP_COLS]
         j = visitor_partials(model, filters, keys=raw, date="inner" if need_date else None)
         g = j.groupBy(*keys).agg(*[_PARTIAL_METRICS[m]().alias(m) for m in metrics])
+    elif (eager and any(b in _PAGE_COLS for b in by)
+          and all(as_group.get(m, m) in _GROUP_METRICS for m in metrics)):
+        fact_keys = [b for b in by if b not in _PAGE_COLS]
+        g = page_grouped(model, filters, keys, [(m, as_group.get(m, m)) for m in metrics],
+                         fact_keys=fact_keys, date="inner" if need_date else None)
     else:
         w = model.wide(filters, page="left", date="inner" if need_date else None,
                        employee="left" if need_emp else None)

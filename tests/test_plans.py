@@ -84,3 +84,13 @@ def test_page_partials_path_equals_broadcast_path(spark, star):
                 assert sorted(map(tuple, fn(star, f).collect())) == base[fn.__name__], fn.__name__
         finally:
             spark.conf.unset("portal_metrics.broadcast.maxBytes")
+
+
+def test_generic_report_page_partials(spark, star):
+    by, mets = ["contenttype", "referrerapplicationid", "year_month"], ["uv", "views", "engagement_rate", "pages"]
+    base = sorted(map(tuple, reports.report(star, by, mets).collect()))
+    spark.conf.set("portal_metrics.broadcast.maxBytes", "0")
+    try:
+        assert sorted(map(tuple, reports.report(star, by, mets).collect())) == base
+    finally:
+        spark.conf.unset("portal_metrics.broadcast.maxBytes")
