@@ -134,11 +134,16 @@ def content_table(model: StarModel, filters: Filters = NO_FILTERS, min_views: in
 def funnel(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """DSH-7: Homepage visitors > Article viewers > Engaged (independent
     stages, as specified) with % of the first stage and drop-off."""
-    w = model.wide(filters, page="left")
     ct, v = F.col("contenttype"), F.col("viewingcontactid")
+    if MS._page_partials_apply(model, (), filters):
+        w = R.page_partials(model, filters)            # (page, visitor) rows
+        engaged = (F.col("likes") > 0) | (F.coalesce(F.col("comments"), F.lit(0)) > 0)
+    else:
+        w = model.wide(filters, page="left")
+        engaged = M.is_engaged()
     one = w.agg(F.count_distinct(F.when(ct == "Homepage", v)).alias("s1"),
                 F.count_distinct(F.when(ct == "Article", v)).alias("s2"),
-                F.count_distinct(F.when(M.is_engaged(), v)).alias("s3"))
+                F.count_distinct(F.when(engaged, v)).alias("s3"))
     rows = one.select(F.explode(F.array(
         F.struct(F.lit(1).alias("stage_order"), F.lit("Homepage visitors").alias("stage"), F.col("s1").alias("visitors")),
         F.struct(F.lit(2).alias("stage_order"), F.lit("Article viewers").alias("stage"), F.col("s2").alias("visitors")),

@@ -173,10 +173,31 @@ def reach_trend_6m(model: StarModel, filters: Filters = NO_FILTERS, months: int
 
 
 # -------------------------------------------------------------- MEA-15..24
-def _per_visitor(model, by, filters, flags: dict[str, Column], need=("contenttype",)):
-    """Per (by, visitor): max of each boolean flag and distinct pages."""
-    w = wide_for(model, by, filters, need)
+def _page_partials_apply(model, by, filters) -> bool:
+    """Take the (page, visitor) partials plan: inventory past the broadcast
+    check, and no employee column involved."""
+    from ..model import fits_broadcast
+    return (not (set(_by(by)) & _EMP_COLS) and not filters.uses_employee()
+            and not fits_broadcast(model.page_inventory))
+
+
+def _per_visitor(model, by, filters, flags: dict[str, Column], need=("contenttype",),
+                 partial_flags: dict[str, Column] | None = None):
+    """Per (by, visitor): max of each boolean flag and distinct pages.
+
+    ``partial_flags`` are the same flags over ``page_partials`` rows (sums
+    per page and visitor); they are used when the page inventory is past
+    the broadcast check."""
     keys = _keys(by)
+    if partial_flags is not None and _page_partials_apply(model, by, filters):
+        from .reports import page_partials
+        names = _by(by)
+        j = page_partials(model, filters, keys=[b for b in names if b not in _PAGE_COLS],
+                          date="inner" if set(names) & _DATE_COLS else None)
+        return j.groupBy(*keys, "viewingcontactid").agg(
+            *[F.max(c).alias(n) for n, c in partial_flags.items()],
+            F.count_distinct("marketingpageid").alias("_pages"))
+    w = wide_for(model, by, filters, need)
     aggs = [F.max(c).alias(n) for n, c in flags.items()]
     return w.groupBy(*keys, "viewingcontactid").agg(
         *aggs, F.count_distinct("marketingpageid").alias("_pages"))
@@ -191,8 +212,8 @@ def homepage_article_ctr(model: StarModel, by=(), filters: Filters = NO_FILTERS)
     """MEA-15 Homepage Visitors, MEA-16 Article Visitors, MEA-17 CTR:
     visitors with both / homepage visitors * 100."""
     ct = F.col("contenttype")
-    pv = _per_visitor(model, by, filters, {"_hp": F.coalesce(ct == "Homepage", F.lit(False)),
-                                            "_ar": F.coalesce(ct == "Article", F.lit(False))})
+    flags = {"_hp": F.coalesce(ct == "Homepage", F.lit(False)), "_ar": F.coalesce(ct == "Article", F.lit(False))}
+    pv = _per_visitor(model, by, filters, flags, partial_flags=flags)
     pv = pv.where(F.col("viewingcontactid").isNotNull())
     out = _outer(pv, by, [F.count_if("_hp").alias("homepage_visitors"),
                           F.count_if("_ar").alias("article_visitors"),
@@ -231,7 +252,9 @@ def journey_depth(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> Dat
 
 def engagement_conversion(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-22: visitors with at least one engaged row / UV * 100."""
-    pv = _per_visitor(model, by, filters, {"_eng": M.is_engaged()}, need=())
+    engaged_partial = (F.col("likes") > 0) | (F.coalesce(F.col("comments"), F.lit(0)) > 0)
+    pv = _per_visitor(model, by, filters, {"_eng": M.is_engaged()}, need=(),
+                      partial_flags={"_eng": engaged_partial})
     pv = pv.where(F.col("viewingcontactid").isNotNull())
     out = _outer(pv, by, [F.count(F.lit(1)).alias("uv"), F.count_if("_eng").alias("engaged_visitors")])
     return out.withColumn("engagement_conversion", M.pct_zero(F.col("engaged_visitors"), F.col("uv")))
