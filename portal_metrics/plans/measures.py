@@ -51,6 +51,17 @@ def wide_for(model: StarModel, by, filters: Filters = NO_FILTERS, need=(),
     date = "inner" if cols & _DATE_COLS else None
     emp = "left" if (cols & _EMP_COLS) or filters.uses_employee() else None
     page = None if distinct_only and not (cols & _PAGE_COLS) else "left"
+    if distinct_only and emp:
+        # only (columns, visitor) pairs matter: reduce the fact to distinct
+        # pairs before the employee join, then apply employee filters
+        from .reports import _split_employee_filters
+        rest, emp_pred = _split_employee_filters(filters)
+        w = model.wide(rest, page=page, date=date)
+        keep = sorted(c for c in cols if c not in _EMP_COLS) + ["viewingcontactid"]
+        per = w.select(*keep).distinct()
+        e = model.employees()
+        j = per.join(e, per["viewingcontactid"] == e["contactid"], "left")
+        return j.filter(emp_pred) if emp_pred is not None else j
     return model.wide(filters, page=page, date=date, employee=emp)
 
 
@@ -145,7 +156,7 @@ def _visitors(model: StarModel, filters: Filters, keys=(), how: str = "left", pa
 
 
 def monthly_uv(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
-    w = wide_for(model, by, filters, need=("date",), distinct_only=True)
+    w = wide_for(model, by, filters, need=("date", "year_month"), distinct_only=True)
     return w.groupBy(*_keys(by), "year_month", F.trunc("date", "MM").alias("month_start")) \
             .agg(M.uv().alias("uv"))
 

@@ -166,3 +166,31 @@ def test_co_visit_with_employee_by_matches_raw_join(spark, star):
     exp = {r["r"]: (r["x"], r["y"], r["z"]) for r in per.groupBy("r").agg(
         F.count_if("a").alias("x"), F.count_if("b").alias("y"), F.count_if(F.col("a") & F.col("b")).alias("z")).collect()}
     assert got == exp
+
+
+def test_distinct_measures_by_employee_match_raw_join(spark, star):
+    from pyspark.sql import functions as F
+    from portal_metrics.functions.filters import Filters
+    f = Filters(equals={"employeeclass": ["Employee", "Intern"]})
+    raw = star.wide(f, page="left", date="inner", employee="left")
+    reg = F.coalesce("employeeregion", F.lit("Unknown")).alias("employeeregion")
+    daily = raw.groupBy(reg, "date").agg(F.count_distinct("viewingcontactid").alias("u"))
+    exp = {r[0]: r[1] for r in daily.groupBy("employeeregion").agg(F.avg("u")).collect()}
+    got = {r["employeeregion"]: r["daily_average_uv"]
+           for r in MS.daily_average_uv(star, ["employeeregion"], f).collect()}
+    assert got.keys() == exp.keys() and all(abs(got[k] - exp[k]) < 1e-9 for k in got)
+    mon = raw.groupBy(reg, "year_month").agg(F.count_distinct("viewingcontactid").alias("uv"))
+    exp_m = sorted((r[0], r[1], r[2]) for r in mon.collect())
+    got_m = sorted((r["employeeregion"], r["year_month"], r["uv"])
+                   for r in MS.reach_mom_change(star, ["employeeregion"], f).collect())
+    assert got_m == exp_m
+    tr = {(r["employeeregion"], r["month"]): r["uv_6m"] for r in MS.reach_trend_6m(star, f, by=["employeeregion"]).collect()}
+    v = raw.select(reg, "viewingcontactid", "date").where(F.col("viewingcontactid").isNotNull()).collect()
+    import datetime as dt
+    for (region, month), n in list(tr.items())[:40]:
+        end = (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        m = end.month - 6
+        start = dt.date(end.year + (m - 1) // 12, (m - 1) % 12 + 1, 1)
+        import calendar
+        start = start.replace(day=min(end.day, calendar.monthrange(start.year, start.month)[1]))
+        assert n == len({r[1] for r in v if r[0] == region and start < r[2] <= end}), (region, month)
