@@ -153,3 +153,19 @@ def test_export_report_csv_roundtrip(spark, tmp_path):
     export_report(summary(fixture_model(spark)), out)
     back = spark.read.option("header", True).csv(out).first()
     assert back["total_rows"] == "7"
+
+
+def test_range_scoped_validation(spark, tmp_path):
+    """A duplicate key inside the replaced range is caught by the range check;
+    the verdict equals the whole-table check."""
+    hdr_p = ",".join(src for _, _, src in __import__("portal_metrics.schemas", fromlist=["x"]).PAGE_COLUMNS)
+    pages = _write(str(tmp_path / "p.csv"), hdr_p + "\n" + ",".join(["s", "u", "b", "n", "f", "x", "p1"] + ["t"] * 13 + ["1"]) + "\n")
+    root = str(tmp_path / "s")
+    run_load(spark, _fact_csv(str(tmp_path / "a.csv"), [(20250901, 1), (20250902, 1)]), pages, None, root,
+             export=False)
+    dup = _fact_csv(str(tmp_path / "b.csv"), [(20251001, 1), (20251001, 2)])      # same 4-column key twice
+    r = run_load(spark, dup, pages, None, root, export=False, validate_scope="range")
+    assert not r.quality.valid and r.quality.fact_duplicate_groups == 1 and r.quality.fact_rows == 2
+    from portal_metrics.operators.quality import validate
+    full = validate(StarStore(spark, root).model())
+    assert full.valid == r.quality.valid and full.fact_duplicate_groups == 1 and full.fact_rows == 4
