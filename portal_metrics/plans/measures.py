@@ -271,20 +271,56 @@ def engagement_conversion(model: StarModel, by=(), filters: Filters = NO_FILTERS
     return out.withColumn("engagement_conversion", M.pct_zero(F.col("engaged_visitors"), F.col("uv")))
 
 
+def _conditional_uv_rate(model: StarModel, by, filters: Filters, conds: dict, need=()) -> DataFrame:
+    """For each named row condition: UV of matching rows and their
+    engagement rate (DIVIDE(..,0)), grouped by ``by``.
+
+    With employee attributes in ``by`` or the filters, the fact is reduced
+    per (fact/page keys, visitor) to per-condition partial sums first, and
+    employees join one row per visitor."""
+    names = _by(by)
+    z = F.lit(0).cast("long")
+    if not (set(names) & _EMP_COLS) and not filters.uses_employee():
+        cols = []
+        for n, cond in conds.items():
+            cond = F.coalesce(cond, F.lit(False))
+            lk = F.count_if(cond & M.is_like())
+            cm = F.coalesce(F.sum(F.when(cond, F.col("comments"))), z)
+            vw = F.sum(F.when(cond, F.col("views")))
+            cols += [F.count_distinct(F.when(cond, F.col("viewingcontactid"))).alias(f"{n}_uv"),
+                     M.pct_zero(lk + cm, vw).alias(f"{n}_engagement_rate")]
+        return _agg(model, by, filters, cols, need=need)
+    from .reports import _split_employee_filters
+    rest, emp_pred = _split_employee_filters(filters)
+    raw = [b for b in names if b not in _EMP_COLS]
+    w = model.wide(rest, page="left", date="inner" if set(raw) & _DATE_COLS else None)
+    parts = []
+    for n, cond in conds.items():
+        cond = F.coalesce(cond, F.lit(False))
+        parts += [F.count_if(cond & M.is_like()).alias(f"_l_{n}"),
+                  F.sum(F.when(cond, F.col("comments"))).alias(f"_c_{n}"),
+                  F.sum(F.when(cond, F.col("views"))).alias(f"_v_{n}"),
+                  F.max(cond).alias(f"_a_{n}")]
+    per = w.groupBy(*_keys(raw), "viewingcontactid").agg(*parts)
+    e = model.employees()
+    j = per.join(e, per["viewingcontactid"] == e["contactid"], "left")
+    if emp_pred is not None:
+        j = j.filter(emp_pred)
+    cols = []
+    for n in conds:
+        lk = F.coalesce(F.sum(f"_l_{n}"), z)
+        cm = F.coalesce(F.sum(f"_c_{n}"), z)
+        cols += [F.count_distinct(F.when(F.col(f"_a_{n}"), F.col("viewingcontactid"))).alias(f"{n}_uv"),
+                 M.pct_zero(lk + cm, F.sum(f"_v_{n}")).alias(f"{n}_engagement_rate")]
+    keys = [F.col(b) for b in raw] + _keys([b for b in names if b in _EMP_COLS])
+    return j.groupBy(*keys).agg(*cols) if keys else j.agg(*cols)
+
+
 def channel_measures(model: StarModel, by=(), filters: Filters = NO_FILTERS,
                      channels=("Email", "Intranet")) -> DataFrame:
     """MEA-23 Email UV / Intranet UV, MEA-24 Email / Intranet Engagement Rate."""
     ref = F.col("referrerapplicationid")
-    cols = []
-    for ch in channels:
-        on = ref == ch
-        n = ch.lower()
-        lk = F.count_if(on & M.is_like())
-        cm = F.coalesce(F.sum(F.when(on, F.col("comments"))), F.lit(0).cast("long"))
-        vw = F.sum(F.when(on, F.col("views")))
-        cols += [F.count_distinct(F.when(on, F.col("viewingcontactid"))).alias(f"{n}_uv"),
-                 M.pct_zero(lk + cm, vw).alias(f"{n}_engagement_rate")]
-    return _agg(model, by, filters, cols)
+    return _conditional_uv_rate(model, by, filters, {ch.lower(): ref == ch for ch in channels})
 
 
 # -------------------------------------------------------------- MEA-25..30
@@ -398,12 +434,6 @@ def category_measures(model: StarModel, by=(), filters: Filters = NO_FILTERS,
     """MEA-34 Strategy Content UV / Engagement Rate, MEA-35 Leadership
     Comms UV / Engagement Rate."""
     nc = F.col("newscategory")
-    cols = []
-    for name, cond in (("strategy", nc == strategy), ("leadership", nc.isin(list(leadership)))):
-        cond = F.coalesce(cond, F.lit(False))
-        lk = F.count_if(cond & M.is_like())
-        cm = F.coalesce(F.sum(F.when(cond, F.col("comments"))), F.lit(0).cast("long"))
-        vw = F.sum(F.when(cond, F.col("views")))
-        cols += [F.count_distinct(F.when(cond, F.col("viewingcontactid"))).alias(f"{name}_uv"),
-                 M.pct_zero(lk + cm, vw).alias(f"{name}_engagement_rate")]
-    return _agg(model, by, filters, cols, need=("newscategory",))
+    return _conditional_uv_rate(model, by, filters, {"strategy": nc == strategy,
+                                                     "leadership": nc.isin(list(leadership))},
+                                need=("newscategory",))

@@ -194,3 +194,24 @@ def test_distinct_measures_by_employee_match_raw_join(spark, star):
         import calendar
         start = start.replace(day=min(end.day, calendar.monthrange(start.year, start.month)[1]))
         assert n == len({r[1] for r in v if r[0] == region and start < r[2] <= end}), (region, month)
+
+
+def test_conditional_measures_by_employee_match_raw_join(spark, star):
+    from pyspark.sql import functions as F
+    from portal_metrics.plans.measures import _agg
+    from portal_metrics.functions import metrics as Mx
+    by = ["employeeregion", "contenttype"]
+    got = sorted(map(tuple, MS.channel_measures(star, by).select(
+        "employeeregion", "contenttype", "email_uv", "email_engagement_rate", "intranet_uv",
+        "intranet_engagement_rate").collect()))
+    cols = []
+    for ch in ("Email", "Intranet"):
+        on = F.coalesce(F.col("referrerapplicationid") == ch, F.lit(False))
+        lk = F.count_if(on & Mx.is_like())
+        cm = F.coalesce(F.sum(F.when(on, F.col("comments"))), F.lit(0).cast("long"))
+        cols += [F.count_distinct(F.when(on, F.col("viewingcontactid"))).alias(f"{ch.lower()}_uv"),
+                 Mx.pct_zero(lk + cm, F.sum(F.when(on, F.col("views")))).alias(f"{ch.lower()}_engagement_rate")]
+    exp = sorted(map(tuple, _agg(star, by, MS.NO_FILTERS, cols).select(
+        "employeeregion", "contenttype", "email_uv", "email_engagement_rate", "intranet_uv",
+        "intranet_engagement_rate").collect()))
+    assert got == exp and len(got) > 0
