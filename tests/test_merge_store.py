@@ -169,3 +169,20 @@ def test_range_scoped_validation(spark, tmp_path):
     from portal_metrics.operators.quality import validate
     full = validate(StarStore(spark, root).model())
     assert full.valid == r.quality.valid and full.fact_duplicate_groups == 1 and full.fact_rows == 4
+
+
+def test_load_job_command_line(spark, tmp_path, capsys):
+    from portal_metrics.plans.load_job import main
+    from portal_metrics.schemas import EMPLOYEE_SOURCE_NAMES, PAGE_COLUMNS
+    fact = _fact_csv(str(tmp_path / "f.csv"), [(20251001, 1), (20251002, 2)])
+    pages = _write(str(tmp_path / "p.csv"), ",".join(src for _, _, src in PAGE_COLUMNS) + "\n"
+                   + ",".join(["s", "u", "b", "n", "f", "x", "p1"] + ["t"] * 13 + ["1"]) + "\n")
+    emp = _write(str(tmp_path / "e.csv"), ",".join(f"employee_contact[{n}]" for n in EMPLOYEE_SOURCE_NAMES)
+                 + "\n" + ",".join(["u1"] + ["v"] * 16) + "\n")
+    out = str(tmp_path / "store")
+    main(["--fact", fact, "--inventory", pages, "--employee", emp, "--out", out])
+    printed = capsys.readouterr().out
+    assert "table='fact'" in printed and "table='employee_contact'" in printed
+    m = StarStore(spark, out).model()
+    assert m.fact.count() == 2 and m.employee_contact.count() == 1
+    assert os.path.exists(os.path.join(out, "export", "employee_contact.parquet"))
