@@ -233,15 +233,30 @@ def homepage_article_ctr(model: StarModel, by=(), filters: Filters = NO_FILTERS)
                           M.pct_zero(F.col("both_visitors"), F.col("homepage_visitors")))
 
 
-def journey_depth(model: StarModel, by=(), filters: Filters = NO_FILTERS) -> DataFrame:
+def journey_depth(model: StarModel, by=(), filters: Filters = NO_FILTERS, eager: bool = True) -> DataFrame:
     """MEA-18 Multi-Page Visitors, MEA-19 Multi-Page Rate, MEA-20 Avg Pages
     per Visitor (distinct pages / UV, literal), MEA-21 Views per Visitor,
-    plus the true mean of pages per visitor."""
-    w = wide_for(model, by, filters)
-    keys = _keys(by)
+    plus the true mean of pages per visitor.
+
+    By employee attributes (``eager``), the fact is reduced to views per
+    (keys, visitor, page) before the employee join."""
+    names = _by(by)
+    if eager and ((set(names) & _EMP_COLS) or filters.uses_employee()):
+        from .reports import _split_employee_filters
+        rest, emp_pred = _split_employee_filters(filters)
+        raw = [b for b in names if b not in _EMP_COLS]
+        base = model.wide(rest, page="left", date="inner" if set(raw) & _DATE_COLS else None)
+        part = base.groupBy(*_keys(raw), "viewingcontactid", "marketingpageid").agg(F.sum("views").alias("views"))
+        e = model.employees()
+        w = part.join(e, part["viewingcontactid"] == e["contactid"], "left")
+        if emp_pred is not None:
+            w = w.filter(emp_pred)
+        keys = [F.col(b) for b in raw] + _keys([b for b in names if b in _EMP_COLS])
+    else:
+        w = wide_for(model, by, filters)
+        keys = _keys(by)
     per = w.groupBy(*keys, "viewingcontactid").agg(
         F.count_distinct("marketingpageid").alias("_pages"), F.sum("views").alias("_views"))
-    names = _by(by)
     totals = [M.pages().alias("distinct_pages"), M.views().alias("total_views")]
     seen = per.where(F.col("viewingcontactid").isNotNull())
     inner = [F.count(F.lit(1)).alias("uv"), F.count_if(F.col("_pages") > 1).alias("multi_page_visitors"),

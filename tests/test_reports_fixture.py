@@ -215,3 +215,14 @@ def test_conditional_measures_by_employee_match_raw_join(spark, star):
         "employeeregion", "contenttype", "email_uv", "email_engagement_rate", "intranet_uv",
         "intranet_engagement_rate").collect()))
     assert got == exp and len(got) > 0
+
+
+def test_journey_depth_by_employee_eager_equals_raw(spark, star):
+    from portal_metrics.functions.filters import Filters
+    f = Filters(equals={"employeeclass": ["Employee"]})
+    for by, flt in ((["employeeregion"], Filters()), (["employeeregion", "referrerapplicationid"], f)):
+        a = sorted(map(tuple, MS.journey_depth(star, by, flt).select(*by, "uv", "multi_page_visitors",
+                   "avg_pages_per_visitor", "views_per_visitor", "mean_pages_per_visitor").collect()))
+        b = sorted(map(tuple, MS.journey_depth(star, by, flt, eager=False).select(*by, "uv", "multi_page_visitors",
+                   "avg_pages_per_visitor", "views_per_visitor", "mean_pages_per_visitor").collect()))
+        assert a == b and len(a) > 0
