@@ -208,6 +208,24 @@ def _per_visitor(model, by, filters, flags: dict[str, Column], need=("contenttyp
         return j.groupBy(*keys, "viewingcontactid").agg(
             *[F.max(c).alias(n) for n, c in partial_flags.items()],
             F.count_distinct("marketingpageid").alias("_pages"))
+    names = _by(by)
+    if (set(names) & _EMP_COLS) or filters.uses_employee():
+        # flags are per row (page/fact attributes): max them per (fact keys,
+        # visitor) first, join employees to one row per visitor, re-max
+        from .reports import _split_employee_filters
+        rest, emp_pred = _split_employee_filters(filters)
+        raw = [b for b in names if b not in _EMP_COLS]
+        base = model.wide(rest, page="left", date="inner" if set(raw) & _DATE_COLS else None)
+        per = base.groupBy(*_keys(raw), "viewingcontactid").agg(
+            *[F.max(c).alias(n) for n, c in flags.items()],
+            F.count_distinct("marketingpageid").alias("_pages"))
+        e = model.employees()
+        j = per.join(e, per["viewingcontactid"] == e["contactid"], "left")
+        if emp_pred is not None:
+            j = j.filter(emp_pred)
+        ekeys = [F.col(b) for b in raw] + _keys([b for b in names if b in _EMP_COLS])
+        return j.groupBy(*ekeys, "viewingcontactid").agg(
+            *[F.max(n).alias(n) for n in flags], F.max("_pages").alias("_pages"))
     w = wide_for(model, by, filters, need)
     aggs = [F.max(c).alias(n) for n, c in flags.items()]
     return w.groupBy(*keys, "viewingcontactid").agg(

@@ -226,3 +226,17 @@ def test_journey_depth_by_employee_eager_equals_raw(spark, star):
         b = sorted(map(tuple, MS.journey_depth(star, by, flt, eager=False).select(*by, "uv", "multi_page_visitors",
                    "avg_pages_per_visitor", "views_per_visitor", "mean_pages_per_visitor").collect()))
         assert a == b and len(a) > 0
+
+
+def test_visitor_flags_by_employee_match_raw_join(spark, star):
+    from pyspark.sql import functions as F
+    got = sorted(map(tuple, MS.homepage_article_ctr(star, ["employeeregion"]).select(
+        "employeeregion", "homepage_visitors", "article_visitors", "both_visitors").collect()))
+    w = star.wide(page="left", employee="left").where(F.col("viewingcontactid").isNotNull())
+    ct = F.col("contenttype")
+    pv = w.groupBy(F.coalesce("employeeregion", F.lit("Unknown")).alias("employeeregion"), "viewingcontactid").agg(
+        F.max(F.coalesce(ct == "Homepage", F.lit(False))).alias("h"),
+        F.max(F.coalesce(ct == "Article", F.lit(False))).alias("a"))
+    exp = sorted(map(tuple, pv.groupBy("employeeregion").agg(
+        F.count_if("h"), F.count_if("a"), F.count_if(F.col("h") & F.col("a"))).collect()))
+    assert got == exp
