@@ -370,28 +370,41 @@ def page_ranks(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     return dense_rank_desc(g, "engagements", "rank_by_engagement")
 
 
+def _uv_rate(model: StarModel, by, filters: Filters, page: str | None = "left") -> DataFrame:
+    """UV and Engagement Rate (DIVIDE(..,0)) grouped by ``by``; with
+    employee attributes involved, from per-visitor partial sums."""
+    names = _by(by)
+    keys = _keys(names)
+    date = "inner" if set(names) & _DATE_COLS else None
+    if (set(names) & _EMP_COLS) or filters.uses_employee():
+        v = _visitors(model, filters, keys=tuple(b for b in names if b not in _EMP_COLS), page=page, date=date)
+        z = F.lit(0).cast("long")
+        cols = [F.count_distinct("viewingcontactid").alias("uv"),
+                M.pct_zero(F.coalesce(F.sum("likes"), z) + F.coalesce(F.sum("comments"), z),
+                           F.sum("views")).alias("engagement_rate")]
+    else:
+        v = model.wide(filters, page=page, date=date)
+        cols = [M.uv().alias("uv"), M.engagement_rate_zero().alias("engagement_rate")]
+    return v.groupBy(*keys).agg(*cols) if keys else v.agg(*cols)
+
+
 def attribute_context(model: StarModel, attribute: str = "theme", detail: str = "pagename",
                       filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-26 / MEA-27: on each (attribute, detail) row, the UV and the
     engagement rate of the attribute's whole group (ALLEXCEPT)."""
-    w = model.wide(filters, page="left")
-    a = M.label(attribute).alias(attribute)
-    fine = w.groupBy(a, M.label(detail).alias(detail)).agg(
-        M.uv().alias("uv"), M.engagement_rate_zero().alias("engagement_rate"))
-    coarse = w.groupBy(a).agg(M.uv().alias(f"{attribute}_uv"),
-                              M.engagement_rate_zero().alias(f"{attribute}_engagement_rate"))
+    fine = _uv_rate(model, [attribute, detail], filters)
+    coarse = (_uv_rate(model, [attribute], filters).withColumnRenamed("uv", f"{attribute}_uv")
+              .withColumnRenamed("engagement_rate", f"{attribute}_engagement_rate"))
     return fine.join(coarse, attribute, "left")
 
 
 def performance_vs_avg(model: StarModel, by=("pagename",), filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-28 Avg Engagement Rate (over all pages, non-page filters kept),
     MEA-29 Performance vs Avg, MEA-30 Engagement Variance."""
-    g = _agg(model, by, filters, [M.engagement_rate_zero().alias("engagement_rate")])
+    g = _uv_rate(model, by, filters).drop("uv")
     page_free = Filters(date_from=filters.date_from, date_to=filters.date_to,
                         equals=tuple((k, v) for k, v in filters.equals if k not in _PAGE_COLS))
-    avg = model.wide(page_free, page=None,
-                     employee="left" if page_free.uses_employee() else None) \
-        .select(M.engagement_rate_zero()).scalar()
+    avg = _uv_rate(model, [], page_free, page=None).select("engagement_rate").scalar()
     return (g.withColumn("avg_engagement_rate", avg)
             .withColumn("performance_vs_avg",
                         F.when(F.col("engagement_rate") > F.col("avg_engagement_rate"), F.lit("Above Average"))

@@ -240,3 +240,26 @@ def test_visitor_flags_by_employee_match_raw_join(spark, star):
     exp = sorted(map(tuple, pv.groupBy("employeeregion").agg(
         F.count_if("h"), F.count_if("a"), F.count_if(F.col("h") & F.col("a"))).collect()))
     assert got == exp
+
+
+def test_context_and_benchmark_by_employee_match_raw_join(spark, star):
+    from pyspark.sql import functions as F
+    from portal_metrics.functions import metrics as Mx
+    from portal_metrics.functions.filters import Filters
+    f = Filters(equals={"employeeclass": ["Employee"]})
+    got = sorted(map(tuple, MS.attribute_context(star, "employeeregion", "contenttype", f).select(
+        "employeeregion", "contenttype", "uv", "engagement_rate", "employeeregion_uv",
+        "employeeregion_engagement_rate").collect()))
+    w = star.wide(f, page="left", employee="left")
+    a = F.coalesce("employeeregion", F.lit("Unknown")).alias("employeeregion")
+    fine = w.groupBy(a, F.coalesce("contenttype", F.lit("Unknown")).alias("contenttype")).agg(
+        Mx.uv().alias("uv"), Mx.engagement_rate_zero().alias("engagement_rate"))
+    coarse = w.groupBy(a).agg(Mx.uv().alias("employeeregion_uv"),
+                              Mx.engagement_rate_zero().alias("employeeregion_engagement_rate"))
+    exp = sorted(map(tuple, fine.join(coarse, "employeeregion", "left").select(
+        "employeeregion", "contenttype", "uv", "engagement_rate", "employeeregion_uv",
+        "employeeregion_engagement_rate").collect()))
+    assert got == exp
+    pv = MS.performance_vs_avg(star, ["employeeregion"], f).collect()
+    avg = w.select(Mx.engagement_rate_zero()).first()[0]
+    assert all(r["avg_engagement_rate"] == avg for r in pv) and len(pv) > 0
