@@ -43,18 +43,34 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+def _put(tree: list[int], k: int, value: int) -> None:
+    """Set leaf ``k``; its ancestors change up to the first whose least child stays the same."""
+    if tree[k] == value:
+        return
+    tree[k] = value
+    k >>= 1
+    while k:
+        least = tree[2 * k]
+        other = tree[2 * k + 1]
+        if other < least:
+            least = other
+        if tree[k] == least:
+            return
+        tree[k] = least
+        k >>= 1
+
+
 def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Token ids of one match, by merging the leftmost pair of least rank until none is left."""
-    whole = ranks.get(piece)
+    get = ranks.get
+    whole = get(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
-    size = 1
-    while size < n:
-        size *= 2
+    size = 1 << (n - 1).bit_length()
     tree = [_NONE] * (2 * size)
     for i in range(n - 1):
-        rank = ranks.get(piece[i:i + 2])
+        rank = get(piece[i:i + 2])
         if rank is not None:
             tree[size + i] = rank << _SHIFT | i
     for k in range(size - 1, 0, -1):
@@ -68,25 +84,13 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         end = after[dead]
         after[i] = end
         before[end] = i
+        _put(tree, size + dead, _NONE)
+        rank = get(piece[i:after[end]]) if end < n else None
+        _put(tree, size + i, _NONE if rank is None else rank << _SHIFT | i)
         left = before[i]
-        pair = ranks.get(piece[i:after[end]]) if end < n else None
-        values = [_NONE, _NONE if pair is None else pair << _SHIFT | i]
-        places = [size + dead, size + i]
         if left >= 0:
-            pair = ranks.get(piece[left:end])
-            values.append(_NONE if pair is None else pair << _SHIFT | left)
-            places.append(size + left)
-        for k, value in zip(places, values, strict=True):
-            if tree[k] != value:
-                tree[k] = value
-                while k > 1:
-                    other = tree[k ^ 1]
-                    if other < value:
-                        value = other
-                    k >>= 1
-                    if tree[k] == value:
-                        break
-                    tree[k] = value
+            rank = get(piece[left:end])
+            _put(tree, size + left, _NONE if rank is None else rank << _SHIFT | left)
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i:after[i]]])
