@@ -185,8 +185,7 @@ def minhashes(grams: np.ndarray, per: np.ndarray, n: int) -> np.ndarray:
     full = np.flatnonzero(np.diff(per))
     if len(full):
         for i, a in enumerate(seeds(n)):
-            x = grams * a
-            out[full, i] = np.minimum.reduceat(x ^ (x >> _U(32)), per[full])
+            out[full, i] = np.minimum.reduceat(grams * a, per[:-1][full])
     return out
 
 

@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from portal_metrics.llm.bpe import op7_byte_bpe
+from portal_metrics.llm.decontam import OP9_SQL, op9_decontamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_decontamination": op9_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_decontamination": OP9_SQL,
+}
