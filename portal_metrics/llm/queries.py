@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portal_metrics.llm.bpe import op7_byte_bpe
 from portal_metrics.llm.decontam import OP9_SQL, op9_decontamination
+from portal_metrics.llm.ngram_join import OP10_SQL, op10_ngram_jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
     "op9_decontamination": op9_decontamination,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_decontamination": OP9_SQL,
+    "op10_ngram_jaccard": OP10_SQL,
 }
