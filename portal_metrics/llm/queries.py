@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from portal_metrics.llm.bpe import op7_byte_bpe
 from portal_metrics.llm.decontam import OP9_SQL, op9_decontamination
 from portal_metrics.llm.ngram_join import OP10_SQL, op10_ngram_jaccard
+from portal_metrics.llm.pii import op5_pii
 from portal_metrics.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op5_pii": op5_pii,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
