@@ -129,6 +129,14 @@ def _noisy_or(confidence: Column) -> Column:
     return 1 - F.exp(F.sum(F.log(F.greatest(1 - confidence, F.lit(1e-9)))))
 
 
+def _slots(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(w1, w2, slots): how often each pattern is followed by anything.  patterns: bounded by the caller."""
+    words = texts.select(F.split(F.trim(F.lower(F.col("text"))), r"\s+").alias("w"))
+    pairs = words.where(F.size("w") > 2).select(F.explode(F.arrays_zip(
+        F.slice("w", F.lit(1), F.size("w") - 2).alias("w1"), F.slice("w", F.lit(2), F.size("w") - 2).alias("w2"))).alias("p")).select("p.w1", "p.w2")
+    return pairs.join(F.broadcast(patterns), ["w1", "w2"]).groupBy("w1", "w2").agg(F.count("*").alias("slots"))
+
+
 def discovered(spans: DataFrame, texts: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE,
                score: float = SCORE, rounds: int = ROUNDS, patterns: int = PATTERNS) -> DataFrame:
     """(value): identifier-like values that confident patterns find.  spans: of ``base_spans``, saved; texts: (text)."""
@@ -137,14 +145,14 @@ def discovered(spans: DataFrame, texts: DataFrame, support: int = SUPPORT, confi
         F.transform("tokens", lambda s: F.struct(F.lower(s["value"]).alias("value"), s["before"].alias("before"), F.lit(0.0).alias("seed"))))).alias("s"))
     edges = C.saved(seen.select("s.value", "s.before.w1", "s.before.w2", "s.seed").where("w2 <> ''")
                     .groupBy("value", "w1", "w2").agg(F.count("*").alias("n"), F.max("seed").alias("seed")))
-    # slots: how often each candidate pattern is followed by anything, in all texts
-    candidates = (edges.groupBy("w1", "w2").agg(F.sum("seed").alias("seeds"), F.count("*").alias("values"))
+    candidates = (edges.groupBy("w1", "w2").agg(F.sum("seed").alias("seeds"), F.count("*").alias("values"), F.sum("n").alias("most"))
                   .where((F.col("seeds") >= support) & (F.col("values") > F.col("seeds")))
-                  .orderBy(F.desc("seeds"), "w1", "w2").limit(patterns).select("w1", "w2"))
-    words = texts.select(F.split(F.trim(F.lower(F.col("text"))), r"\s+").alias("w"))
-    pairs = words.where(F.size("w") > 2).select(F.explode(F.arrays_zip(
-        F.slice("w", F.lit(1), F.size("w") - 2).alias("w1"), F.slice("w", F.lit(2), F.size("w") - 2).alias("w2"))).alias("p")).select("p.w1", "p.w2")
-    slots = C.saved(pairs.join(F.broadcast(candidates), ["w1", "w2"]).groupBy("w1", "w2").agg(F.count("*").alias("slots")))
+                  .orderBy(F.desc("seeds"), "w1", "w2").limit(patterns))
+    # slots in the texts that can hold an identifier bound all slots from below: patterns that stay under the
+    # confidence even if every identifier were known are out before the whole corpus is counted
+    least = _slots(texts.where(F.col("text").rlike("[0-9@]")), candidates.select("w1", "w2"))
+    hopeful = candidates.join(least, ["w1", "w2"]).where(F.col("most") >= confidence * F.col("slots")).select("w1", "w2")
+    slots = C.saved(_slots(texts, C.saved(hopeful)))
     graph = C.saved(edges.join(slots, ["w1", "w2"]))
     known = graph.where("seed > 0").select("value", F.lit(1.0).alias("score")).distinct()
     for _ in range(rounds):
