@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 #: Split pattern of the public rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Matches remembered per Python worker; beyond that the older half is forgotten.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 250_000
 #: Longer matches are not remembered (they hardly repeat).
 CACHE_BYTES = 64
 

@@ -88,7 +88,7 @@ class Model:
             w = max((self.arcs.get(x, 0.0) for x in beginnings(word)), default=0.0)
             if word in INSULTS and word not in self.arcs:
                 w = max(w, SEED_WEIGHT)
-            if len(self._memory) > 500_000:
+            if len(self._memory) > 200_000:
                 self._memory.clear()
             self._memory[word] = w
         return w
