@@ -10,6 +10,7 @@ from portal_metrics.llm.ann import OP2_SQL, op2_nearest_neighbours
 from portal_metrics.llm.bpe import op7_byte_bpe
 from portal_metrics.llm.decontam import OP9_SQL, op9_decontamination
 from portal_metrics.llm.ngram_join import OP10_SQL, op10_ngram_jaccard
+from portal_metrics.llm.paragraph_dedup import op4_paragraph_dedup
 from portal_metrics.llm.pii import op5_pii
 from portal_metrics.llm.secrets import op6_secrets
 from portal_metrics.llm.toxicity import op3_toxicity
@@ -18,6 +19,7 @@ from portal_metrics.llm.urls import OP8_SQL, op8_url_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_toxicity": op3_toxicity,
+    "op4_paragraph_dedup": op4_paragraph_dedup,
     "op5_pii": op5_pii,
     "op6_secrets": op6_secrets,
     "op7_byte_bpe": op7_byte_bpe,
