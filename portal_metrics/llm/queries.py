@@ -13,10 +13,12 @@ from portal_metrics.llm.ngram_join import OP10_SQL, op10_ngram_jaccard
 from portal_metrics.llm.paragraph_dedup import op4_paragraph_dedup
 from portal_metrics.llm.pii import op5_pii
 from portal_metrics.llm.secrets import op6_secrets
+from portal_metrics.llm.suffix_dedup import op1_suffix_dedup
 from portal_metrics.llm.toxicity import op3_toxicity
 from portal_metrics.llm.urls import OP8_SQL, op8_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_toxicity": op3_toxicity,
     "op4_paragraph_dedup": op4_paragraph_dedup,
