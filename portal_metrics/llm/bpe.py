@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 #: Split pattern of the public rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Matches remembered per Python worker; beyond that the older half is forgotten.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 #: Longer matches are not remembered (they hardly repeat).
 CACHE_BYTES = 64
 
@@ -184,6 +184,29 @@ def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "ids", out: str = "de
     return df.mapInArrow(work, schema)
 
 
+def encode_decode(df: DataFrame, ranks: Broadcast, text_col: str = "text", ids: str = "ids", decoded: str = "decoded",
+                  pattern: str = PATTERN, keep_text: bool = True) -> DataFrame:
+    """``encode`` and ``decode`` in one Python worker a task: ``df`` with the packed ids and the bytes they stand for."""
+    df, _ = _replaced(df, ids)
+    df, _ = _replaced(df, decoded)
+    kept = [f for f in df.schema.fields if keep_text or f.name != text_col]
+    schema = T.StructType([*kept, T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.BinaryType())])
+    names = [f.name for f in kept]
+
+    def work(batches):
+        enc = _encoder(ranks, pattern)
+        tokens = [b""] * (max(enc.ranks.values()) + 1)
+        for token, rank in enc.ranks.items():
+            tokens[rank] = token
+        for b in _small(batches, text_col, 1 << 20):
+            packed = [enc.encode(t) if t else b"" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+            back = [b"".join(map(tokens.__getitem__, np.frombuffer(p, "<u4").tolist())) for p in packed]
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(n)) for n in names), pa.array(packed, pa.binary()), pa.array(back, pa.binary())],
+                                             [*names, ids, decoded])
+
+    return df.mapInArrow(work, schema)
+
+
 def n_tokens(ids_col: str = "ids") -> Column:
     return (F.octet_length(ids_col) / 4).cast("long")
 
@@ -195,6 +218,6 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from portal_metrics.llm.common import documents
 
     ranks = broadcast_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    df = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text"), ranks)
+    df = encode_decode(documents(spark, sf_dir).select("doc_id", "text"), ranks, keep_text=False)
     return df.select("doc_id", n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                      F.sha2("decoded", 256).alias("decoded_sha256"))

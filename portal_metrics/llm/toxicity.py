@@ -88,7 +88,7 @@ class Model:
             w = max((self.arcs.get(x, 0.0) for x in beginnings(word)), default=0.0)
             if word in INSULTS and word not in self.arcs:
                 w = max(w, SEED_WEIGHT)
-            if len(self._memory) > 200_000:
+            if len(self._memory) > 100_000:
                 self._memory.clear()
             self._memory[word] = w
         return w
@@ -183,7 +183,7 @@ def _counted(batches):
             side = 0 if toxic else 1
             for arc in {x for w in set(_WORDS.findall((text or "").lower())) for x in beginnings(w)}:
                 total[arc][side] += weight
-            if len(total) > 300_000:
+            if len(total) > 150_000:
                 yield from flush()
     yield from flush()
 
