@@ -44,7 +44,7 @@ def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     import public_tokenizers
 
     ranks = bpe.broadcast_ranks(spark, public_tokenizers.path(RANKS))
-    encoded = bpe.decode(bpe.encode(docs, ranks), ranks)
+    encoded = bpe.encode_decode(docs, ranks)
     return encoded.withColumns({"n_tokens": bpe.n_tokens(), "decoded_sha256": F.sha2("decoded", 256)}).drop("decoded")
 
 
