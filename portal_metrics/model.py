@@ -18,6 +18,7 @@ Join strategy, for 100 TB of fact rows:
 from __future__ import annotations
 
 import dataclasses
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,12 +37,18 @@ def plan_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def byte_size(text: str) -> int:
+    """Bytes of a Spark size setting: ``-1``, ``1024``, ``64MB``, ``10485760b``, ``1g``."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """Byte limit for an explicit broadcast; -1 when broadcasts are disabled."""
-    if int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b") or 0) < 0:
+    if byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")) < 0:
         return -1
     v = spark.conf.get("portal_metrics.broadcast.maxBytes", None)
-    return int(v) if v else DEFAULT_BROADCAST_MAX_BYTES
+    return byte_size(v) if v else DEFAULT_BROADCAST_MAX_BYTES
 
 
 def broadcast_inflation(spark: SparkSession) -> float:

@@ -110,17 +110,17 @@ class QualityReport:
     def lines(self) -> list[str]:
         out = []
         if self.page_duplicates:
-            out.append("WARNING: page_inventory has duplicate marketingpageid values:")
-            out += [f"  marketingpageid='{r[0]}' appears {r[1]} times" for r in self.page_duplicates]
+            out.append(f"page ids stored more than once: {len(self.page_duplicates)} shown")
+            out += [f"  {r[0]}: {r[1]} rows" for r in self.page_duplicates]
         if self.fact_duplicates:
-            out.append(f"WARNING: fact table has {self.fact_duplicate_groups:,} duplicate composite keys")
+            out.append(f"page views: {self.fact_duplicate_groups:,} duplicate composite keys")
             out += [f"  {tuple(r[:-1])} -> {r[-1]} rows" for r in self.fact_duplicates[:5]]
         else:
-            out.append(f"fact: OK - {self.fact_unique_keys:,} unique composite keys "
-                       f"(matches {self.fact_rows:,} total rows)")
+            out.append(f"page views: no duplicates among {self.fact_rows:,} rows "
+                       f"({self.fact_unique_keys:,} keys)")
         if self.orphaned_keys:
-            out.append(f"INFO: {self.orphaned_rows:,} fact rows ({self.orphaned_keys:,} unique pages) "
-                       "have no matching page_inventory record")
+            out.append(f"page views without a page: {self.orphaned_rows:,} rows "
+                       f"of {self.orphaned_keys:,} pages")
         return out
 
 

@@ -52,6 +52,21 @@ def period_start(date: Column, grain: str) -> Column:
     return F.trunc(date, {"month": "MM", "quarter": "quarter", "year": "year"}[grain])
 
 
+def null_safe_left(left: DataFrame, right: DataFrame, keys, plain=()) -> DataFrame:
+    """Left join on ``keys`` where NULL meets NULL (segments may be NULL), and on the never-NULL columns ``plain``."""
+    renamed = right
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
+    for k in plain:
+        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
+    on = F.lit(True)
+    for k in plain:
+        on = on & (left[k] == renamed[f"_r_{k}"])
+    for k in keys:
+        on = on & left[k].eqNullSafe(renamed[f"_r_{k}"])
+    return left.join(renamed, on, "left").drop(*[f"_r_{k}" for k in [*keys, *plain]])
+
+
 def period_change(df: DataFrame, period: str, value: str, grain: str = "month", n: int = 1,
                   by=(), prev_out: str | None = None, change_out: str | None = None,
                   zero_when_missing: bool = True) -> DataFrame:
@@ -67,7 +82,7 @@ def period_change(df: DataFrame, period: str, value: str, grain: str = "month",
     prev = df.select(*[F.col(b) for b in by], F.col(period).alias("_p_period"),
                      F.col(value).alias(prev_out))
     cur = df.withColumn("_p_period", shift_period(F.col(period), grain, n))
-    j = cur.join(prev, by + ["_p_period"], "left").drop("_p_period")
+    j = null_safe_left(cur, prev, by, ["_p_period"]).drop("_p_period")
     ch = F.try_divide((F.col(value) - F.col(prev_out)).cast("double") * F.lit(100.0),
                       F.col(prev_out).cast("double"))
     return j.withColumn(change_out, F.coalesce(ch, F.lit(0.0)) if zero_when_missing else ch)
@@ -98,7 +113,7 @@ def rolling_distinct(visits: DataFrame, who: str, day: str, months: int = 6,
     res = per.groupBy(*by, "month").agg(F.count(F.lit(1)).alias(out))
     if report_months is None:
         report_months = vd_all.select(*by, F.trunc(F.col(day), "MM").alias("month")).distinct()
-    return report_months.join(res, by + ["month"], "left").fillna(0, subset=[out])
+    return null_safe_left(report_months, res, by, ["month"]).fillna(0, subset=[out])
 
 
 def cumulative_reach(visits: DataFrame, who: str, day: str, out: str = "cumulative_uv",
@@ -110,7 +125,7 @@ def cumulative_reach(visits: DataFrame, who: str, day: str, out: str = "cumulati
              .groupBy(*by, month.alias("month"), who).agg(F.min(day).alias("_first")))
     new = first.groupBy(*by, "month", F.col("_first").alias(day)).agg(F.count(F.lit(1)).alias("new_visitors"))
     days = visits.select(*by, month.alias("month"), F.col(day)).distinct()
-    d = days.join(new, by + ["month", day], "left").fillna(0, subset=["new_visitors"])
+    d = null_safe_left(days, new, by, ["month", day]).fillna(0, subset=["new_visitors"])
     w = (Window.partitionBy(*by, "month").orderBy(day)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return d.withColumn(out, F.sum("new_visitors").over(w))
@@ -131,4 +146,4 @@ def rolling_distinct_approx(visits: DataFrame, who: str, day: str, months: int =
     inwin = cand.where((F.col("_d") <= end) & (F.col("_d") > F.add_months(end, -months)))
     res = inwin.groupBy(*by, "month").agg(F.hll_sketch_estimate(F.hll_union_agg("_sk")).alias(out))
     report_months = visits.select(*by, F.trunc(F.col(day), "MM").alias("month")).distinct()
-    return report_months.join(res, by + ["month"], "left").fillna(0, subset=[out])
+    return null_safe_left(report_months, res, by, ["month"]).fillna(0, subset=[out])

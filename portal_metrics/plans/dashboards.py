@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as M
 from ..functions.filters import NO_FILTERS, Filters
-from ..model import StarModel
+from ..model import StarModel, bounded_broadcast
 from ..operators.reshape import pivot_matrix, share_of_total, top_k
 from . import measures as MS
 from . import reports as R
@@ -83,8 +83,7 @@ def monthly_reach_by_region(model: StarModel, filters: Filters = NO_FILTERS,
     seen = (j.where(F.col("contactid").isNotNull())
             .groupBy("year_month", M.label(segment).alias(segment))
             .agg(F.count_distinct("viewingcontactid").alias("uv")))
-    # one row per segment: bounded by the segment's cardinality
-    r = seen.join(F.broadcast(pop), segment, "left")
+    r = seen.join(bounded_broadcast(pop), segment, "left")
     return r.withColumn("reach_rate", M.pct_zero(F.col("uv"), F.col("employees")))
 
 
@@ -205,10 +204,11 @@ def gap_matrix(model: StarModel, filters: Filters = NO_FILTERS, categories=STRAT
         divisions = sorted(r[0] for r in model.employee_contact.where(F.col(segment).isNotNull())
                            .select(segment).distinct().collect())   # bounded: one row per division
     m = pivot_matrix(cells, "marketingpageid", segment, "uv", "sum", values=divisions, fill=0)
-    pages = (model.page_inventory.where(F.col("newscategory").isin(list(categories)))
-             .select("marketingpageid", "pagename"))
-    if f.website or f.page_url or f.page_name:
-        pages = f.replace(date_from=None, date_to=None, equals=()).apply(pages)
+    pages = model.page_inventory.where(F.col("newscategory").isin(list(categories)))
+    of_pages = tuple((k, v) for k, v in f.equals if k in model.page_inventory.columns)
+    if f.website or f.page_url or f.page_name or of_pages:
+        pages = f.replace(date_from=None, date_to=None, equals=of_pages).apply(pages)
+    pages = pages.select("marketingpageid", "pagename")
     out = pages.join(m, "marketingpageid", "left").fillna(0, subset=list(divisions))
     zero = sum((F.when(F.col(f"`{d}`") == 0, 1).otherwise(0) for d in divisions), F.lit(0))
     return out.withColumn("gap_divisions", zero.cast("int"))

@@ -23,7 +23,7 @@ from ..functions import metrics as M
 from ..functions.filters import NO_FILTERS, Filters
 from ..model import StarModel
 from ..operators.reshape import dense_rank_desc
-from ..operators.trends import period_change, rolling_distinct, rolling_distinct_approx
+from ..operators.trends import null_safe_left, period_change, rolling_distinct, rolling_distinct_approx
 from ..schemas import DATE_COLUMNS, EMPLOYEE_COLUMNS, PAGE_COLUMNS
 
 _DATE_COLS = {n for n, _ in DATE_COLUMNS}
@@ -281,7 +281,7 @@ def journey_depth(model: StarModel, by=(), filters: Filters = NO_FILTERS, eager:
              F.avg("_pages").alias("mean_pages_per_visitor")]
     if names:
         tot = w.groupBy(*keys).agg(*totals)
-        j = tot.join(seen.groupBy(*names).agg(*inner), names, "left")
+        j = null_safe_left(tot, seen.groupBy(*names).agg(*inner), names)
     else:   # one row: the totals are scalar subqueries, no join needed
         j = (seen.agg(*inner).withColumn("distinct_pages", w.select(M.pages()).scalar())
              .withColumn("total_views", w.select(M.views()).scalar()))
@@ -395,7 +395,7 @@ def attribute_context(model: StarModel, attribute: str = "theme", detail: str =
     fine = _uv_rate(model, [attribute, detail], filters)
     coarse = (_uv_rate(model, [attribute], filters).withColumnRenamed("uv", f"{attribute}_uv")
               .withColumnRenamed("engagement_rate", f"{attribute}_engagement_rate"))
-    return fine.join(coarse, attribute, "left")
+    return null_safe_left(fine, coarse, [attribute])
 
 
 def performance_vs_avg(model: StarModel, by=("pagename",), filters: Filters = NO_FILTERS) -> DataFrame:
@@ -403,7 +403,7 @@ def performance_vs_avg(model: StarModel, by=("pagename",), filters: Filters = NO
     MEA-29 Performance vs Avg, MEA-30 Engagement Variance."""
     g = _uv_rate(model, by, filters).drop("uv")
     page_free = Filters(date_from=filters.date_from, date_to=filters.date_to,
-                        equals=tuple((k, v) for k, v in filters.equals if k not in _PAGE_COLS))
+                        equals=tuple((k, v) for k, v in filters.equals if k not in _PAGE_COLS and k != "marketingpageid"))
     avg = _uv_rate(model, [], page_free, page=None).select("engagement_rate").scalar()
     return (g.withColumn("avg_engagement_rate", avg)
             .withColumn("performance_vs_avg",

@@ -52,12 +52,19 @@ def _compare_rows(one: DataFrame, a: str, b: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- ASK-2, ASK-12
+def _within(filters: Filters, lo: int, hi: int | None) -> Filters:
+    """``filters`` with its own day range cut to [lo, hi]."""
+    own_from, own_to = (to_daykey(x) if x is not None else None for x in (filters.date_from, filters.date_to))
+    return filters.replace(date_from=lo if own_from is None else max(lo, own_from),
+                           date_to=own_to if hi is None else hi if own_to is None else min(hi, own_to))
+
+
 def period_compare(model: StarModel, period_a, period_b, filters: Filters = NO_FILTERS) -> DataFrame:
     """ASK-2: metrics of period A vs period B ((from, to) day keys or dates);
     B is reported as the change from A.  One scan, restricted to A u B."""
     (a0, a1), (b0, b1) = [(to_daykey(x), to_daykey(y)) for x, y in (period_a, period_b)]
     lo, hi = min(a0, b0), max(a1, b1)
-    w = model.wide(filters.replace(date_from=lo, date_to=hi), page="left")
+    w = model.wide(_within(filters, lo, hi), page="left")
     d = F.col("visitdatekey")
     one = w.agg(*_cond_metrics(d.between(a0, a1), "_a"), *_cond_metrics(d.between(b0, b1), "_b"))
     return _compare_rows(one, "period_a", "period_b")
@@ -168,6 +175,9 @@ def trend(model: StarModel, grain: str = "month", n_periods: int = 6, as_of=None
             start = _dt.date(first.year + m // 12, m % 12 + 1, 1)
         filters = filters.replace(date_from=to_daykey(start), date_to=to_daykey(end))
     g = _period_frame(model, filters, grain, list(by), list(metrics))
+    if as_of is None:   # the last n periods that have data
+        last = g.select("period_start").distinct().orderBy(F.desc("period_start")).limit(n_periods)
+        g = g.join(last, "period_start", "left_semi")
     return g.orderBy("period_start", *by)
 
 
@@ -347,7 +357,7 @@ def period_summary(model: StarModel, periods: dict, filters: Filters = NO_FILTER
     pf = spark.createDataFrame(rows, "period string, day_from long, day_to long")
     lo = min(r[1] for r in rows)
     hi = max(r[2] for r in rows)
-    w = model.wide(filters.replace(date_from=lo, date_to=hi if hi != 99991231 else filters.date_to), page="left")
+    w = model.wide(_within(filters, lo, hi if hi != 99991231 else None), page="left")
     j = w.join(F.broadcast(pf), F.col("visitdatekey").between(F.col("day_from"), F.col("day_to")))
     return j.groupBy("period", "day_from", "day_to").agg(
         M.uv().alias("uv"), M.views().alias("total_views"), M.visits().alias("total_visits"),

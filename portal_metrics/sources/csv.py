@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from ..schemas import EMPLOYEE_COLUMNS, FACT_COLUMNS, PAGE_COLUMNS
 
 
-def _raw(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+def _raw(spark: SparkSession, path: str, infer: bool = False, multi_line: bool = False) -> DataFrame:
+    """Quoted fields may hold commas and doubled quotes; with ``multi_line`` also line breaks
+    (such a file is not split, so only the dimension files are read that way)."""
+    r = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+         .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if infer:
         r = r.option("inferSchema", True)
     return r.csv(path)
@@ -48,7 +51,7 @@ def read_fact_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFr
 def read_page_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """SRC-2: page inventory; rows with page id 'Unknown' or NULL are dropped
     (``!=`` is NULL-rejecting, as in SQL)."""
-    df = _bind(_raw(spark, path, infer), PAGE_COLUMNS)
+    df = _bind(_raw(spark, path, infer, multi_line=True), PAGE_COLUMNS)
     return df.filter(F.col("marketingpageid") != F.lit("Unknown"))
 
 
@@ -56,4 +59,4 @@ def read_employee_csv(spark: SparkSession, path: str, infer: bool = False) -> Da
     """SRC-3: employee contacts; headers either ``employee_contact[X]`` or plain X."""
     aliases = {t: [src] for t, _, src in EMPLOYEE_COLUMNS}
     cols = [(t, d, f"employee_contact[{src}]") for t, d, src in EMPLOYEE_COLUMNS]
-    return _bind(_raw(spark, path, infer), cols, aliases)
+    return _bind(_raw(spark, path, infer, multi_line=True), cols, aliases)

@@ -21,7 +21,7 @@ Mapping (fixed values):
   - marketingpageidliked = page id for returnflag 'R', '' for 'A', else NULL
 * page_inventory = part with p_partkey % 20 <> 0 (5 % of pages are orphans)
 * employee_contact = customer JOIN nation JOIN region with c_custkey % 25 <> 0
-* dim_date = calendar 1995-01-01 .. 2000-12-31 (the 2001 facts fall outside)
+* dim_date = calendar 1995-01-01 .. 2001-12-31 (spans every fact)
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from ..functions.calendar import date_dim
 from ..model import StarModel, bounded_broadcast
 
 CAL_START = "1995-01-01"
-CAL_END = "2000-12-31"
+CAL_END = "2001-12-31"
 PORTAL = "https://portal.example.com/"
 
 # --- fixed values used by the mapping ---

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FACT_COLUMNS
-from ..session import scratch_dir
 from ..sources.store import StarStore
 
 RAW_FACT_SCHEMA = T.StructType([T.StructField(src, T.StringType(), True) for _, _, src in FACT_COLUMNS])
@@ -48,6 +47,6 @@ def stream_fact_extracts(spark: SparkSession, drop_dir: str, store: StarStore,
     src = (spark.readStream.schema(RAW_FACT_SCHEMA).option("header", True)
            .option("enforceSchema", False).option("maxFilesPerTrigger", 1).csv(drop_dir))
     w = (src.writeStream.foreachBatch(merge_batch(store))
-         .option("checkpointLocation", checkpoint or scratch_dir(spark, "fact-stream")))
+         .option("checkpointLocation", checkpoint or f"{store.root}/_checkpoints/fact-extracts"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
