@@ -185,24 +185,28 @@ def spans_text(spans: str) -> Column:
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **bounds) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become the first one's mark."""
-    others = tuple(c for c in docs.columns if c != id_col)
-    found = find_pii(docs, id_col, text_col, keep=others, **bounds)
+    # inside, columns go by number: theirs may be named like ours
+    safe = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    text = safe[text_col]
+    found = find_pii(docs.toDF(*safe.values()), safe[id_col], text, keep=tuple(v for c, v in safe.items() if c != id_col), **bounds)
     kind = "struct<at:bigint,out:array<string>>"
 
     def step(acc, s):
         inside = s["start"] < acc["at"]
-        before = F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        before = F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
                         F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(before, mark))).alias("out")).cast(kind)
 
     first = F.struct(F.lit(0).cast("long").alias("at"), F.array().alias("out")).cast(kind)
-    done = F.aggregate("spans", first, step)
-    new = F.when(F.size("spans") > 0, F.concat(F.array_join("_done.out", ""), F.substring(F.col(text_col), (F.col("_done.at") + 1).cast("int"), F.length(text_col)))).otherwise(F.col(text_col))
-    out = found.withColumn("_done", done).withColumn(text_col, new)
-    if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.size("spans") > 0, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
-    return out.select(*docs.columns)
+    some = F.size("spans") > 0
+    rest = F.substring(F.col(text), (F.col("_done.at") + 1).cast("int"), F.length(text))
+    out = found.withColumn("_done", F.aggregate("spans", first, step)).withColumn(
+        text, F.when(some, F.concat(F.array_join("_done.out", ""), rest)).otherwise(F.col(text)))
+    if length_col in safe:
+        n = safe[length_col]
+        out = out.withColumn(n, F.when(some, F.length(text).cast(docs.schema[length_col].dataType)).otherwise(F.col(n)))
+    return out.select(*[F.col(v).alias(c) for c, v in safe.items()])
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
