@@ -113,9 +113,12 @@ def main(argv=None):
     ap.add_argument("--out", required=True, help="store root (shared storage on a cluster)")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--no-parquet", action="store_true")
+    ap.add_argument("--validate-scope", choices=("all", "range"), default="all",
+                    help="check the whole fact, or only the days the extract replaced")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("portal_metrics-load").getOrCreate()
-    res = run_load(spark, a.fact, a.inventory, a.employee, a.out, a.full_refresh, not a.no_parquet)
+    res = run_load(spark, a.fact, a.inventory, a.employee, a.out, a.full_refresh, not a.no_parquet,
+                   validate_scope=a.validate_scope)
     for au in res.audits:
         print(au)
 

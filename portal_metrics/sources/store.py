@@ -156,17 +156,15 @@ class StarStore:
         keep = touched.where(F.col("visitdatekey").isNull() | ~F.col("visitdatekey").between(lo, hi))
         merged = keep.unionByName(new.select(*keep.columns))
         stage = scratch_dir(spark, "fact-merge")
-        write_fact(merged, stage)
-        staged = spark.read.parquet(stage)
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            staged.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(self.fact_path)
+            write_fact(merged, stage)
+            (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(FACT_PARTITION).parquet(self.fact_path))
+            # months in range with no row left: dynamic overwrite never empties them
+            present = {int(d.split("=")[1]) for d in _list_dirs(spark, stage) if d.startswith(FACT_PARTITION + "=")
+                       and d.split("=")[1].isdigit()}
         finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        # months in range with no row left: dynamic overwrite never empties them
-        present = {int(d.split("=")[1]) for d in _list_dirs(spark, stage) if d.startswith(FACT_PARTITION + "=")
-                   and d.split("=")[1].isdigit()}
+            _delete(spark, stage)
         removed = []
         for d in _list_dirs(spark, self.fact_path):
             if d.startswith(FACT_PARTITION + "=") and d.split("=")[1].isdigit():
@@ -174,7 +172,6 @@ class StarStore:
                 if m_lo <= m <= m_hi and m not in present:
                     _delete(spark, f"{self.fact_path}/{d}")
                     removed.append(m)
-        _delete(spark, stage)
         return removed
 
     def upsert_dimension(self, name: str, incoming: DataFrame, key: str, schema) -> str:
