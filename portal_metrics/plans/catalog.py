@@ -145,7 +145,6 @@ _q("fil20_date_range")(lambda s, d: SR.date_range(_star(s, d).fact))
 # ---------------------------------------------------------------- DSH-1..17
 from . import dashboards as DS  # noqa: E402
 
-STRATEGIC_MONTH = Filters(date_from=19960101, date_to=19960131)
 _model_query("dsh01_executive_cards", DS.executive_cards)
 _model_query("dsh02_reach_vs_target", DS.reach_vs_target)
 _model_query("dsh03_monthly_reach_by_region", DS.monthly_reach_by_region)
@@ -156,8 +155,8 @@ _model_query("dsh07_funnel", DS.funnel)
 _model_query("dsh08_channel_mix", DS.channel_mix)
 _model_query("dsh09_channel_table", DS.channel_table)
 _model_query("dsh10_coverage_gauges", DS.coverage_gauges, filters=COVERAGE_FILTER)
-_model_query("dsh11_gap_matrix", DS.gap_matrix, filters=STRATEGIC_MONTH)
-_model_query("dsh12_missing_divisions", DS.missing_divisions, filters=STRATEGIC_MONTH)
+_model_query("dsh11_gap_matrix", DS.gap_matrix)
+_model_query("dsh12_missing_divisions", DS.missing_divisions)
 _model_query("dsh13_strategic_vs_general", DS.strategic_vs_general)
 _model_query("dsh14_theme_engagement_split", DS.theme_engagement_split)
 _model_query("dsh15_theme_topic_tree", DS.theme_topic_tree)
@@ -175,9 +174,10 @@ _model_query("ask03_growth_by_channel", QS.growth, by=("referrerapplicationid",)
 _model_query("ask03_fastest_growing_sites", QS.fastest_growing, by=("websitename",), metric="views",
              grain="quarter", k=5)
 _model_query("ask04_trend_last6_months", QS.trend, grain="month", n_periods=6, as_of=AS_OF)
-_model_query("ask05_zero_engagement_pages", QS.zero_engagement_pages, filters=STRATEGIC_MONTH)
-_model_query("ask06_ignored_pages", QS.ignored_pages, filters=STRATEGIC_MONTH)
-_model_query("ask07_comments_without_likes", QS.comments_without_likes, filters=STRATEGIC_MONTH)
+OTHER_CHANNEL = Filters(equals={"referrerapplicationid": ["Other"]})
+_model_query("ask05_zero_engagement_pages", QS.zero_engagement_pages, filters=OTHER_CHANNEL)
+_model_query("ask06_ignored_pages", QS.ignored_pages, filters=OTHER_CHANNEL)
+_model_query("ask07_comments_without_likes", QS.comments_without_likes, filters=OTHER_CHANNEL)
 _model_query("ask08_top_by_ratio", QS.top_by_ratio, min_views=100, k=20)
 _model_query("ask09_day_of_week_profile", QS.day_of_week_profile)
 _model_query("ask09_weekend_profile", QS.day_of_week_profile, weekend=True)

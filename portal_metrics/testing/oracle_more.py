@@ -181,11 +181,10 @@ FROM (SELECT uv, divisions_reached, total_divisions, total_divisions - divisions
             {FROM_PE} WHERE {COVER}) t) c""")
 
 DIVS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-STRAT_JAN = ("p.newscategory IN ('Strategy', 'Culture') AND f.visitdatekey >= 19960101 "
-             "AND f.visitdatekey <= 19960131")
+STRATEGIC = "p.newscategory IN ('Strategy', 'Culture')"
 CELLS = f"""cells AS (SELECT f.marketingpageid, e.employeebusinessdivision AS division, {UV} AS uv
   FROM fact f JOIN page_inventory p ON f.marketingpageid = p.marketingpageid
-  JOIN employee_contact e ON f.viewingcontactid = e.contactid WHERE {STRAT_JAN} GROUP BY 1, 2)"""
+  JOIN employee_contact e ON f.viewingcontactid = e.contactid WHERE {STRATEGIC} GROUP BY 1, 2)"""
 _cell = [f"COALESCE(m.\"{d}\", 0) AS \"{d}\"" for d in DIVS]
 SQL["dsh11_gap_matrix"] = q(f"""
 SELECT sp.marketingpageid, sp.pagename, {', '.join(_cell)},
@@ -200,7 +199,7 @@ SELECT marketingpageid, pagename, CAST(len(reached) AS BIGINT) AS divisions_reac
 FROM (SELECT f.marketingpageid, p.pagename, list_sort(list(DISTINCT e.employeebusinessdivision)) AS reached
       FROM fact f JOIN page_inventory p ON f.marketingpageid = p.marketingpageid
       JOIN employee_contact e ON f.viewingcontactid = e.contactid
-      WHERE {STRAT_JAN} AND e.employeebusinessdivision IS NOT NULL GROUP BY 1, 2) r,
+      WHERE {STRATEGIC} AND e.employeebusinessdivision IS NOT NULL GROUP BY 1, 2) r,
      (SELECT list_sort(list(DISTINCT employeebusinessdivision)) AS alld FROM employee_contact
       WHERE employeebusinessdivision IS NOT NULL) a
 WHERE len(list_filter(alld, lambda x: NOT list_contains(reached, x))) > 0""")
@@ -286,17 +285,17 @@ SELECT CAST(date_trunc('month', d.date) AS DATE) AS period_start, {UV} AS uv, {V
        {ENG} AS engagements
 {FROM_DP} WHERE f.visitdatekey >= 20000101 AND f.visitdatekey <= 20000630 GROUP BY 1""")
 
-JAN96 = "f.visitdatekey >= 19960101 AND f.visitdatekey <= 19960131"
+OTHER = "f.referrerapplicationid = 'Other'"
 PAGES = f"""pg AS (SELECT f.marketingpageid, COALESCE(p.pagename, 'Unknown') AS pagename, {VIEWS} AS total_views,
   {UV} AS uv, {LIKES_N} AS likes, COALESCE({COMMENTS}, 0) AS comments, {ENG0} AS engagements
   {FROM_P} WHERE {{where}} GROUP BY 1, 2)"""
-SQL["ask05_zero_engagement_pages"] = q("SELECT * FROM pg WHERE engagements = 0", PAGES.format(where=JAN96))
+SQL["ask05_zero_engagement_pages"] = q("SELECT * FROM pg WHERE engagements = 0", PAGES.format(where=OTHER))
 SQL["ask06_ignored_pages"] = q(f"""
 SELECT marketingpageid, pagename, websitename, contenttype FROM page_inventory
-WHERE marketingpageid NOT IN (SELECT DISTINCT f.marketingpageid FROM fact f WHERE {JAN96}
+WHERE marketingpageid NOT IN (SELECT DISTINCT f.marketingpageid FROM fact f WHERE {OTHER}
                               AND f.marketingpageid IS NOT NULL)""")
 SQL["ask07_comments_without_likes"] = q("SELECT * FROM pg WHERE comments > 0 AND likes = 0",
-                                        PAGES.format(where=JAN96))
+                                        PAGES.format(where=OTHER))
 SQL["ask08_top_by_ratio"] = q(f"""
 SELECT *, {pct0('likes', 'total_views')} AS like_to_view_pct FROM pg WHERE total_views > 100
 ORDER BY like_to_view_pct DESC, marketingpageid LIMIT 20""", PAGES.format(where="true"))
