@@ -86,8 +86,8 @@ _model_query("doc5_class_distribution", R.doc_class_distribution, date_from=DOC_
 from . import measures as MS  # noqa: E402
 
 STRATEGY = Filters(equals={"newscategory": ["Strategy"]})
-NARROW_CONTENT = Filters(date_from=19960101, date_to=19960107, page_url="/promo")
-COVERAGE_FILTER = Filters(date_from=19970101, date_to=19970331, equals={"newscategory": ["Strategy"]})
+# one page as read through one channel, over all days: some divisions and regions never see it
+NARROW_CONTENT = Filters(equals={"marketingpageid": ["1"], "referrerapplicationid": ["Other"]})
 
 _model_query("mea01_07_core_by_contenttype", MS.core_measures, by=["contenttype"])
 _model_query("mea08_09_reach_rate_by_month", MS.reach_rate, by=["year_month"])
@@ -107,7 +107,7 @@ _model_query("mea31_division_reach_for_content", MS.division_reach_for_content,
 _model_query("mea32_divisions_not_reached", MS.segments_not_reached, filters=NARROW_CONTENT)
 _model_query("mea33_target_region_match", MS.target_match, by=["targetregion"])
 _model_query("mea34_35_category_measures", MS.category_measures, by=["referrerapplicationid"])
-_model_query("mea36_38_coverage", MS.coverage, filters=COVERAGE_FILTER)
+_model_query("mea36_38_coverage", MS.coverage, filters=NARROW_CONTENT)
 
 # ------------------------------------------------------------- VAL, DIM, FIL
 from ..functions import calendar as CAL  # noqa: E402
@@ -154,7 +154,7 @@ _model_query("dsh06_content_table", DS.content_table)
 _model_query("dsh07_funnel", DS.funnel)
 _model_query("dsh08_channel_mix", DS.channel_mix)
 _model_query("dsh09_channel_table", DS.channel_table)
-_model_query("dsh10_coverage_gauges", DS.coverage_gauges, filters=COVERAGE_FILTER)
+_model_query("dsh10_coverage_gauges", DS.coverage_gauges, filters=NARROW_CONTENT)
 _model_query("dsh11_gap_matrix", DS.gap_matrix)
 _model_query("dsh12_missing_divisions", DS.missing_divisions)
 _model_query("dsh13_strategic_vs_general", DS.strategic_vs_general)
@@ -280,6 +280,11 @@ CATALOG["mrg3_upsert_pages"] = _mrg3
 CATALOG["mrg4_upsert_employees"] = _mrg4
 CATALOG["mrg6_load_audit"] = _mrg6
 
+# --------------------------- load path on storage (SRC-1..6, SNK-1..3, MRG-1..4, MRG-7, STR-1)
+from . import load_path as LP  # noqa: E402
+
+CATALOG.update(LP.QUERIES)
+
 # approximate variant (no SQL twin: sketch estimates are engine-specific)
 _model_query("mea14_reach_trend_6m_approx", MS.reach_trend_6m, approx=True)
 _model_query("join8_viewer_set_semi_join", QS.also_viewed, content=STRATEGY, by=("contenttype",))

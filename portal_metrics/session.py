@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if cur:
         return cur
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="pm-ckpt-", dir=os.environ.get("PM_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

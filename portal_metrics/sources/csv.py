@@ -5,7 +5,7 @@ reference's ``SELECT fact_visitdatekey AS visitdatekey ...`` does -- a
 declared CSV schema would bind by position and silently swap reordered
 columns.  Every column is read as text and converted with ``try_cast``
 to the declared type, so a dirty value becomes NULL instead of failing
-the job (ANSI casts would raise).
+the job (ANSI casts would raise).  An empty field, quoted or not, is NULL.
 """
 
 from __future__ import annotations

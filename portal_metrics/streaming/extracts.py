@@ -45,7 +45,7 @@ def stream_fact_extracts(spark: SparkSession, drop_dir: str, store: StarStore,
     ``enforceSchema=false`` makes Spark check it and fail loudly otherwise.
     """
     src = (spark.readStream.schema(RAW_FACT_SCHEMA).option("header", True)
-           .option("enforceSchema", False).option("maxFilesPerTrigger", 1).csv(drop_dir))
+           .option("enforceSchema", False).option("quote", '"').option("escape", '"').option("maxFilesPerTrigger", 1).csv(drop_dir))
     w = (src.writeStream.foreachBatch(merge_batch(store))
          .option("checkpointLocation", checkpoint or f"{store.root}/_checkpoints/fact-extracts"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

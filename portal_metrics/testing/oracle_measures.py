@@ -144,8 +144,7 @@ FROM (SELECT DISTINCT f.viewingcontactid {FROM_P} WHERE {STRATEGY} AND f.viewing
 LEFT JOIN employee_contact e ON v.viewingcontactid = e.contactid
 GROUP BY 1""")
 
-NARROW = ("f.visitdatekey BETWEEN 19960101 AND 19960107 AND "
-          "contains(lower(p.fullpageurl), '/promo')")
+NARROW = "f.marketingpageid = '1' AND f.referrerapplicationid = 'Other'"
 SQL["mea32_divisions_not_reached"] = q(f"""
 SELECT DISTINCT employeebusinessdivision FROM employee_contact
 WHERE employeebusinessdivision IS NOT NULL
@@ -179,7 +178,6 @@ SELECT f.referrerapplicationid, {_cat('strategy', "p.newscategory = 'Strategy'")
        {_cat('leadership', "p.newscategory IN ('Strategy', 'Culture', 'Thought leadership')")}
 {FROM_P} GROUP BY 1""")
 
-COVER = "p.newscategory IN ('Strategy') AND f.visitdatekey BETWEEN 19970101 AND 19970331"
 SQL["mea36_38_coverage"] = q(f"""
 SELECT uv, divisions_reached, total_divisions, total_divisions - divisions_reached AS divisions_not_reached,
        {pct0('divisions_reached', 'total_divisions')} AS division_coverage_pct,
@@ -190,4 +188,4 @@ FROM (SELECT {UV} AS uv, COUNT(DISTINCT e.employeebusinessdivision) AS divisions
              (SELECT COUNT(DISTINCT employeebusinessdivision) FROM employee_contact) AS total_divisions,
              (SELECT COUNT(DISTINCT employeeregion) FROM employee_contact) AS total_regions,
              {EMP_TOTAL} AS total_employees
-      {FROM_PE} WHERE {COVER}) t""")
+      {FROM_PE} WHERE {NARROW}) t""")
