@@ -57,11 +57,9 @@ def with_visit_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, (F.col("visitdatekey") / 100).cast("long"))
 
 
-def files_per_month(spark: SparkSession) -> int:
+def files_per_month(spark: SparkSession) -> int | None:
     v = spark.conf.get("portal_metrics.fact.filesPerMonth", None)
-    if v:
-        return max(1, int(v))
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return max(1, int(v)) if v else None
 
 
 def _month_layout(df: DataFrame, k: int) -> DataFrame:
@@ -74,8 +72,11 @@ def _month_layout(df: DataFrame, k: int) -> DataFrame:
 
 
 def write_fact(df: DataFrame, path: str, k: int | None = None) -> None:
+    """Months are written by as many tasks as their bytes ask for (AQE splits and joins rebalanced partitions),
+    or by ``k`` where a number of files is set."""
     k = k or files_per_month(df.sparkSession)
-    _month_layout(df, k).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
+    laid_out = _month_layout(df, k) if k else df.hint("rebalance", FACT_PARTITION)
+    laid_out.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
 
 
 class StarStore:
