@@ -70,24 +70,37 @@ def _valid(kind: str, m: Column) -> Column:
     return n.between(9, 15)
 
 
-def _words_before(piece: Column) -> Column:
-    """The last two words, in lower case, of a piece of text (its last 80 characters count)."""
-    words = F.split(F.trim(F.lower(F.substring(piece, -80, 80))), r"\s+")
-    return F.struct(F.when(F.size(words) > 1, F.element_at(words, -2)).otherwise("").alias("w1"), F.element_at(words, -1).alias("w2"))
+def _words(text: Column) -> Column:
+    """The words of a text, in lower case; the text's first and last item are empty where it starts or ends with a blank."""
+    return F.split(F.lower(text), r"\s+")
+
+
+def _blanks(piece: Column) -> Column:
+    """Runs of blanks in a piece of text."""
+    return F.size(F.split(piece, r"\s+")) - 1
 
 
 def _located(matches: Column, pieces: Column) -> Column:
-    """start, end, value and words before of each match, from the text between the matches."""
+    """start, end, value and words before of each match, from the text between the matches.
+
+    Matches neither start nor end with a blank, so the runs of blanks before a match number the word it starts in
+    (an item of ``_words``); the words before are the whole words before that one.
+    """
     zipped = F.arrays_zip(matches.alias("m"), F.slice(pieces, F.lit(1), F.size(matches)).alias("p"))
-    kind = "struct<at:bigint,out:array<struct<start:bigint,end:bigint,value:string,before:struct<w1:string,w2:string>>>>"
+    kind = "struct<at:bigint,word:int,out:array<struct<start:bigint,end:bigint,value:string,before:struct<w1:string,w2:string>>>>"
+
+    def word(at):
+        return F.coalesce(F.get("_words", at), F.lit(""))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["p"])
         end = start + F.length(x["m"])
-        return F.struct(end.cast("long").alias("at"), F.array_append(acc["out"], F.struct(
-            start.cast("long").alias("start"), end.cast("long").alias("end"), x["m"].alias("value"), _words_before(x["p"]).alias("before"))).alias("out"))
+        own = acc["word"] + _blanks(x["p"])
+        before = F.struct(word(own - 2).alias("w1"), word(own - 1).alias("w2"))
+        return F.struct(end.cast("long").alias("at"), (own + _blanks(x["m"])).cast("int").alias("word"), F.array_append(acc["out"], F.struct(
+            start.cast("long").alias("start"), end.cast("long").alias("end"), x["m"].alias("value"), before.alias("before"))).alias("out"))
 
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().alias("out")).cast(kind)
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("word"), F.array().alias("out")).cast(kind)
     return F.when(F.size(matches) > 0, F.aggregate(zipped, first, lambda a, x: step(a, x).cast(kind))["out"]).otherwise(first["out"])
 
 
@@ -117,7 +130,9 @@ def base_spans(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...
     df = df.select(*carried, "_text", *[v.alias(f"_m_{k}") for k, v in found.items()])
     for kind, p in patterns.items():
         split[kind] = F.when(F.size(f"_m_{kind}") > 0, F.split("_text", p, -1)).otherwise(F.array().cast("array<string>"))
-    df = df.select(*carried, *[f"_m_{k}" for k in patterns], *[v.alias(f"_p_{k}") for k, v in split.items()])
+    some = F.greatest(*[F.size(f"_m_{k}") for k in patterns]) > 0
+    words = F.when(some, _words(F.col("_text"))).otherwise(F.array().cast("array<string>")).alias("_words")
+    df = df.select(*carried, words, *[f"_m_{k}" for k in patterns], *[v.alias(f"_p_{k}") for k, v in split.items()])
     df = df.select(*carried, *[_located(F.col(f"_m_{k}"), F.col(f"_p_{k}")).alias(f"_s_{k}") for k in patterns])
     spans = [_tagged(i, kind) for i, kind in enumerate(KINDS)]
     df = df.select(*carried, F.array_sort(F.concat(*spans)).alias("base"), "_s_token")
@@ -131,7 +146,7 @@ def _noisy_or(confidence: Column) -> Column:
 
 def _slots(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """(w1, w2, slots): how often each pattern is followed by anything.  patterns: bounded by the caller."""
-    words = texts.select(F.split(F.trim(F.lower(F.col("text"))), r"\s+").alias("w"))
+    words = texts.select(_words(F.btrim(F.col("text"), F.lit(" \t\n\x0b\f\r"))).alias("w"))
     pairs = words.where(F.size("w") > 2).select(F.explode(F.arrays_zip(
         F.slice("w", F.lit(1), F.size("w") - 2).alias("w1"), F.slice("w", F.lit(2), F.size("w") - 2).alias("w2"))).alias("p")).select("p.w1", "p.w2")
     return pairs.join(F.broadcast(patterns), ["w1", "w2"]).groupBy("w1", "w2").agg(F.count("*").alias("slots"))

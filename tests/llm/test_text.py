@@ -90,6 +90,30 @@ def test_pii_discovers_in_context(spark):
     assert masked[3].text == "Some words here, reach me at [EMAIL] today" and pii.masked(df).columns == df.columns
 
 
+def pii_words_before(text, start):
+    """The two whole words before the word that holds the position."""
+    words = [w for w in re.finditer(r"[^ \t\n\x0b\f\r]+", text) if w.end() <= start]
+    return tuple(w.group().lower() for w in words[-2:]) if len(words) > 1 else None
+
+
+def test_pii_words_before_cross_matches_and_blanks(spark):
+    texts = ["My passport number:\nAB123456", "  2024-05-01 account AB123456\tname a@b.c d@e.f X1234567", "to<a@b.c>,<d@e.f> X1234567 of\r\n Y7654321",
+             "one " * 40 + "w" * 90 + " " + "v" * 90 + "\tZ1234567", "AB123456 CD123456 EF123456", "\n\tAB123456 +44 20 7946 0958 is CD123456"]
+    rows = pii.base_spans(frame(spark, list(enumerate(texts))), "doc_id", "text").collect()
+    assert sum(len(r.base) + len(r.tokens) for r in rows) == 17
+    for r in rows:
+        for s in [*r.base, *r.tokens]:
+            got = (s.before.w1, s.before.w2) if s.before.w1 else None
+            assert got == pii_words_before(texts[r._id], s.start), (texts[r._id], s)
+
+
+def test_pii_discovers_in_lines_and_records(spark):
+    rows = [(i, f"Passport holder:\nuser{i}@mail.example.com") for i in range(8)] + [(50, "passport holder:\tAB123456")]
+    rows += [(60 + i, f"2024-05-01 account user{i}@mail.example.com") for i in range(8)] + [(70, "2024-05-01 account CD123456")]
+    got = {r.doc_id: [(s.kind, s.start) for s in r.spans] for r in pii.find_pii(frame(spark, rows)).collect()}
+    assert got[50] == [("id", 17)] and got[70] == [("id", 19)]
+
+
 def test_pii_plan_is_native(docs):
     plan = pii.find_pii(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
