@@ -1,7 +1,7 @@
 """Corpus pipeline: five stages over ``documents``, each one of the operators of ``portal_metrics.llm``.
 
 1. toxicity: documents that the clause grammar rejects (score >= 0.7) go.
-2. ngram_jaccard: of each group of documents linked by five-word shingles at Jaccard >= 0.8, the least doc_id stays.
+2. ngram_jaccard: of each group of documents linked by five-word shingles at Jaccard >= 0.8, one row stays, of the least doc_id.
 3. decontamination: documents that hold 80 % of a benchmark item's shingles go.
 4. pii: personal data is replaced by its kind in brackets; n_chars follows the text.
 5. byte_bpe: the kept columns with the packed token ids, their number and the digest of what they decode to.
@@ -29,7 +29,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def ngram_jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_per_class(docs, ngram_join.jaccard_classes(docs))
+    return ngram_join.first_rows(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

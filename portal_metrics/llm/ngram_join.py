@@ -45,11 +45,23 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_per_class(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is its class's; rows that repeat that id stay once."""
+    """The rows of ``docs`` whose id is its class's.  Ids name rows: see ``first_rows`` where they repeat or are NULL."""
     first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(first.hint("shuffle_hash"), id_col, "left_semi").select(*docs.columns)
 
 
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bounds) -> DataFrame:
+    """One row of each class of ``docs``: of least id (NULL last), whatever ids repeat; rows without words are classes of their own."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = C.saved(docs.withColumn(key, F.monotonically_increasing_id()))
+    classes = C.saved(jaccard_classes(rows, key, text_col, **bounds).select(F.col("doc_id").alias(key), "class_id"))
+    named = classes.join(rows.select(key, F.col(id_col).alias("id")), key)
+    first = named.groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.col(key).alias("row"))).alias("h")).select("h.row")
+    return one_per_class(rows, first.select(F.col("row").alias("doc_id"), F.col("row").alias("class_id")), key).select(*docs.columns)
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, class_id, n_links) of every document."""
     return jaccard_classes(C.documents(spark, sf_dir))

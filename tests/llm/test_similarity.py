@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from portal_metrics.llm import ann, common, decontam, graph, minhash, ngram_join, paragraph_dedup, suffix_dedup
+from conftest_llm import frame, sentence
 
 WORD = re.compile("[a-z0-9\x80-\U0010ffff]+")
 
@@ -45,6 +46,16 @@ def test_jaccard_join(docs, texts, empty):
     assert kept.columns == docs.columns and {4, 7, 40} & {r.doc_id for r in kept.collect()} >= {4, 7}
 
 
+def test_one_row_of_each_class_with_null_and_repeated_ids(spark):
+    rng = random.Random(5)
+    a, b, c, d = (sentence(rng, 60) for _ in range(4))
+    rows = [(1, a), (1, a), (2, a + " more"), (1, b), (0, b), (None, c), (None, d), (None, d), (3, d), (None, None), (None, ""), (4, " ")]
+    kept = ngram_join.first_rows(frame(spark, rows))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "", x[1] is None)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(
+        [(1, a), (0, b), (None, c), (3, d), (None, None), (None, ""), (4, " ")], key=key)
+
+
 def test_jaccard_join_with_many_tiles(docs, texts, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 3)  # the near copies span several tiles
     assert sorted(map(tuple, ngram_join.jaccard_classes(docs).collect())) == jaccard_brute(texts)
