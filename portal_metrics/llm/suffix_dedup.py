@@ -20,7 +20,7 @@ Consecutive windows with one anchor are a *run*; it is a short stretch of text.
 
 Defined results: matches never cross documents; NULL is the empty text; texts shorter than LENGTH
 keep all bytes; repeated rows are copies of each other (with ``keep_first`` rows equal in id and text count as
-one place); an empty table gives an empty table; other columns are ignored.
+one place); rows with NULL doc_id are rows like others (their order is that of a digest of their text); an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -232,8 +232,10 @@ def repeated_intervals(docs: DataFrame, keep_first: bool, length: int = LENGTH,
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_first: bool = True,
                    length: int = LENGTH, gram: int = GRAM, local: int = LOCAL) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (removed byte ranges), kept (remaining bytes) of every row."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    gone = repeated_intervals(docs, keep_first, length, gram, local).groupBy("doc_id").agg(F.collect_list(F.struct("digest", "start", "n")).alias("gone"))
+    docs = docs.select(F.col(id_col).cast("long").alias("own"), F.col(text_col).alias("text"))
+    # rows without an id go by a digest of their text: places also hold the text's digest, so an equal id does no harm
+    docs = docs.select(F.coalesce("own", F.xxhash64("text")).alias("doc_id"), "text", "own")
+    gone = repeated_intervals(docs.select("doc_id", "text"), keep_first, length, gram, local).groupBy("doc_id").agg(F.collect_list(F.struct("digest", "start", "n")).alias("gone"))
     schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
     def work(batches):
@@ -256,11 +258,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 spans.append([{"start": int(a), "end": int(a + m)} for a, m in zip(s, n, strict=True)])
                 kept.append(own[~out].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+                [b.column(3), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(work, schema)
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "gone", "own").mapInArrow(work, schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

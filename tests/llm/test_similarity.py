@@ -126,6 +126,18 @@ def test_suffix_dedup_keeps_the_first(docs, texts, local):
     assert got[4].n_removed == 0 and got[5].n_removed == got[5].n_bytes and got[8].n_removed == 0 and got[9].n_removed >= 400
 
 
+@pytest.mark.parametrize("local", [suffix_dedup.LOCAL, 1])
+def test_suffix_dedup_with_null_ids(spark, local):
+    rng = random.Random(11)
+    shared = sentence(rng, 100)
+    rows = [(None, "x" + sentence(rng, 20) + shared), (5, sentence(rng, 30) + shared + sentence(rng, 9)), (6, shared + sentence(rng, 50)),
+            (None, sentence(rng, 90)), (None, None)]
+    rows.append(rows[3])
+    got = suffix_dedup.remove_repeats(frame(spark, rows), keep_first=False, local=local).collect()
+    out = [(-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got]
+    assert sorted(out) == suffix_brute([(-1 if i is None else i, t) for i, t in rows])
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.binary(min_size=20, max_size=60).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=5))
 def test_repeated_windows(spans):
