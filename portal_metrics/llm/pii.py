@@ -9,10 +9,9 @@ fillers of its slot, in the whole corpus, that are known values; a value's score
 known.  Occurrences of discovered values are added as spans of kind ``id``; base spans
 always stay.
 
-Edges and scores stay in Spark tables, aggregated before each join.  The only
-broadcast is the pattern table of the slot count, PATTERNS rows at most (those with
-most distinct seeds): a bound of the model, not of the rows, as slots are counted
-over all documents.
+Edges, slots and scores stay in Spark tables, aggregated before each join; a pattern is dropped early only
+where no round could admit it, and its slots are counted in the first round that has enough of its values.  The
+patterns are broadcast to that count up to SMALL bytes, measured; beyond, all pairs of words are counted by a shuffle.
 
 The patterns are written so that Java's regex engine neither backtracks nor recurses:
 possessive repeats where nothing that follows could use the characters given back, and
@@ -21,7 +20,8 @@ where the last match ended).
 
 Positions are code points, end exclusive.  Defined results: NULL and empty texts have no
 spans and an empty digest string; repeated rows are reported each; ties in start are ordered by kind;
-an empty table gives an empty table; other columns are ignored by ``find_pii`` unless named in ``keep``.
+an identifier with fewer than two words before it in its text has no pattern; an empty table gives an empty table;
+other columns are ignored by ``find_pii`` unless named in ``keep``.
 """
 
 from __future__ import annotations
@@ -42,9 +42,10 @@ PATTERNS_OF = {
 }
 #: A whole token of 6 to 64 characters with a digit.
 TOKEN = r"(?<!\S)(?=[^\s0-9]{0,63}[0-9])\S{6,64}(?!\S)"
-#: Fewest distinct known values of a pattern, its least confidence, a value's least score, rounds.
-SUPPORT, CONFIDENCE, SCORE, ROUNDS = 3, 0.8, 0.8, 2
-PATTERNS = 10_000
+#: Fewest distinct known values of a pattern, its least confidence, a value's least score.
+SUPPORT, CONFIDENCE, SCORE = 3, 0.8, 0.8
+#: A rise of a score that asks for no further round; most bytes of the patterns that are broadcast.
+SETTLED, SMALL = 1e-6, 8 << 20
 
 
 def _digits(m: Column) -> Column:
@@ -144,41 +145,56 @@ def _noisy_or(confidence: Column) -> Column:
     return 1 - F.exp(F.sum(F.log(F.greatest(1 - confidence, F.lit(1e-9)))))
 
 
-def _slots(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(w1, w2, slots): how often each pattern is followed by anything.  patterns: bounded by the caller."""
+def _slots(texts: DataFrame, patterns: DataFrame, small: int) -> DataFrame:
+    """(w1, w2, slots): how often each pattern is followed by anything.  patterns: saved; broadcast up to ``small`` bytes of words."""
     words = texts.select(_words(F.btrim(F.col("text"), F.lit(" \t\n\x0b\f\r"))).alias("w"))
     pairs = words.where(F.size("w") > 2).select(F.explode(F.arrays_zip(
         F.slice("w", F.lit(1), F.size("w") - 2).alias("w1"), F.slice("w", F.lit(2), F.size("w") - 2).alias("w2"))).alias("p")).select("p.w1", "p.w2")
-    return pairs.join(F.broadcast(patterns), ["w1", "w2"]).groupBy("w1", "w2").agg(F.count("*").alias("slots"))
+    size = patterns.agg(F.coalesce(F.sum(F.octet_length("w1") + F.octet_length("w2") + 32), F.lit(0))).first()[0]
+    if size <= small:
+        return pairs.join(F.broadcast(patterns), ["w1", "w2"]).groupBy("w1", "w2").agg(F.count("*").alias("slots"))
+    # counted map-side before the shuffle; the join then meets one row a pair
+    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("slots")).join(patterns, ["w1", "w2"])
 
 
 def discovered(spans: DataFrame, texts: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE,
-               score: float = SCORE, rounds: int = ROUNDS, patterns: int = PATTERNS) -> DataFrame:
+               score: float = SCORE, small: int = SMALL) -> DataFrame:
     """(value): identifier-like values that confident patterns find.  spans: of ``base_spans``, saved; texts: (text)."""
     seen = spans.select(F.explode(F.concat(
         F.transform("base", lambda s: F.struct(F.lower(s["value"]).alias("value"), s["before"].alias("before"), F.lit(1.0).alias("seed"))),
         F.transform("tokens", lambda s: F.struct(F.lower(s["value"]).alias("value"), s["before"].alias("before"), F.lit(0.0).alias("seed"))))).alias("s"))
-    edges = C.saved(seen.select("s.value", "s.before.w1", "s.before.w2", "s.seed").where("w2 <> ''")
+    edges = C.saved(seen.select("s.value", "s.before.w1", "s.before.w2", "s.seed")
                     .groupBy("value", "w1", "w2").agg(F.count("*").alias("n"), F.max("seed").alias("seed")))
-    candidates = (edges.groupBy("w1", "w2").agg(F.sum("seed").alias("seeds"), F.count("*").alias("values"), F.sum("n").alias("most"))
-                  .where((F.col("seeds") >= support) & (F.col("values") > F.col("seeds")))
-                  .orderBy(F.desc("seeds"), "w1", "w2").limit(patterns))
-    # slots in the texts that can hold an identifier bound all slots from below: patterns that stay under the
-    # confidence even if every identifier were known are out before the whole corpus is counted
-    least = _slots(texts.where(F.col("text").rlike("[0-9@]")), candidates.select("w1", "w2"))
-    hopeful = candidates.join(least, ["w1", "w2"]).where(F.col("most") >= confidence * F.col("slots")).select("w1", "w2")
-    slots = C.saved(_slots(texts, C.saved(hopeful)))
-    graph = C.saved(edges.join(slots, ["w1", "w2"]))
-    known = graph.where("seed > 0").select("value", F.lit(1.0).alias("score")).distinct()
-    for _ in range(rounds):
-        held = graph.join(known, "value", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    seeds = C.saved(edges.where("seed > 0").select("value", F.lit(1.0).alias("score")).distinct())
+    # what no round can admit is out: patterns of too few values, and those that hold nothing but seeds
+    candidates = C.saved(edges.where("w1 <> ''").groupBy("w1", "w2")
+                         .agg(F.sum("seed").alias("seeds"), F.count("*").alias("values"), F.sum("n").alias("most"))
+                         .where((F.col("values") >= support) & (F.col("values") > F.col("seeds"))).select("w1", "w2", "most"))
+    edges = C.saved(edges.join(candidates, ["w1", "w2"]))
+    asked = candidates.where("false").select("w1", "w2")
+    slots = asked.withColumn("slots", F.lit(0).cast("long"))
+    graph, new = edges.join(slots, ["w1", "w2"]), seeds.where("false")
+    while True:
+        # slots are counted for the patterns that have enough known values now and had not before
+        due = C.saved(edges.join(seeds.union(new), "value").groupBy("w1", "w2").agg(F.count("*").alias("known"), F.first("most").alias("most"))
+                      .where(F.col("known") >= support).join(asked, ["w1", "w2"], "left_anti").select("w1", "w2", "most"))
+        if due.limit(1).count():
+            asked = asked.union(due.select("w1", "w2"))
+            more = _slots(texts, due.select("w1", "w2"), small).join(due, ["w1", "w2"])
+            # those below the confidence even if every identifier in their slots were known are out
+            slots = slots.union(C.saved(more.where(F.col("most") >= confidence * F.greatest("slots", "most")).select("w1", "w2", "slots")))
+            graph = C.saved(edges.join(slots, ["w1", "w2"]))
+        held = graph.join(seeds.union(new), "value", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
         rated = (held.groupBy("w1", "w2").agg((F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("slots"), F.sum("n"))).alias("confidence"),
                                               F.sum(F.when(F.col("score") > 0, 1).otherwise(0)).alias("known"))
-                 .where((F.col("confidence") >= confidence) & (F.col("known") >= support)))
-        rating = graph.join(rated, ["w1", "w2"]).groupBy("value").agg(F.max("seed").alias("seed"), _noisy_or(F.col("confidence")).alias("score"))
-        known = C.saved(rating.where((F.col("seed") == 0) & (F.col("score") >= score)).select("value", "score")
-                        .union(graph.where("seed > 0").select("value", F.lit(1.0)).distinct()))
-    return known.join(graph.where("seed > 0").select("value").distinct(), "value", "left_anti").select("value")
+                 .where((F.col("confidence") >= confidence) & (F.col("known") >= support)).select("w1", "w2", "confidence"))
+        rating = held.join(rated, ["w1", "w2"]).groupBy("value").agg(F.max("score").alias("before"), _noisy_or(F.col("confidence")).alias("score"))
+        rating = C.saved(rating.where(F.col("score") >= score).join(seeds, "value", "left_anti"))
+        # scores never fall from round to round, so the rounds end
+        grown = rating.where((F.col("before") == 0) | (F.col("score") - F.col("before") > SETTLED)).limit(1).count()
+        new = rating.select("value", "score")
+        if not grown:
+            return new.select("value")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), **bounds) -> DataFrame:

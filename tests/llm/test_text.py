@@ -114,6 +114,18 @@ def test_pii_discovers_in_lines_and_records(spark):
     assert got[50] == [("id", 17)] and got[70] == [("id", 19)]
 
 
+@pytest.mark.parametrize("small", [8 << 20, 0])
+def test_pii_bootstrap_goes_on_until_nothing_is_new(spark, small):
+    """Each context's values are only known through the one before it; the first holds the base seeds, frequent contexts fail."""
+    rows = [f"reach me at user{i}@mail.example.com" for i in range(20)]
+    for g, context in enumerate(("reach me at", "badge no", "file ref", "case id")):
+        rows += [f"{context} gen{g}-{i}xyz" for i in range(3)] + [f"{context} gen{g - 1}-{i}xyz" for i in range(3) for _ in range(12) if g]
+    rows += [f"one of the x{i}@mail.example.com of the day" for i in range(60)] + [f"out of the room{i}00" for i in range(60)]
+    got = pii.find_pii(frame(spark, list(enumerate(rows))), small=small).collect()
+    ids = {rows[r.doc_id][s.start:s.end] for r in got for s in r.spans if s.kind == "id"}
+    assert ids == {f"gen{g}-{i}xyz" for g in range(4) for i in range(3)}
+
+
 def test_pii_plan_is_native(docs):
     plan = pii.find_pii(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
