@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from portal_metrics.llm.align import op13_cross_tokenizer
 from portal_metrics.llm.ann import OP2_SQL, op2_nearest_neighbours
 from portal_metrics.llm.bpe import op7_byte_bpe
 from portal_metrics.llm.decontam import OP9_SQL, op9_decontamination
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 
 ORACLE_SQL: dict[str, str] = {
