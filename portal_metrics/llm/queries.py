@@ -10,6 +10,7 @@ from portal_metrics.llm.align import op13_cross_tokenizer
 from portal_metrics.llm.ann import OP2_SQL, op2_nearest_neighbours
 from portal_metrics.llm.bpe import op7_byte_bpe
 from portal_metrics.llm.decontam import OP9_SQL, op9_decontamination
+from portal_metrics.llm.lexical import OP12_SQL, op12_lexical_search
 from portal_metrics.llm.ngram_join import OP10_SQL, op10_ngram_jaccard
 from portal_metrics.llm.paragraph_dedup import op4_paragraph_dedup
 from portal_metrics.llm.pii import op5_pii
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op12_lexical_search": op12_lexical_search,
     "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 
@@ -37,4 +39,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_url_filter": OP8_SQL,
     "op9_decontamination": OP9_SQL,
     "op10_ngram_jaccard": OP10_SQL,
+    "op12_lexical_search": OP12_SQL,
 }
