@@ -18,6 +18,7 @@ from portal_metrics.llm.secrets import op6_secrets
 from portal_metrics.llm.suffix_dedup import op1_suffix_dedup
 from portal_metrics.llm.toxicity import op3_toxicity
 from portal_metrics.llm.urls import OP8_SQL, op8_url_filter
+from portal_metrics.llm.warc import OP11_SQL, op11_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_warc": op11_warc,
     "op12_lexical_search": op12_lexical_search,
     "op13_cross_tokenizer": op13_cross_tokenizer,
 }
@@ -39,5 +41,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_url_filter": OP8_SQL,
     "op9_decontamination": OP9_SQL,
     "op10_ngram_jaccard": OP10_SQL,
+    "op11_warc": OP11_SQL,
     "op12_lexical_search": OP12_SQL,
 }
