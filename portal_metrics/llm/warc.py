@@ -66,9 +66,9 @@ def _field(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(_CRLF)), F.lit(""))
 
 
-def _record_id(archive: str, *parts: Column) -> Column:
-    """A record id from the archive and what is unique in it."""
-    h = F.md5(F.concat_ws(":", F.lit(archive), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
+def _record_id(archive: str, page: Column, digest: Column) -> Column:
+    """A record id, from which a revisit can name its response."""
+    h = F.md5(F.concat_ws(":", F.lit(archive), F.coalesce(page.cast("string"), F.lit("")), digest).cast("binary"))
     cut = [F.substring(h, s, n) for s, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
@@ -90,9 +90,10 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     block = F.concat(http, F.when(new, F.col("payload")).otherwise(""))
     record = F.concat(
         F.lit(separator(archive)), _field("WARC-Type", F.when(new, "response").otherwise("revisit")),
-        _field("WARC-Record-ID", _record_id(archive, F.col("id"), F.col("digest"), F.col("url"))), _field("WARC-Date", F.col("date")),
+        _field("WARC-Record-ID", _record_id(archive, F.col("id"), F.col("digest"))), _field("WARC-Date", F.col("date")),
         _field("WARC-Target-URI", F.col("url")), _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
-        _field("WARC-Page-ID", F.col("id")), _field("WARC-Profile", F.when(~new, PROFILE)), _field("WARC-Refers-To-Page-ID", F.col("refers")),
+        _field("WARC-Page-ID", F.col("id")), _field("WARC-Profile", F.when(~new, PROFILE)),
+        _field("WARC-Refers-To", F.when(~new, _record_id(archive, F.col("refers"), F.col("digest")))), _field("WARC-Refers-To-Page-ID", F.col("refers")),
         F.lit(f"Content-Type: application/http; msgtype=response{_CRLF}"), _field("Content-Length", F.octet_length(block)), F.lit(_CRLF),
         # the text writer's line end closes the record
         block, F.lit("\r\n\r"))
