@@ -16,12 +16,38 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import EMPLOYEE_COLUMNS, FACT_COLUMNS, FACT_PARTITION, PAGE_COLUMNS
+from ..schemas import DATE_COLUMNS, EMPLOYEE_COLUMNS, FACT_COLUMNS, FACT_PARTITION, PAGE_COLUMNS
+from .calendar import calendar_columns
 from .metrics import contains_ci
 
 _PAGE_COLS = {n for n, _, _ in PAGE_COLUMNS} - {"marketingpageid"}
 _EMP_COLS = {n for n, _, _ in EMPLOYEE_COLUMNS}
 _FACT_COLS = {n for n, _, _ in FACT_COLUMNS}
+_CALENDAR = [n for n, _ in DATE_COLUMNS]
+#: Calendar columns that are the same on all days of a month.
+_OF_MONTH = {"year", "quarter", "quarter_name", "year_quarter", "month", "month_name", "month_short", "year_month"}
+
+
+def _calendar_of(day: Column) -> dict[str, Column]:
+    """The calendar columns of a day, by name."""
+    return dict(zip(_CALENDAR, calendar_columns(day), strict=True))
+
+
+def _key_range(column: str, value) -> tuple[int, int] | None:
+    """First and last day key of a named year, quarter, month or day; None for columns that recur."""
+    if column in ("date", "datekey"):
+        k = to_daykey(value)
+        return k, k
+    if column == "year":
+        return int(value) * 10000 + 101, int(value) * 10000 + 1231
+    if column == "year_month":
+        k = int(str(value).replace("-", "")) * 100
+        return k + 1, k + 31
+    if column == "year_quarter":
+        quarter, year = str(value).lstrip("Q").split()
+        k = int(year) * 10000 + (3 * int(quarter) - 2) * 100
+        return k + 1, k + 231
+    return None
 
 
 def to_daykey(x) -> int | None:
@@ -98,6 +124,28 @@ class Filters:
     def uses_employee(self) -> bool:
         return bool(self.columns() & _EMP_COLS)
 
+    # --------------------------------------------------------------- calendar
+    def calendar_predicate(self, columns=None) -> Column | None:
+        """FIL-6 on calendar columns, compiled to the fact's day key: no calendar is joined.
+
+        A calendar column is a function of the day, so its condition is put on the day that the key names (a key
+        that is no day meets none).  Conditions that name whole years, quarters, months or days also become day-key
+        ranges, which reach the scan, and those that hold for whole months a condition on the month partition."""
+        named = [(k, v) for k, v in self.equals if k in _CALENDAR]
+        if not named:
+            return None
+        of_day = _calendar_of(F.try_to_date(F.col("visitdatekey").cast("string"), "yyyyMMdd"))
+        conds = []
+        for k, vals in named:
+            runs = [r for r in (_key_range(k, v) for v in vals) if r]
+            if len(runs) == len(vals):
+                conds.append(reduce(lambda a, b: a | b, [F.col("visitdatekey").between(lo, hi) for lo, hi in runs]))
+            conds.append(of_day[k].isin(list(vals)))
+            if columns is not None and FACT_PARTITION in columns and k in _OF_MONTH:
+                first = F.try_to_date(F.concat(F.col(FACT_PARTITION).cast("string"), F.lit("01")), "yyyyMMdd")
+                conds.append(_calendar_of(first)[k].isin(list(vals)))
+        return reduce(lambda a, b: a & b, conds)
+
     # -------------------------------------------------------------- predicate
     def fact_predicate(self, columns=None) -> Column | None:
         """Only the parts that touch fact columns (safe to apply pre-join)."""
@@ -115,6 +163,9 @@ class Filters:
         for k, vals in self.equals:
             if k in _FACT_COLS:
                 conds.append(F.col(k).isin(list(vals)))
+        cal = self.calendar_predicate(columns)
+        if cal is not None:
+            conds.append(cal)
         return reduce(lambda a, b: a & b, conds) if conds else None
 
     def predicate(self, columns=None) -> Column | None:
@@ -129,7 +180,7 @@ class Filters:
         if self.page_name:
             conds.append(contains_ci("pagename", self.page_name))
         for k, vals in self.equals:
-            if k not in _FACT_COLS:
+            if k not in _FACT_COLS and k not in _CALENDAR:
                 conds.append(F.col(k).isin(list(vals)))
         return reduce(lambda a, b: a & b, conds) if conds else None
 

@@ -41,12 +41,6 @@ def top_k_per_group(df: DataFrame, group, order: list, k: int, tie_keys=(),
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def dense_rank_desc(df: DataFrame, value: str, out: str, group=()) -> DataFrame:
-    """WIN-2 / MEA-25: dense rank, highest value first."""
-    w = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last())
-    return df.withColumn(out, F.dense_rank().over(w))
-
-
 def share_of_total(df: DataFrame, value: str, out: str = "share_pct", digits: int | None = 2) -> DataFrame:
     """AGG-19 / WIN-6: value as % of its column total.
 
@@ -91,9 +85,3 @@ def pivot_matrix(df: DataFrame, index, columns: str, value: str, agg: str = "sum
     if total and cell_cols:
         p = p.withColumn(total, reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in cell_cols]))
     return p
-
-
-def unpivot_metrics(df: DataFrame, metrics: list[str], name: str = "metric",
-                    value: str = "value", ids=()) -> DataFrame:
-    """Wide one-row metric frames to (metric, value) rows (``stack``)."""
-    return df.unpivot(list(ids), metrics, name, value)

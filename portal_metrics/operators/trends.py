@@ -5,9 +5,8 @@
   period key*, not ``lag`` -- a missing month must compare with nothing,
   not with the month before it.
 * ``rolling_distinct``: distinct visitors over a sliding window of
-  months.  Distinct counts are not windowable, so each (visitor, day) is
-  exploded to the few report months whose window contains it and counted
-  there; the work grows linearly with the distinct visitor-days.
+  months, by an interval sweep: an active month covers a run of report
+  months, a visitor's runs are united, and only their ends move on.
 * ``cumulative_reach``: running count of first-time visitors per month.
 """
 
@@ -88,32 +87,48 @@ def period_change(df: DataFrame, period: str, value: str, grain: str = "month",
     return j.withColumn(change_out, F.coalesce(ch, F.lit(0.0)) if zero_when_missing else ch)
 
 
+def _month_no(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day) - 1
+
+
 def rolling_distinct(visits: DataFrame, who: str, day: str, months: int = 6,
-                     report_months: DataFrame | None = None, out: str = "rolling_uv",
-                     by=()) -> DataFrame:
+                     out: str = "rolling_uv", by=()) -> DataFrame:
     """WIN-4 / MEA-14: distinct ``who`` over the ``months`` months ending at
     each report month's last day, i.e. days d with
-    add_months(last_day(m), -months) < d <= last_day(m).
-
-    ``visits`` holds (by..., who, day DATE).  ``report_months`` (column
-    ``month`` = month start) limits the output; default: months with data.
+    add_months(last_day(m), -months) < d <= last_day(m), for months with data.
+
+    ``visits`` holds (by..., who, day DATE), read once.  The last day of an
+    active month decides which report months it covers: its own and the
+    next ``months`` - 1, and one more if that month is too short to start
+    its window at this month's end.  A visitor's active months (bounded by
+    the calendar) are united into runs; a run leaves +1 where it opens and
+    -1 after it closes, summed per month before they are shuffled, and a
+    running sum over the months gives the counts.  Active months without
+    an end of a run, and those of NULL visitors, only mark months with data.
     """
     by = list(by)
-    # one distinct (who, day) feeds both branches (NULL visitors kept only
-    # to mark months with data); Spark reuses the shared exchange
-    vd_all = visits.select(*by, who, day).distinct()
-    vd = vd_all.where(F.col(who).isNotNull())
-    month0 = F.trunc(F.col(day), "MM")
-    cand = vd.select(*by, who, day,
-                     F.explode(F.sequence(F.lit(0), F.lit(months))).alias("_k"))
-    cand = cand.withColumn("month", F.add_months(month0, F.col("_k")))
-    end = F.last_day(F.col("month"))
-    inwin = cand.where((F.col(day) <= end) & (F.col(day) > F.add_months(end, -months)))
-    per = inwin.select(*by, "month", who).distinct()
-    res = per.groupBy(*by, "month").agg(F.count(F.lit(1)).alias(out))
-    if report_months is None:
-        report_months = vd_all.select(*by, F.trunc(F.col(day), "MM").alias("month")).distinct()
-    return null_safe_left(report_months, res, by, ["month"]).fillna(0, subset=[out])
+    active = visits.groupBy(*by, who, _month_no(F.col(day)).alias("_m")).agg(F.max(day).alias("_last"))
+    window_start = F.add_months(F.last_day(F.add_months(F.trunc("_last", "MM"), months)), -months)
+    end = F.col("_m") + F.when(F.col("_last") > window_start, months).otherwise(months - 1)
+    runs = (active.withColumn("_end", end).groupBy(*by, who)
+            .agg(F.array_sort(F.collect_list(F.struct("_m", "_end"))).alias("_s")))
+
+    def ends(x, i):
+        # runs that touch are one; ends grow with the months, so neighbours decide
+        opens = (i == 0) | (x["_m"] > F.get("_s", i - 1)["_end"] + 1)
+        closes = (i == F.size("_s") - 1) | (F.get("_s", i + 1)["_m"] > x["_end"] + 1)
+        known = F.col(who).isNotNull()
+        mark = F.struct(x["_m"].alias("_m"), F.when(opens & known, 1).otherwise(0).alias("_d"), F.lit(True).alias("_mark"))
+        close = F.struct((x["_end"] + 1).alias("_m"), F.lit(-1).alias("_d"), F.lit(False).alias("_mark"))
+        return F.when(closes & known, F.array(mark, close)).otherwise(F.array(mark))
+
+    steps = runs.select(*by, F.explode(F.flatten(F.transform("_s", ends))).alias("_e")).select(*by, "_e.*")
+    per = steps.groupBy(*by, "_m").agg(F.sum("_d").alias("_d"), F.bool_or("_mark").alias("_mark"))
+    # a row per month (and group)
+    w = Window.partitionBy(*by).orderBy("_m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    month = F.make_date(F.floor(F.col("_m") / 12), F.col("_m") % 12 + 1, F.lit(1))
+    return (per.withColumn(out, F.sum("_d").over(w)).where("_mark")
+            .select(*by, month.alias("month"), out))
 
 
 def cumulative_reach(visits: DataFrame, who: str, day: str, out: str = "cumulative_uv",

@@ -74,6 +74,10 @@ for _name, _fn in [
 ]:
     _model_query(_name, _fn)
 
+from ..operators.visitor_bitmaps import VisitorBitmaps  # noqa: E402
+
+_model_query("qry02_05_uv_all_grains", lambda model: VisitorBitmaps.of(model).all_grains())
+
 # ---------------------------------------------------------------- DOC-1..5
 DOC_FROM, DOC_TO = 19960101, 19961231
 _model_query("doc1_uv_by_region_range", R.doc_uv_by_region, date_from=DOC_FROM, date_to=DOC_TO)
@@ -138,6 +142,8 @@ AS_OF = "2000-06-15"
 _model_query("fil01_03_filtered_monthly", R.monthly_uv, filters=FIL_SITE)
 _model_query("fil04_url_top_pages", R.top_pages_by_views, filters=FIL_URL)
 _model_query("fil05_06_equals_region", R.uv_by_region, filters=FIL_EQ)
+FIL_WEEKEND = Filters(equals={"is_weekend": [True], "year": [1995, 1996], "quarter": [1, 4]})
+_model_query("fil06_weekend_filter", R.referrer_analysis, filters=FIL_WEEKEND)
 _q("fil18_search_websites")(lambda s, d: SR.search_websites(_star(s, d).page_inventory, "#1"))
 _q("fil19_search_pages")(lambda s, d: SR.search_pages(_star(s, d).page_inventory, "/promo/", 50))
 _q("fil20_date_range")(lambda s, d: SR.date_range(_star(s, d).fact))

@@ -1,8 +1,9 @@
 """Dashboard data sets (DSH-1..17): the data behind each specified visual.
 
 Each returns a lazy DataFrame (or, for composite pages, a dict of them).
-Global thresholds (medians, totals, the list of all divisions) enter as
-scalar subqueries, so no row is joined pairwise and nothing is collected.
+Global thresholds (totals, the list of all divisions) enter as scalar
+subqueries, so no row is joined pairwise and nothing is collected; exact
+medians come from ``operators.ranking``.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import metrics as M
 from ..functions.filters import NO_FILTERS, Filters
 from ..model import StarModel, bounded_broadcast
+from ..operators.ranking import exact_median
 from ..operators.reshape import pivot_matrix, share_of_total, top_k
+from ..session import written
 from . import measures as MS
 from . import reports as R
 
@@ -108,10 +111,9 @@ def content_cards(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
 
 def content_quadrants(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """DSH-5: each page placed against the median UV and median engagement
-    rate of all pages (exact medians, as scalar subqueries)."""
-    pp = page_performance(model, filters)
-    med_uv = pp.select(F.median("uv")).scalar()
-    med_rate = pp.select(F.median("engagement_rate")).scalar()
+    rate of all pages (exact, by selection over the written page table)."""
+    pp = written(page_performance(model, filters), "page_performance")
+    med_uv, med_rate = (F.lit(exact_median(pp, c)).cast("double") for c in ("uv", "engagement_rate"))
     hi_r = F.col("uv") > F.col("median_uv")
     hi_e = F.col("engagement_rate") > F.col("median_engagement_rate")
     return (pp.withColumn("median_uv", med_uv).withColumn("median_engagement_rate", med_rate)

@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from ..functions import metrics as M
 from ..functions.filters import NO_FILTERS, Filters
 from ..model import StarModel
-from ..operators.reshape import dense_rank_desc
+from ..operators.ranking import dense_ranks
 from ..operators.trends import null_safe_left, period_change, rolling_distinct, rolling_distinct_approx
 from ..schemas import DATE_COLUMNS, EMPLOYEE_COLUMNS, PAGE_COLUMNS
+from ..session import written
 
 _DATE_COLS = {n for n, _ in DATE_COLUMNS}
 _EMP_COLS = {n for n, _, _ in EMPLOYEE_COLUMNS}
@@ -360,14 +361,14 @@ def channel_measures(model: StarModel, by=(), filters: Filters = NO_FILTERS,
 def page_ranks(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-25: dense rank of page names by views, UV and engagements.
 
-    Ranked over the page-name aggregate (one row per page name, bounded by
-    the inventory), never over raw fact rows."""
+    The page-name aggregate is written once; ranks are found by ranges of
+    distinct values (``operators.ranking``), never by a sort of all pages in
+    one task."""
     w = model.wide(filters, page="inner")
     g = w.groupBy("pagename").agg(M.views().alias("total_views"), M.uv().alias("uv"),
                                   M.engagements_zero().alias("engagements"))
-    g = dense_rank_desc(g, "total_views", "rank_by_views")
-    g = dense_rank_desc(g, "uv", "rank_by_uv")
-    return dense_rank_desc(g, "engagements", "rank_by_engagement")
+    return dense_ranks(written(g, "page_ranks"), {"total_views": "rank_by_views", "uv": "rank_by_uv",
+                                                  "engagements": "rank_by_engagement"})
 
 
 def _uv_rate(model: StarModel, by, filters: Filters, page: str | None = "left") -> DataFrame:

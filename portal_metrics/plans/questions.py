@@ -347,22 +347,38 @@ def page_lookup(model: StarModel, name: str, filters: Filters = NO_FILTERS) -> d
     }
 
 
+def elementary_segments(periods: dict) -> tuple[list[int], list[tuple[str, int, int, list[int]]]]:
+    """Cuts of the day-key axis at all ends of the periods, and for each period (name, from, to) the segments it is made of.
+
+    Segment i holds the keys from cut i-1 up to before cut i; a segment lies wholly inside or outside of each period."""
+    named = [(n, to_daykey(a), to_daykey(b) if b is not None else 99991231) for n, (a, b) in periods.items()]
+    cuts = sorted({k for _, lo, hi in named for k in (lo, hi + 1)})
+    return cuts, [(n, lo, hi, [i + 1 for i, c in enumerate(cuts) if lo <= c <= hi]) for n, lo, hi in named]
+
+
 def period_summary(model: StarModel, periods: dict, filters: Filters = NO_FILTERS) -> DataFrame:
-    """ASK-20: one row of key metrics per named period {name: (from, to)}.
+    """ASK-20: one row of key metrics per named period {name: (from, to)}; periods may overlap.
 
-    The period list is a tiny broadcast table joined on a day-key range;
-    each fact row meets only the periods it falls in, in one scan."""
+    The ends of all periods cut the days into disjoint segments.  The fact is reduced to a row per (segment, visitor) in one
+    scan; only these rows are expanded to the periods that hold their segment, by an equality join with the list of
+    (segment, period), which the request bounds."""
     spark: SparkSession = model.spark
-    rows = [(n, to_daykey(a), to_daykey(b) if b is not None else 99991231) for n, (a, b) in periods.items()]
-    pf = spark.createDataFrame(rows, "period string, day_from long, day_to long")
-    lo = min(r[1] for r in rows)
-    hi = max(r[2] for r in rows)
+    cuts, named = elementary_segments(periods)
+    lo = min(r[1] for r in named)
+    hi = max(r[2] for r in named)
+    held = spark.createDataFrame([(i, n, a, b) for n, a, b, own in named for i in own],
+                                 "_segment int, period string, day_from long, day_to long")
     w = model.wide(_within(filters, lo, hi if hi != 99991231 else None), page="left")
-    j = w.join(F.broadcast(pf), F.col("visitdatekey").between(F.col("day_from"), F.col("day_to")))
+    segment = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("visitdatekey")))
+    per = w.groupBy(segment.alias("_segment"), "viewingcontactid").agg(
+        M.views().alias("views"), M.visits().alias("visits"), M.likes_count().alias("likes"), M.comments().alias("comments"))
+    j = per.join(F.broadcast(held), "_segment")
+    z = F.lit(0).cast("long")
+    likes, comments = F.sum("likes"), F.coalesce(F.sum("comments"), z)
     return j.groupBy("period", "day_from", "day_to").agg(
-        M.uv().alias("uv"), M.views().alias("total_views"), M.visits().alias("total_visits"),
-        M.likes_count().alias("likes"), F.coalesce(M.comments(), F.lit(0).cast("long")).alias("comments"),
-        M.engagements_zero().alias("engagements"), M.engagement_rate_zero().alias("engagement_rate"))
+        M.uv().alias("uv"), F.sum("views").alias("total_views"), F.sum("visits").alias("total_visits"),
+        likes.alias("likes"), comments.alias("comments"), (likes + comments).alias("engagements"),
+        M.pct_zero(likes + comments, F.sum("views")).alias("engagement_rate"))
 
 
 def named_periods(as_of, kinds=("today", "this_week", "last_week", "this_month", "last_month",

@@ -65,3 +65,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df, name: str):
+    """``df`` written as Parquet in the shared scratch folder and read back: its lineage is cut, and it is computed once
+    however many branches of a report read it."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
