@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ from portal_metrics.llm.bpe import PATTERN
 CHUNK, BUCKET = 1 << 20, 8 << 20
 #: Window alignments remembered per worker, and the longest window remembered (tokens of both).
 MEMO, MEMO_TOKENS = 200_000, 64
-#: Tokens of alignments held per worker, remembered or not.
-HELD_TOKENS = 4_000_000
+#: Links of alignments held per worker, remembered or not.
+HELD_LINKS = 2_000_000
 #: Texts of these characters are split alike by both public implementations of A; others go to the file's own library.
 COMMON = re.compile(r"[\u0000-\u052f\u2000-\u206f\u20a0-\u20bf\u3040-\u30ff\u4e00-\u9fef\uac00-\ud7a3]*")
 
@@ -86,47 +87,57 @@ class Tokenizers:
         ordered = all(vocab[m] == 256 + i for i, m in enumerate(merged)) and not model["model"].get("ignore_merges") and not model.get("normalizer")
         self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={t: i for i, t in tokens.items() if i not in special},
                                       special_tokens={}) if ordered else None
-        a = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-        b = b_tokens(self.pieces)
-        self.bytes = a, b
-        self.length = tuple(np.array([len(t) for t in x], np.int64) for x in (a, b))
-        self.spaced = tuple(np.array([t[:1] == b" " for t in x], bool) for x in (a, b))
-
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each text by A and by B; none where either does not give the bytes of space + text."""
-        a, b = [], self.pieces.encode([t or "" for t in texts], num_threads=1)
-        for k, t in enumerate(texts):
-            ids: list[int] = []
-            if t:
-                if self.fast is not None and COMMON.fullmatch(t):
-                    ids = self.fast.encode_ordinary(" " + t)
-                else:
-                    ids = self.library.encode(" " + t, add_special_tokens=False).ids
-                want = b" " + t.encode()
-                if b"".join(map(self.bytes[0].__getitem__, ids)) != want or b"".join(map(self.bytes[1].__getitem__, b[k])) != want:
-                    ids = []
-            a.append(ids)
-            if not ids:
-                b[k] = []
-        return a, b
-
-
-def align_window(a: list[int], b: list[int], a_length, b_length) -> tuple[str, list[int]]:
-    """Groups text and links (A id << 32 | B id) of one window, by a walk over the ends of both."""
-    groups, links = [], []
-    i = j = i0 = j0 = 0
-    x = y = 0
-    while i < len(a):
-        x += a_length[a[i]]
-        i += 1
-        while j < len(b) and y < x:
-            y += b_length[b[j]]
-            j += 1
-        if x == y:
-            groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-            links.append(a[i - 1] << 32 | b[j - 1])
-            i0, j0 = i, j
-    return ";".join(groups), links
+        self.tokens = [tokens.get(i, b"") for i in range(max(tokens) + 1)], b_tokens(self.pieces)
+        self.length = tuple(np.array([len(t) for t in x], np.int64) for x in self.tokens)
+        self.spaced = tuple(np.array([t[:1] == b" " for t in x], bool) for x in self.tokens)
+        self.blob = tuple(np.frombuffer(b"".join(x), np.uint8) for x in self.tokens)
+        self.start = tuple(np.concatenate([[0], np.cumsum(x)[:-1]]) for x in self.length)
+
+    def encode(self, texts: list[str | None]) -> tuple[list, list]:
+        """Ids of each text by A and by B; none for an empty text."""
+        a = []
+        for t in texts:
+            if not t:
+                a.append([])
+            elif self.fast is not None and COMMON.fullmatch(t):
+                a.append(self.fast.encode_to_numpy(" " + t, disallowed_special=()))
+            else:
+                a.append(self.library.encode(" " + t, add_special_tokens=False).ids)
+        return a, self.pieces.encode([t or "" for t in texts], num_threads=1)
+
+    def gives_back(self, which: int, ids: np.ndarray, per: np.ndarray, want: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each text join to its bytes; want: all bytes in a row, ends: where each text's end."""
+        n = self.length[which][ids]
+        at = np.concatenate([[0], np.cumsum(n)])
+        right = at[per[1:]] - at[per[:-1]] == np.diff(ends)
+        if not right.all():
+            # a text of another length would shift all bytes after it
+            keep = np.repeat(right, np.diff(per))
+            ids, n, want = ids[keep], n[keep], want[np.repeat(right, np.diff(ends))]
+            at = np.concatenate([[0], np.cumsum(n)])
+        got = self.blob[which][np.arange(at[-1]) + np.repeat(self.start[which][ids] - at[:-1], n)]
+        wrong = np.flatnonzero(got != want)
+        if len(wrong):
+            sure = np.flatnonzero(right)
+            right[sure[np.searchsorted(np.cumsum(np.diff(ends)[sure]), wrong, side="right")]] = False
+        return right
+
+
+def _flat(ids: list) -> tuple[np.ndarray, np.ndarray]:
+    per = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(per[-1])), per
+
+
+def _only(ids: np.ndarray, per: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some rows; the others have none."""
+    n = np.diff(per)
+    return ids[np.repeat(rows, n)], np.concatenate([[0], np.cumsum(np.where(rows, n, 0))])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 class Aligner:
@@ -134,62 +145,100 @@ class Aligner:
 
     def __init__(self, tokenizers: Tokenizers):
         self.t = tokenizers
-        self.lengths = [x.tolist() for x in tokenizers.length]
+        # a token's text inside its group, and at its end
+        self.said = tuple(tuple(np.array([f"{i}{c}" for i in range(len(x))], object) for c in ends)
+                          for x, ends in zip(tokenizers.tokens, (",|", ",;"), strict=True))
         self._clear()
 
     def _clear(self):
+        #: Window -> its number; texts of the windows; their links one after another, and where each window's start.
         self.memo: dict[tuple[bytes, bytes], int] = {}
         self.texts: list[str] = []
-        self.links: list[list[int]] = []
-        self.held = 0
+        self.links, self.link_at = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def shared_ends(self, a: np.ndarray, b: np.ndarray, a_there: np.ndarray | None = None, b_there: np.ndarray | None = None):
+        """Token numbers of A and of B that end at one byte; only those that are ``there``."""
+        a_end, b_end = np.cumsum(self.t.length[0][a]), np.cumsum(self.t.length[1][b])
+        i = np.arange(len(a)) if a_there is None else np.flatnonzero(a_there)
+        j = np.arange(len(b)) if b_there is None else np.flatnonzero(b_there)
+        mark = np.zeros(int(a_end[-1]) + 1, bool)
+        mark[b_end[j]] = True
+        i = i[mark[a_end[i]]]
+        mark[b_end[j]] = False
+        mark[a_end[i]] = True
+        return i, j[mark[b_end[j]]]
 
     def windows(self, a: np.ndarray, b: np.ndarray, a_per: np.ndarray, b_per: np.ndarray):
         """Window ends in A's and in B's tokens: anchors and the ends of the documents."""
-        a_end, b_end = np.cumsum(self.t.length[0][a]), np.cumsum(self.t.length[1][b])
         a_cut, b_cut = np.zeros(len(a), bool), np.zeros(len(b), bool)
         a_cut[:-1] = self.t.spaced[0][a[1:]]
         b_cut[:-1] = self.t.spaced[1][b[1:]]
         # the end of a document is one of both, whatever comes after
         a_cut[a_per[1:][np.diff(a_per) > 0] - 1] = True
         b_cut[b_per[1:][np.diff(b_per) > 0] - 1] = True
-        _, i, j = np.intersect1d(a_end[a_cut], b_end[b_cut], assume_unique=True, return_indices=True)
-        return np.flatnonzero(a_cut)[i] + 1, np.flatnonzero(b_cut)[j] + 1
+        i, j = self.shared_ends(a, b, a_cut, b_cut)
+        return i + 1, j + 1
+
+    def _learn(self, a: np.ndarray, b: np.ndarray, a_from, a_n, b_from, b_n) -> None:
+        """Align windows that are not in memory, side by side: groups end where tokens of both end."""
+        a, b = a[_ranges(a_from, a_n)], b[_ranges(b_from, b_n)]
+        i, j = self.shared_ends(a, b)
+        links = a[i] << 32 | b[j]
+        # a group's text is its A tokens, then its B tokens
+        a_last, b_last = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        a_last[i] = b_last[j] = True
+        a_group, b_group = np.searchsorted(i, np.arange(len(a))), np.searchsorted(j, np.arange(len(b)))
+        out = np.empty(len(a) + len(b), object)
+        out[np.arange(len(a)) + np.concatenate([[0], j + 1])[a_group]] = np.where(a_last, self.said[0][1][a], self.said[0][0][a])
+        out[np.arange(len(b)) + (i + 1)[b_group]] = np.where(b_last, self.said[1][1][b], self.said[1][0][b])
+        pieces = out.tolist()
+        cuts = np.cumsum(a_n + b_n).tolist()
+        self.texts += ["".join(pieces[s:e]) for s, e in zip([0, *cuts[:-1]], cuts, strict=True)]
+        self.link_at = np.concatenate([self.link_at, len(self.links) + np.searchsorted(i, np.cumsum(a_n))])
+        self.links = np.concatenate([self.links, links])
 
     def align(self, texts: list[str | None]):
         """n_a, n_b, groups texts, links of all texts in a row, and their ends in it."""
-        if len(self.memo) > MEMO or self.held > HELD_TOKENS:
+        if len(self.memo) > MEMO or len(self.links) > HELD_LINKS:
             self._clear()
         a_ids, b_ids = self.t.encode(texts)
-        a_per = np.concatenate([[0], np.cumsum([len(x) for x in a_ids], dtype=np.int64)])
-        b_per = np.concatenate([[0], np.cumsum([len(x) for x in b_ids], dtype=np.int64)])
-        a = np.fromiter((i for x in a_ids for i in x), np.int64, int(a_per[-1]))
-        b = np.fromiter((i for x in b_ids for i in x), np.int64, int(b_per[-1]))
+        (a, a_per), (b, b_per) = _flat(a_ids), _flat(b_ids)
+        full = np.array([bool(t) for t in texts], bool)
+        want = [b" " + t.encode() for t in texts if t]
+        ends = np.concatenate([[0], np.cumsum([len(t.encode()) + 1 if t else 0 for t in texts], dtype=np.int64)])
+        want = np.frombuffer(b"".join(want), np.uint8)
+        (b, b_per) = _only(b, b_per, full)
+        full &= self.t.gives_back(0, a, a_per, want, ends) & self.t.gives_back(1, b, b_per, want, ends)
+        (a, a_per), (b, b_per) = _only(a, a_per, full), _only(b, b_per, full)
         if not len(a):
             return np.diff(a_per), np.diff(b_per), [""] * len(texts), np.zeros(0, np.int64), a_per
         a_to, b_to = self.windows(a, b, a_per, b_per)
-        a_pack, b_pack = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
-        a_at, b_at = [0, *(4 * a_to).tolist()], [0, *(4 * b_to).tolist()]
-        own = []
-        memo, said, links = self.memo, self.texts, self.links
-        for k, l, m, n in zip(a_at, a_at[1:], b_at, b_at[1:]):
-            key = a_pack[k:l], b_pack[m:n]
+        kind = "<u2" if max(map(len, self.t.tokens)) < 1 << 16 else "<u4"
+        size = int(kind[2])
+        a_pack, b_pack = a.astype(kind).tobytes(), b.astype(kind).tobytes()
+        a_at, b_at = [0, *(size * a_to).tolist()], [0, *(size * b_to).tolist()]
+        own, new, n = [], [], len(self.texts)
+        memo = self.memo
+        for w, (k, l, p, q) in enumerate(zip(a_at, a_at[1:], b_at, b_at[1:])):
+            key = a_pack[k:l], b_pack[p:q]
             at = memo.get(key)
             if at is None:
-                text, pairs = align_window(a[k >> 2:l >> 2].tolist(), b[m >> 2:n >> 2].tolist(), *self.lengths)
-                at = len(said)
-                said.append(text)
-                links.append(pairs)
-                self.held += (l - k + n - m) >> 2
-                if (l - k + n - m) >> 2 <= MEMO_TOKENS:
+                at = n + len(new)
+                new.append(w)
+                if l - k + q - p <= size * MEMO_TOKENS:
                     memo[key] = at
             own.append(at)
-        ends = np.searchsorted(a_to, a_per, side="right")  # windows before each document's end
-        cuts = ends.tolist()
-        groups = [";".join([said[x] for x in own[s:e]]) for s, e in zip(cuts, cuts[1:])]
-        sizes = np.fromiter((len(links[x]) for x in own), np.int64, len(own))
-        flat = np.fromiter((p for x in own for p in links[x]), np.int64, int(sizes.sum()))
-        per = np.concatenate([[0], np.cumsum(sizes)])[ends]
-        return np.diff(a_per), np.diff(b_per), groups, flat, per
+        if new:
+            a_from, b_from = np.concatenate([[0], a_to[:-1]]), np.concatenate([[0], b_to[:-1]])
+            new = np.array(new)
+            self._learn(a, b, a_from[new], (a_to - a_from)[new], b_from[new], (b_to - b_from)[new])
+        cuts = np.searchsorted(a_to, a_per, side="right")  # windows before each document's end
+        said, ends = self.texts, cuts.tolist()
+        groups = ["".join(map(said.__getitem__, own[s:e]))[:-1] for s, e in zip(ends, ends[1:])]
+        own = np.array(own)
+        sizes = self.link_at[own + 1] - self.link_at[own]
+        links = self.links[_ranges(self.link_at[own], sizes)]
+        return np.diff(a_per), np.diff(b_per), groups, links, np.concatenate([[0], np.cumsum(sizes)])[cuts]
 
 
 _ALIGNERS: dict[tuple[int, int], Aligner] = {}
