@@ -35,14 +35,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor costs no recomputation of what was written.
     """
     path = scratch_dir(df.sparkSession)
     schema = df.schema
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 

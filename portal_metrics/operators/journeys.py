@@ -3,11 +3,14 @@
 The fact table has only a day key, so journeys need an event table
 (user, ts, page).  Sessions split on inactivity > ``gap_minutes``.
 
-Skew: one user may own a large share of all events, so no window is
-ever partitioned by user alone.  Events are windowed per (user, time
-bucket); what crosses a bucket edge is carried by small per-bucket
-summaries (last timestamp, session starts, first L-1 events) that are
-windowed per user -- one row per bucket, not per event:
+Skew: one user may own a large share of all events, even of one hour, so
+no window is ever partitioned by user, or by user and hour, alone.  Events
+are windowed per (user, time bucket); a bucket is an hour, or a slice of
+an hour in which the user has more than ``hot_rows`` events (slices end
+at approximate quantiles of its times, so they hold about equally many).
+What crosses a bucket edge is carried by small per-bucket summaries
+(first and last timestamp, count, session starts, first L-1 events) that
+are windowed per user -- one row per bucket, not per event:
 
 1. within a bucket: ``lag`` of the timestamp (in-bucket gaps), row number;
 2. per bucket (one row): first/last timestamp and in-bucket starts; a
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _B = "_bucket"
+#: Events of a user's hour that stay one bucket; slices of a larger one.
+HOT_ROWS, SLICES = 100_000, 256
 
 
 def _epoch_seconds(df: DataFrame, ts: str):
@@ -32,8 +37,21 @@ def _epoch_seconds(df: DataFrame, ts: str):
     return F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
 
 
+def _bucketed(e: DataFrame, user: str, bucket_seconds: int, hot_rows: int) -> DataFrame:
+    """``e`` with its bucket: (hour, slice).  Events of one user at one microsecond are never parted."""
+    hour = F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000))
+    e = e.withColumn("_hour", hour)
+    hot = e.groupBy(user, "_hour").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(user, "_hour")
+    cuts = (e.select(user, "_hour", "_t").join(hot, [user, "_hour"], "left_semi").groupBy(user, "_hour")
+            .agg(F.percentile_approx("_t", [i / SLICES for i in range(1, SLICES)], 10_000).alias("_cuts")))
+    e = e.join(cuts, [user, "_hour"], "left")
+    part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col("_t"))))
+    return e.withColumn(_B, F.struct(F.col("_hour").alias("hour"), part.alias("slice"))).drop("_hour", "_cuts")
+
+
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_minutes: int = 30,
-               bucket_seconds: int = 3600, tiebreak: str | None = "event_id") -> DataFrame:
+               bucket_seconds: int = 3600, tiebreak: str | None = "event_id",
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``session_no`` (1, 2, ... per user), ``session_start`` and the
     helper columns ``_t`` (epoch micros), ``_rn``/``_cnt`` (row and size in
     the bucket) and ``_bucket``.
@@ -44,8 +62,7 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_min
     bucket's first event starts a session and the bucket's session offset.
     A single join brings that back to the events."""
     gap = int(gap_minutes) * 60 * 1_000_000
-    e = events.withColumn("_t", _epoch_seconds(events, ts))
-    e = e.withColumn(_B, F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)))
+    e = _bucketed(events.withColumn("_t", _epoch_seconds(events, ts)), user, bucket_seconds, hot_rows)
     order = [F.col("_t")] + ([F.col(tiebreak)] if tiebreak else [])
     wb = Window.partitionBy(user, _B).orderBy(*order)
     e = (e.withColumn("_rn", F.row_number().over(wb))

@@ -144,3 +144,23 @@ def validate(model, day_range: tuple | None = None) -> QualityReport:
                          fact_duplicate_groups=s["fact_duplicate_keys"], fact_unique_keys=s["fact_unique_keys"],
                          fact_rows=s["fact_rows"], orphaned_keys=s["orphaned_keys"],
                          orphaned_rows=s["orphaned_rows"], unmatched_visitors=un)
+
+
+def validate_store(store, day_range: tuple | None = None) -> QualityReport:
+    """VAL-6 for a store, by month: keys are counted only in months that have no counts of their present rows
+    (``StarStore.check_months``), the rest is summed, so the duplicate verdict, rows and unique keys are those
+    of the whole fact.  Duplicates are listed from the months that have some.  Orphan and unmatched counts are those of ``day_range``
+    (the whole fact without one)."""
+    counts = store.check_months()
+    model = store.model()
+    pages = key_stats(model.page_inventory, PAGE_KEY).first()
+    pd_ = [tuple(r) for r in duplicate_keys(model.page_inventory, PAGE_KEY, 10).collect()] if pages["duplicate_key_groups"] else []
+    doubled = store.months([m for m, c in counts.items() if c["duplicates"]])
+    fd = [tuple(r) for r in duplicate_keys(doubled, FACT_KEY, 10).collect()]
+    fact = day_range_fact(model, *(day_range or (None, None)))
+    orph = orphans(fact, model.page_inventory, "marketingpageid").first()
+    un = unmatched_visitors(fact, model.employee_contact).first()["unmatched_visitors"] if model.employee_contact is not None else None
+    total = {k: sum(c[k] for c in counts.values()) for k in ("rows", "keys", "duplicates")}
+    return QualityReport(valid=not total["duplicates"] and not pages["duplicate_key_groups"], page_duplicates=pd_, fact_duplicates=fd,
+                         fact_duplicate_groups=total["duplicates"], fact_unique_keys=total["keys"], fact_rows=total["rows"],
+                         orphaned_keys=orph["orphaned_keys"], orphaned_rows=orph["orphaned_rows"], unmatched_visitors=un)

@@ -2,31 +2,37 @@
 
 Layout under ``root``::
 
-    fact/visit_month=YYYYMM/part-*.parquet    (partitioned by visit month)
-    page_inventory/v=000001/ ...              (versioned, newest complete wins)
+    fact/g=000001/visit_month=YYYYMM/part-*.parquet   (a generation holds the months that one load wrote)
+    page_inventory/v=000001/ ...                      (versioned)
     employee_contact/v=000001/ ...
-    dim_date/
-
-Fact merges rewrite only the visit months the extract touches: the merged
-rows of those months are first written to a staging table in the shared
-checkpoint folder (this cuts the lineage to the table being replaced),
-then copied over with *dynamic* partition overwrite, and months left
-empty are removed.  Not atomic across those steps, but re-running the
-same extract repairs a failed load.  Dimension upserts write a new
-version directory; readers take the newest one with ``_SUCCESS``, so a
-crashed write is never seen.
+    dim_date/v=000001/ ...
+    _commits/000001.json                              (what a reader sees; written last, never changed)
+
+A load writes whole months, or whole dimension versions, into new folders and then one small commit file that names, for each
+month, its generation, for each dimension its version, the batches applied so far, and the key counts of checked months.
+Readers take the newest commit.  A load that fails before its commit leaves nothing that a reader sees, and a commit that
+another writer took first is tried again on the new state, or refused where both wrote the same months.  Folders that
+no recent commit names are removed by ``vacuum``.
 """
 
 from __future__ import annotations
 
+import json
+import threading
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import date_dim
 from ..model import StarModel
 from ..operators.merge import empty_table, upsert
-from ..schemas import EMPLOYEE_SCHEMA, FACT_PARTITION, FACT_SCHEMA, PAGE_SCHEMA
-from ..session import scratch_dir
+from ..schemas import EMPLOYEE_SCHEMA, FACT_KEY, FACT_PARTITION, FACT_SCHEMA, PAGE_SCHEMA
+
+#: Folder name of rows without a month, and their key in a commit.
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+_EMPTY = {"fact": {}, "versions": {}, "applied": {}, "checked": {}}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,11 +41,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark, path) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def _delete(spark, path) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
@@ -79,40 +80,85 @@ def write_fact(df: DataFrame, path: str, k: int | None = None) -> None:
     laid_out.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
 
 
+class Conflict(RuntimeError):
+    """Another load committed the same months first."""
+
+
 class StarStore:
     """The analytic tables kept between loads (SNK-2)."""
 
+    _lock = threading.RLock()
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # ------------------------------------------------------------ paths
+    # ------------------------------------------------------------ commits
     @property
     def fact_path(self) -> str:
         return f"{self.root}/fact"
 
-    def _versions(self, name: str) -> list[int]:
-        out = []
-        for d in _list_dirs(self.spark, f"{self.root}/{name}"):
-            if d.startswith("v=") and _exists(self.spark, f"{self.root}/{name}/{d}/_SUCCESS"):
-                out.append(int(d[2:]))
-        return sorted(out)
+    def _commit_numbers(self) -> list[int]:
+        fs, p = _fs(self.spark, f"{self.root}/_commits")
+        names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def _current_path(self, name: str) -> str | None:
-        v = self._versions(name)
-        return f"{self.root}/{name}/v={v[-1]:06d}" if v else None
+    def _read_commit(self, number: int) -> dict:
+        fs, p = _fs(self.spark, f"{self.root}/_commits/{number:06d}.json")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def state(self) -> dict:
+        """The newest commit: {"fact": {month: generation}, "versions": {table: version}, "applied": {source: batch},
+        "checked": {month: key counts}}."""
+        n = self._commit_numbers()
+        return self._read_commit(n[-1]) if n else json.loads(json.dumps(_EMPTY))
+
+    def _publish(self, number: int, state: dict) -> bool:
+        """Make ``state`` commit ``number``; False if that number is taken."""
+        fs, final = _fs(self.spark, f"{self.root}/_commits/{number:06d}.json")
+        _, temp = _fs(self.spark, f"{self.root}/_commits/_{number:06d}-{uuid.uuid4().hex}")
+        out = fs.create(temp, False)
+        out.write(json.dumps(state, sort_keys=True).encode())
+        out.close()
+        if not fs.exists(final) and fs.rename(temp, final):
+            return True
+        fs.delete(temp, False)
+        return False
+
+    def _commit(self, change) -> None:
+        """Publish the newest state as ``change`` leaves it."""
+        with self._lock:
+            while True:
+                n = self._commit_numbers()
+                state = self.state()
+                change(state)
+                if self._publish((n[-1] if n else 0) + 1, state):
+                    return
 
     # ------------------------------------------------------------ reads
-    def fact(self) -> DataFrame:
-        if not _exists(self.spark, self.fact_path):
+    def _months(self, months: dict[str, int]) -> DataFrame:
+        """The fact rows of {month: generation}."""
+        if not months:
             return with_visit_month(empty_table(self.spark, FACT_SCHEMA))
-        return self.spark.read.parquet(self.fact_path)
+        paths = [f"{self.fact_path}/g={g:06d}/{FACT_PARTITION}={m}" for m, g in sorted(months.items())]
+        schema = T.StructType([*FACT_SCHEMA.fields, T.StructField(FACT_PARTITION, T.LongType()), T.StructField("g", T.LongType())])
+        return self.spark.read.schema(schema).option("basePath", self.fact_path).parquet(*paths).drop("g")
+
+    def fact(self) -> DataFrame:
+        return self._months(self.state()["fact"])
+
+    def months(self, months: list[str]) -> DataFrame:
+        """The fact rows of some months, by their keys in a commit."""
+        fact = self.state()["fact"]
+        return self._months({m: fact[m] for m in months})
 
     def dimension(self, name: str, schema) -> DataFrame | None:
-        p = self._current_path(name)
-        if p is None:
-            return None
-        return self.spark.read.parquet(p)
+        v = self.state()["versions"].get(name)
+        return self.spark.read.parquet(f"{self.root}/{name}/v={v:06d}") if v else None
 
     def pages(self) -> DataFrame:
         p = self.dimension("page_inventory", PAGE_SCHEMA)
@@ -121,65 +167,134 @@ class StarStore:
     def employees(self) -> DataFrame | None:
         return self.dimension("employee_contact", EMPLOYEE_SCHEMA)
 
-    def model(self, start=None, end=None) -> StarModel:
-        dd = f"{self.root}/dim_date"
-        dates = self.spark.read.parquet(dd) if _exists(self.spark, dd) else date_dim(self.spark)
-        return StarModel(self.fact(), self.pages(), dates, self.employees())
+    def model(self) -> StarModel:
+        dates = self.dimension("dim_date", None)
+        return StarModel(self.fact(), self.pages(), dates if dates is not None else date_dim(self.spark), self.employees())
 
     # ------------------------------------------------------------ writes
-    def write_dimension(self, name: str, df: DataFrame) -> str:
-        v = self._versions(name)
-        path = f"{self.root}/{name}/v={(v[-1] + 1 if v else 1):06d}"
+    def _next_folder(self, name: str, letter: str) -> int:
+        """A number that no folder has, left-overs of failed loads included."""
+        return max([int(d[2:]) for d in _list_dirs(self.spark, f"{self.root}/{name}") if d.startswith(f"{letter}=")], default=0) + 1
+
+    def _write_months(self, rows: DataFrame) -> tuple[int, list[str]]:
+        """A new generation with these rows: its number and months."""
+        with self._lock:
+            g = self._next_folder("fact", "g")
+            fs, p = _fs(self.spark, f"{self.fact_path}/g={g:06d}")
+            fs.mkdirs(p)
+        write_fact(rows, f"{self.fact_path}/g={g:06d}")
+        prefix = f"{FACT_PARTITION}="
+        return g, [d[len(prefix):] for d in _list_dirs(self.spark, f"{self.fact_path}/g={g:06d}") if d.startswith(prefix)]
+
+    @staticmethod
+    def _apply(state: dict, batch: tuple | None) -> None:
+        if batch is not None:
+            source, number, digest = batch
+            state["applied"][source] = [number, digest]
+
+    def applied(self, source: str, number: int, digest: str) -> bool:
+        """Whether this batch of a source is in the store: its number was committed, with this content or a later one."""
+        last = self.state()["applied"].get(source)
+        return last is not None and (number < last[0] or (number == last[0] and digest == last[1]))
+
+    def write_dimension(self, name: str, df: DataFrame, batch: tuple | None = None) -> str:
+        with self._lock:
+            v = self._next_folder(name, "v")
+            path = f"{self.root}/{name}/v={v:06d}"
+            fs, p = _fs(self.spark, path)
+            fs.mkdirs(p)
         df.write.mode("overwrite").parquet(path)
+
+        def change(state):
+            state["versions"][name] = v
+            self._apply(state, batch)
+
+        self._commit(change)
         return path
 
     def write_calendar(self, dates: DataFrame) -> None:
-        dates.write.mode("overwrite").parquet(f"{self.root}/dim_date")
+        self.write_dimension("dim_date", dates)
 
-    def full_refresh_fact(self, incoming: DataFrame) -> None:
+    def full_refresh_fact(self, incoming: DataFrame, batch: tuple | None = None) -> None:
         """MRG-1 for the fact: the stored table becomes the extract."""
-        write_fact(with_visit_month(incoming), self.fact_path)
-
-    def replace_fact_range(self, incoming: DataFrame, lo: int, hi: int) -> list[int]:
-        """MRG-2 on storage: rewrite visit months lo//100 .. hi//100.
-
-        Returns the months that ended up empty and were removed."""
-        spark = self.spark
-        m_lo, m_hi = lo // 100, hi // 100
-        new = with_visit_month(incoming)
-        if not _exists(spark, self.fact_path):
-            write_fact(new, self.fact_path)
-            return []
-        cur = spark.read.parquet(self.fact_path)
-        # NULL-day rows live in the default partition; they are kept and the
-        # extract's NULL-day rows are added to them (never deleted).
-        touched = cur.where(F.col(FACT_PARTITION).between(m_lo, m_hi) | F.col(FACT_PARTITION).isNull())
-        keep = touched.where(F.col("visitdatekey").isNull() | ~F.col("visitdatekey").between(lo, hi))
-        merged = keep.unionByName(new.select(*keep.columns))
-        stage = scratch_dir(spark, "fact-merge")
-        try:
-            write_fact(merged, stage)
-            (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(FACT_PARTITION).parquet(self.fact_path))
-            # months in range with no row left: dynamic overwrite never empties them
-            present = {int(d.split("=")[1]) for d in _list_dirs(spark, stage) if d.startswith(FACT_PARTITION + "=")
-                       and d.split("=")[1].isdigit()}
-        finally:
-            _delete(spark, stage)
-        removed = []
-        for d in _list_dirs(spark, self.fact_path):
-            if d.startswith(FACT_PARTITION + "=") and d.split("=")[1].isdigit():
-                m = int(d.split("=")[1])
-                if m_lo <= m <= m_hi and m not in present:
-                    _delete(spark, f"{self.fact_path}/{d}")
-                    removed.append(m)
-        return removed
-
-    def upsert_dimension(self, name: str, incoming: DataFrame, key: str, schema) -> str:
+        g, months = self._write_months(with_visit_month(incoming))
+
+        def change(state):
+            state["fact"], state["checked"] = dict.fromkeys(months, g), {}
+            self._apply(state, batch)
+
+        self._commit(change)
+
+    def replace_fact_range(self, incoming: DataFrame, lo: int, hi: int, batch: tuple | None = None) -> list[int]:
+        """MRG-2 on storage: a new generation of the visit months lo//100 .. hi//100; ``batch`` (source, number,
+        digest) is recorded with it.
+
+        Rows without a day are kept and the extract's are added to them, as in the lazy form: a batch that is
+        merged again adds them again unless it is known by its record.  Returns the months that ended up empty."""
+        old = self.state()["fact"]
+        touched = {m: g for m, g in old.items() if m == NO_MONTH or lo // 100 <= int(m) <= hi // 100}
+        cur = self._months(touched)
+        keep = cur.where(F.col("visitdatekey").isNull() | ~F.col("visitdatekey").between(lo, hi))
+        g, months = self._write_months(keep.unionByName(with_visit_month(incoming).select(*keep.columns)))
+
+        def change(state):
+            for m in {*touched, *months}:
+                if state["fact"].get(m) != old.get(m):
+                    raise Conflict(f"month {m} was committed by another load")
+                state["fact"].pop(m, None)
+                state["checked"].pop(m, None)
+            state["fact"].update(dict.fromkeys(months, g))
+            self._apply(state, batch)
+
+        self._commit(change)
+        return sorted(int(m) for m in touched if m not in months and m != NO_MONTH)
+
+    def upsert_dimension(self, name: str, incoming: DataFrame, key: str, schema, batch: tuple | None = None) -> str:
         """MRG-3 / MRG-4 on storage: a new version = upsert(current, incoming)."""
         cur = self.dimension(name, schema)
         cur = cur if cur is not None else empty_table(self.spark, schema)
-        return self.write_dimension(name, upsert(cur, incoming, key))
+        return self.write_dimension(name, upsert(cur, incoming, key), batch)
+
+    # ------------------------------------------------------------ upkeep
+    def check_months(self) -> dict[str, dict]:
+        """VAL-2..4 by month: {month: {"rows", "keys", "duplicates"}} of every month.  The fact key holds the day, so equal keys
+        share a month; only months without counts of their present generation are read, and their counts are committed."""
+        state = self.state()
+        due = {m: g for m, g in state["fact"].items() if m not in state["checked"]}
+        if due:
+            per_key = self._months(due).groupBy(F.col(FACT_PARTITION).cast("string").alias("month"), *FACT_KEY).agg(F.count("*").alias("n"))
+            counts = per_key.groupBy("month").agg(F.sum("n").alias("rows"), F.count("*").alias("keys"), F.count_if(F.col("n") > 1).alias("duplicates"))
+            # a row a month
+            found = {r["month"] or NO_MONTH: {"rows": r["rows"], "keys": r["keys"], "duplicates": r["duplicates"]} for r in counts.collect()}
+
+            def change(state):
+                state["checked"].update({m: c for m, c in found.items() if state["fact"].get(m) == due[m]})
+
+            self._commit(change)
+        checked = self.state()["checked"]
+        return {m: checked[m] for m in state["fact"] if m in checked}
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove what none of the last ``keep`` commits names; the removed folders and commits.  Not to be run beside a load."""
+        numbers = self._commit_numbers()
+        states = [self._read_commit(n) for n in numbers[-keep:]]
+        months = {(int(g), m) for s in states for m, g in s["fact"].items()}
+        generations = {g for g, _ in months}
+        gone = []
+        for d in _list_dirs(self.spark, self.fact_path):
+            g = int(d[2:])
+            if g not in generations:
+                gone.append(f"{self.fact_path}/{d}")
+            else:
+                gone += [f"{self.fact_path}/{d}/{m}" for m in _list_dirs(self.spark, f"{self.fact_path}/{d}")
+                         if m.startswith(FACT_PARTITION) and (g, m.split("=", 1)[1]) not in months]
+        for name in ("page_inventory", "employee_contact", "dim_date"):
+            named = {s["versions"].get(name) for s in states}
+            gone += [f"{self.root}/{name}/{d}" for d in _list_dirs(self.spark, f"{self.root}/{name}") if int(d[2:]) not in named]
+        gone += [f"{self.root}/_commits/{n:06d}.json" for n in numbers[:-keep]]
+        for path in gone:
+            _delete(self.spark, path)
+        return gone
 
 
 def export_parquet(model: StarModel, out_dir: str) -> list[str]:

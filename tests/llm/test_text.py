@@ -126,6 +126,52 @@ def test_pii_bootstrap_goes_on_until_nothing_is_new(spark, small):
     assert ids == {f"gen{g}-{i}xyz" for g in range(4) for i in range(3)}
 
 
+@pytest.mark.parametrize("first,growth", [(2, 4), (1, 2), (4096, 4)])
+def test_pii_samples_lose_no_pattern(spark, monkeypatch, first, growth):
+    """The same values are found whatever the samples, and a pattern whose fillers are mostly unknown is dropped on the way."""
+    monkeypatch.setattr(pii, "FIRST", first)
+    monkeypatch.setattr(pii, "GROWTH", growth)
+    rows = [f"write to u{i}@mail.example.com now" for i in range(30)] + ["write to agent-77 now", "old agent-77 left"]
+    rows += [f"out of m{i}@mail.example.com" for i in range(5)] + [f"out of the{i % 9} way" for i in range(200)] + ["out of gate-1234 now"]
+    got = pii.find_pii(frame(spark, list(enumerate(rows)))).collect()
+    assert {rows[r.doc_id][s.start:s.end] for r in got for s in r.spans if s.kind == "id"} == {"agent-77"}
+
+
+def test_pii_slots_of_samples_are_lower_bounds(spark):
+    texts = spark.createDataFrame([("a b c " * (i % 5 + 1),) for i in range(60)], "text string")
+    due = spark.createDataFrame([("a", "b", 170), ("b", "c", 10), ("x", "y", 3)], "w1 string, w2 string, most long")
+    got = {(r.w1, r.w2): r.slots for r in pii._counted([texts.limit(10), texts], due, 0.8, 1 << 20).collect()}
+    assert set(got) == {("a", "b"), ("x", "y")} and got["x", "y"] == 0
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 50), max_size=40), min_size=1, max_size=8))
+def test_pii_sums_before(spark, rows):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v array<long>")
+    got = df.select("i", pii._sum_before(F.col("v")).alias("s"), pii._before(F.col("v"), lambda a, x: F.greatest(a, x), F.lit(0).cast("long")).alias("m")).collect()
+    for r in got:
+        v = rows[r.i]
+        assert r.s == [sum(v[:k]) for k in range(len(v))] and r.m == [max([0, *v[:k]]) for k in range(len(v))]
+
+
+def test_pii_in_a_long_text(spark):
+    """Many spans and tokens in one text of over 100,000 words: positions, marks and length."""
+    words = [("10.0.0.%d" % (i % 256)) if i % 3 == 0 else (f"id{i}x77" if i % 3 == 1 else "é👍") for i in range(102_000)]
+    text = " ".join(words)
+    r, = pii.masked(frame(spark, [(1, text)])).collect()
+    assert r.text == " ".join("[IP]" if i % 3 == 0 else w for i, w in enumerate(words)) and r.n_chars == len(r.text)
+    at, = pii.base_spans(frame(spark, [(1, text)]), "doc_id", "text").select("base", "tokens").collect()
+    assert all(text[s.start:s.end] == s.value for s in [*at.base[::997], *at.tokens[::997]]) and len(at.base) == len(at.tokens) == 34_000
+
+
+def test_pii_keeps_columns_named_like_its_own(spark):
+    df = spark.createDataFrame([(1, "a@b.c", "r", "t", "w", "k", "g")], "doc_id long, text string, _row string, _text string, _words string, _k0 string, base string")
+    r, = pii.masked(df, length_col=None).collect()
+    assert r.text == "[EMAIL]" and (r._row, r._text, r._words, r._k0, r.base) == ("r", "t", "w", "k", "g")
+    got, = pii.base_spans(df, "doc_id", "text", keep=("_text", "_words")).select("base").collect()
+    assert [s.value for s in got.base] == ["a@b.c"]
+
+
 def test_pii_plan_is_native(docs):
     plan = pii.find_pii(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

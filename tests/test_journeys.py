@@ -60,3 +60,23 @@ def test_depth_counts(spark):
     d = {r["depth"]: r["sessions"] for r in J.session_depth(sess).collect()}
     b = _brute(rows).groupby(["user_id", "session_no"]).size().value_counts().to_dict()
     assert d == b
+
+
+def test_a_users_hot_hour_is_sliced(spark):
+    """A third of all events are one user's in one hour, many at one time: same sessions, spread buckets."""
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, rnd.randrange(1, 9), t0 + dt.timedelta(minutes=rnd.randrange(0, 3000)), str(rnd.randrange(5))) for i in range(600)]
+    rows += [(1000 + i, 0, t0 + dt.timedelta(milliseconds=rnd.randrange(0, 3_600_000)), str(rnd.randrange(5))) for i in range(280)]
+    rows += [(2000 + i, 0, t0 + dt.timedelta(minutes=7), str(rnd.randrange(5))) for i in range(20)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, page string").repartition(4)
+    for gap in (30, 1):
+        sess = J.sessionize(ev, gap_minutes=gap, hot_rows=50)
+        b = _brute(rows, gap)
+        assert {r["event_id"]: r["session_no"] for r in sess.select("event_id", "session_no").collect()} == dict(zip(b.event_id, b.session_no))
+        largest = sess.where("user_id = 0").groupBy("_bucket").count().agg({"count": "max"}).first()[0]
+        assert largest <= 24 and sess.where("user_id > 0 AND _bucket.slice > 0").count() == 0
+        plain = J.sessionize(ev, gap_minutes=gap, hot_rows=10 ** 9)
+        for length in (2, 4):
+            got, want = (sorted(map(tuple, J.paths(s, length).collect())) for s in (sess, plain))
+            assert got == want
