@@ -90,9 +90,6 @@ _model_query("doc5_class_distribution", R.doc_class_distribution, date_from=DOC_
 from . import measures as MS  # noqa: E402
 
 STRATEGY = Filters(equals={"newscategory": ["Strategy"]})
-# one page as read through one channel, over all days: some divisions and regions never see it
-NARROW_CONTENT = Filters(equals={"marketingpageid": ["1"], "referrerapplicationid": ["Other"]})
-
 _model_query("mea01_07_core_by_contenttype", MS.core_measures, by=["contenttype"])
 _model_query("mea08_09_reach_rate_by_month", MS.reach_rate, by=["year_month"])
 _model_query("mea10_daily_average_uv_by_channel", MS.daily_average_uv, by=["referrerapplicationid"])
@@ -106,12 +103,14 @@ _model_query("mea22_engagement_conversion", MS.engagement_conversion, by=["conte
 _model_query("mea23_24_channel_measures", MS.channel_measures, by=["contenttype"])
 _model_query("mea25_page_ranks", MS.page_ranks)
 _model_query("mea26_27_theme_context", MS.attribute_context, attribute="theme", detail="pagename")
+for _attribute in ("newscategory", "contenttype", "websitename"):
+    _model_query(f"mea26_27_{_attribute}_context", MS.attribute_context, attribute=_attribute, detail="pagename")
 _model_query("mea28_30_performance_vs_avg", MS.performance_vs_avg, by=["pagename"])
 _model_query("mea31_division_reach_for_content", MS.division_reach_for_content, filters=STRATEGY)
-_model_query("mea32_divisions_not_reached", MS.segments_not_reached, filters=NARROW_CONTENT)
+_model_query("mea32_divisions_not_reached", MS.segments_not_reached, by=["marketingpageid"])
 _model_query("mea33_target_region_match", MS.target_match, by=["targetregion"])
 _model_query("mea34_35_category_measures", MS.category_measures, by=["referrerapplicationid"])
-_model_query("mea36_38_coverage", MS.coverage, filters=NARROW_CONTENT)
+_model_query("mea36_38_coverage", MS.coverage, by=["marketingpageid"])
 
 # ------------------------------------------------------------- VAL, DIM, FIL
 from ..functions import calendar as CAL  # noqa: E402
@@ -152,6 +151,7 @@ _q("fil20_date_range")(lambda s, d: SR.date_range(_star(s, d).fact))
 from . import dashboards as DS  # noqa: E402
 
 _model_query("dsh01_executive_cards", DS.executive_cards)
+_model_query("dsh01_top_pages", DS.top_pages_with_rate)
 _model_query("dsh02_reach_vs_target", DS.reach_vs_target)
 _model_query("dsh03_monthly_reach_by_region", DS.monthly_reach_by_region)
 _model_query("dsh04_content_cards", DS.content_cards)
@@ -160,7 +160,7 @@ _model_query("dsh06_content_table", DS.content_table)
 _model_query("dsh07_funnel", DS.funnel)
 _model_query("dsh08_channel_mix", DS.channel_mix)
 _model_query("dsh09_channel_table", DS.channel_table)
-_model_query("dsh10_coverage_gauges", DS.coverage_gauges, filters=NARROW_CONTENT)
+_model_query("dsh10_coverage_gauges", DS.coverage_gauges, by=["newscategory", "referrerapplicationid"])
 _model_query("dsh11_gap_matrix", DS.gap_matrix)
 _model_query("dsh12_missing_divisions", DS.missing_divisions)
 _model_query("dsh13_strategic_vs_general", DS.strategic_vs_general)
@@ -180,10 +180,10 @@ _model_query("ask03_growth_by_channel", QS.growth, by=("referrerapplicationid",)
 _model_query("ask03_fastest_growing_sites", QS.fastest_growing, by=("websitename",), metric="views",
              grain="quarter", k=5)
 _model_query("ask04_trend_last6_months", QS.trend, grain="month", n_periods=6, as_of=AS_OF)
-OTHER_CHANNEL = Filters(equals={"referrerapplicationid": ["Other"]})
-_model_query("ask05_zero_engagement_pages", QS.zero_engagement_pages, filters=OTHER_CHANNEL)
-_model_query("ask06_ignored_pages", QS.ignored_pages, filters=OTHER_CHANNEL)
-_model_query("ask07_comments_without_likes", QS.comments_without_likes, filters=OTHER_CHANNEL)
+_model_query("ask05_zero_engagement_pages", QS.zero_engagement_pages, by=["referrerapplicationid"])
+_model_query("ask06_ignored_pages", QS.ignored_pages, by="referrerapplicationid")
+_model_query("ask07_comments_without_likes", QS.comments_without_likes, by=["referrerapplicationid"])
+_model_query("agg21_comments_per_page", QS.comments_per_page)
 _model_query("ask08_top_by_ratio", QS.top_by_ratio, min_views=100, k=20)
 _model_query("ask09_day_of_week_profile", QS.day_of_week_profile)
 _model_query("ask09_weekend_profile", QS.day_of_week_profile, weekend=True)

@@ -56,9 +56,8 @@ def executive_summary(model: StarModel, filters: Filters = NO_FILTERS, top: int
 
 
 def top_pages_with_rate(model: StarModel, filters: Filters = NO_FILTERS, k: int = 10) -> DataFrame:
-    w = model.wide(filters, page="left")
-    g = w.groupBy("marketingpageid", "pagename").agg(
-        M.uv().alias("uv"), M.engagement_rate_zero().alias("engagement_rate"))
+    """DSH-1: the pages most visitors saw, with their engagement rate."""
+    g = R.page_grouped(model, filters, [F.col("marketingpageid"), F.col("pagename")], [("uv", "uv"), ("engagement_rate", "rate0")])
     return top_k(g, [F.desc("uv")], ["marketingpageid", "pagename"], k)
 
 
@@ -136,7 +135,7 @@ def funnel(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """DSH-7: Homepage visitors > Article viewers > Engaged (independent
     stages, as specified) with % of the first stage and drop-off."""
     ct, v = F.col("contenttype"), F.col("viewingcontactid")
-    if MS._page_partials_apply(model, (), filters):
+    if MS._page_partials_apply((), filters):
         w = R.page_partials(model, filters)            # (page, visitor) rows
         engaged = (F.col("likes") > 0) | (F.coalesce(F.col("comments"), F.lit(0)) > 0)
     else:
@@ -180,19 +179,15 @@ def band(col) -> F.Column:
     return (F.when(col > hi[0], F.lit(hi[1])).when(col >= mid[0], F.lit(mid[1])).otherwise(F.lit("red")))
 
 
-def coverage_gauges(model: StarModel, filters: Filters = NO_FILTERS, employees: int | None = None) -> DataFrame:
-    """DSH-10: division / region coverage and penetration with colour bands."""
-    c = MS.coverage(model, filters, employees)
+def coverage_gauges(model: StarModel, filters: Filters = NO_FILTERS, employees: int | None = None, by=()) -> DataFrame:
+    """DSH-10: division / region coverage and penetration with colour bands,
+    of all content or of each group of it."""
+    c = MS.coverage(model, filters, employees, by)
     return (c.withColumn("division_band", band(F.col("division_coverage_pct")))
              .withColumn("region_band", band(F.col("region_coverage_pct")))
              .withColumn("penetration_band", band(F.col("message_penetration_pct"))))
 
 
-def _all_divisions(model: StarModel, segment: str):
-    return (model.employee_contact.where(F.col(segment).isNotNull())
-            .select(F.array_sort(F.collect_set(segment))).scalar())
-
-
 def gap_matrix(model: StarModel, filters: Filters = NO_FILTERS, categories=STRATEGIC_CATEGORIES,
                segment: str = "employeebusinessdivision", divisions=None) -> DataFrame:
     """DSH-11: strategic page x division UV, 0-filled, with the number of
@@ -224,7 +219,7 @@ def missing_divisions(model: StarModel, filters: Filters = NO_FILTERS, categorie
     v = MS._visitors(model, f, keys=("marketingpageid", "pagename"), how="inner", page="inner")
     reached = v.where(F.col(segment).isNotNull()).groupBy("marketingpageid", "pagename").agg(
         F.array_sort(F.collect_set(segment)).alias("divisions_reached"))
-    allv = _all_divisions(model, segment)
+    allv = MS.all_segments(model, segment)
     missing = F.array_except(allv, F.col("divisions_reached"))
     return (reached.where(F.size(missing) > 0)
             .select("marketingpageid", "pagename",
@@ -236,20 +231,14 @@ def missing_divisions(model: StarModel, filters: Filters = NO_FILTERS, categorie
 def strategic_vs_general(model: StarModel, filters: Filters = NO_FILTERS,
                          categories=STRATEGIC_CATEGORIES) -> DataFrame:
     """DSH-13: engagement rate of strategic content vs all content."""
-    w = model.wide(filters, page="left")
-    on = F.coalesce(F.col("newscategory").isin(list(categories)), F.lit(False))
-    lk = F.count_if(on & M.is_like())
-    cm = F.coalesce(F.sum(F.when(on, F.col("comments"))), F.lit(0).cast("long"))
-    vw = F.sum(F.when(on, F.col("views")))
-    return w.agg(M.pct_zero(lk + cm, vw).alias("strategic_engagement_rate"),
-                 M.engagement_rate_zero().alias("all_engagement_rate"))
+    on = F.col("newscategory").isin(list(categories))
+    return MS._conditional_uv_rate(model, (), filters, {"strategic": on, "all": F.lit(True)}, need=("newscategory",)).select(
+        "strategic_engagement_rate", "all_engagement_rate")
 
 
 def theme_engagement_split(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
     """DSH-14: likes vs comments per theme."""
-    w = model.wide(filters, page="left")
-    return w.groupBy(M.label("theme").alias("theme")).agg(
-        M.likes_count().alias("likes"), F.coalesce(M.comments(), F.lit(0).cast("long")).alias("comments"))
+    return R.page_grouped(model, filters, [M.label("theme").alias("theme")], [("likes", "likes0"), ("comments", "comments0")])
 
 
 def theme_topic_tree(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
@@ -264,8 +253,8 @@ def theme_topic_tree(model: StarModel, filters: Filters = NO_FILTERS) -> DataFra
 def uv_by_attribute(model: StarModel, attribute: str = "newscategory",
                     filters: Filters = NO_FILTERS) -> DataFrame:
     """DSH-16: UV, views and engagement rate by a page attribute."""
-    return MS._agg(model, [attribute], filters, [
-        M.uv().alias("uv"), M.views().alias("total_views"), M.engagement_rate_zero().alias("engagement_rate")])
+    return R.page_grouped(model, filters, [M.label(attribute).alias(attribute)], [
+        ("uv", "uv"), ("total_views", "views"), ("engagement_rate", "rate0")])
 
 
 def low_reach_strategic_pages(model: StarModel, filters: Filters = NO_FILTERS,

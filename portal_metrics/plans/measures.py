@@ -185,12 +185,9 @@ def reach_trend_6m(model: StarModel, filters: Filters = NO_FILTERS, months: int
 
 
 # -------------------------------------------------------------- MEA-15..24
-def _page_partials_apply(model, by, filters) -> bool:
-    """Take the (page, visitor) partials plan: inventory past the broadcast
-    check, and no employee column involved."""
-    from ..model import fits_broadcast
-    return (not (set(_by(by)) & _EMP_COLS) and not filters.uses_employee()
-            and not fits_broadcast(model.page_inventory))
+def _page_partials_apply(by, filters) -> bool:
+    """Whether (page, visitor) rows carry what a measure needs: no employee column is involved."""
+    return not (set(_by(by)) & _EMP_COLS) and not filters.uses_employee()
 
 
 def _per_visitor(model, by, filters, flags: dict[str, Column], need=("contenttype",),
@@ -198,10 +195,9 @@ def _per_visitor(model, by, filters, flags: dict[str, Column], need=("contenttyp
     """Per (by, visitor): max of each boolean flag and distinct pages.
 
     ``partial_flags`` are the same flags over ``page_partials`` rows (sums
-    per page and visitor); they are used when the page inventory is past
-    the broadcast check."""
+    per page and visitor)."""
     keys = _keys(by)
-    if partial_flags is not None and _page_partials_apply(model, by, filters):
+    if partial_flags is not None and _page_partials_apply(by, filters):
         from .reports import page_partials
         names = _by(by)
         j = page_partials(model, filters, keys=[b for b in names if b not in _PAGE_COLS],
@@ -314,16 +310,18 @@ def _conditional_uv_rate(model: StarModel, by, filters: Filters, conds: dict, ne
     employees join one row per visitor."""
     names = _by(by)
     z = F.lit(0).cast("long")
-    if not (set(names) & _EMP_COLS) and not filters.uses_employee():
+    if _page_partials_apply(names, filters):
+        from .reports import page_partials
+        w = page_partials(model, filters, keys=[k for k in dict.fromkeys([*names, *need]) if k not in _PAGE_COLS],
+                          date="inner" if set(names) & _DATE_COLS else None)
         cols = []
         for n, cond in conds.items():
             cond = F.coalesce(cond, F.lit(False))
-            lk = F.count_if(cond & M.is_like())
-            cm = F.coalesce(F.sum(F.when(cond, F.col("comments"))), z)
-            vw = F.sum(F.when(cond, F.col("views")))
+            lk, cm = (F.coalesce(F.sum(F.when(cond, F.col(c))), z) for c in ("likes", "comments"))
             cols += [F.count_distinct(F.when(cond, F.col("viewingcontactid"))).alias(f"{n}_uv"),
-                     M.pct_zero(lk + cm, vw).alias(f"{n}_engagement_rate")]
-        return _agg(model, by, filters, cols, need=need)
+                     M.pct_zero(lk + cm, F.sum(F.when(cond, F.col("views")))).alias(f"{n}_engagement_rate")]
+        keys = _keys(names)
+        return w.groupBy(*keys).agg(*cols) if keys else w.agg(*cols)
     from .reports import _split_employee_filters
     rest, emp_pred = _split_employee_filters(filters)
     raw = [b for b in names if b not in _EMP_COLS]
@@ -354,7 +352,7 @@ def channel_measures(model: StarModel, by=(), filters: Filters = NO_FILTERS,
                      channels=("Email", "Intranet")) -> DataFrame:
     """MEA-23 Email UV / Intranet UV, MEA-24 Email / Intranet Engagement Rate."""
     ref = F.col("referrerapplicationid")
-    return _conditional_uv_rate(model, by, filters, {ch.lower(): ref == ch for ch in channels})
+    return _conditional_uv_rate(model, by, filters, {ch.lower(): ref == ch for ch in channels}, need=("referrerapplicationid",))
 
 
 # -------------------------------------------------------------- MEA-25..30
@@ -371,41 +369,62 @@ def page_ranks(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
                                                   "engagements": "rank_by_engagement"})
 
 
-def _uv_rate(model: StarModel, by, filters: Filters, page: str | None = "left") -> DataFrame:
-    """UV and Engagement Rate (DIVIDE(..,0)) grouped by ``by``; with
-    employee attributes involved, from per-visitor partial sums."""
-    names = _by(by)
-    keys = _keys(names)
+def _uv_and_rate() -> list[Column]:
+    """UV and Engagement Rate (DIVIDE(..,0)) of rows with partial sums."""
+    z = F.lit(0).cast("long")
+    return [F.count_distinct("viewingcontactid").alias("uv"),
+            M.pct_zero(F.coalesce(F.sum("likes"), z) + F.coalesce(F.sum("comments"), z), F.sum("views")).alias("engagement_rate")]
+
+
+def _partials(model: StarModel, names, filters: Filters) -> DataFrame:
+    """Rows with partial sums that carry the columns ``names``: per (page, visitor), or per visitor joined to employees."""
     date = "inner" if set(names) & _DATE_COLS else None
-    if (set(names) & _EMP_COLS) or filters.uses_employee():
-        v = _visitors(model, filters, keys=tuple(b for b in names if b not in _EMP_COLS), page=page, date=date)
-        z = F.lit(0).cast("long")
-        cols = [F.count_distinct("viewingcontactid").alias("uv"),
-                M.pct_zero(F.coalesce(F.sum("likes"), z) + F.coalesce(F.sum("comments"), z),
-                           F.sum("views")).alias("engagement_rate")]
-    else:
-        v = model.wide(filters, page=page, date=date)
-        cols = [M.uv().alias("uv"), M.engagement_rate_zero().alias("engagement_rate")]
-    return v.groupBy(*keys).agg(*cols) if keys else v.agg(*cols)
+    if _page_partials_apply(names, filters):
+        from .reports import page_partials
+        return page_partials(model, filters, keys=[n for n in names if n not in _PAGE_COLS], date=date)
+    return _visitors(model, filters, keys=tuple(b for b in names if b not in _EMP_COLS), date=date)
 
 
 def attribute_context(model: StarModel, attribute: str = "theme", detail: str = "pagename",
                       filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-26 / MEA-27: on each (attribute, detail) row, the UV and the
-    engagement rate of the attribute's whole group (ALLEXCEPT)."""
-    fine = _uv_rate(model, [attribute, detail], filters)
-    coarse = (_uv_rate(model, [attribute], filters).withColumnRenamed("uv", f"{attribute}_uv")
-              .withColumnRenamed("engagement_rate", f"{attribute}_engagement_rate"))
+    engagement rate of the attribute's whole group (ALLEXCEPT).
+
+    Both levels are grouping sets of one pass over the fact; their result,
+    a row per group, is written and read twice."""
+    names = [attribute, detail]
+    rows = _partials(model, names, filters).withColumns({f"_{n}": k for n, k in zip(names, _keys(names))})
+    a, d = (f"_{n}" for n in names)
+    levels = written(rows.groupingSets([[a, d], [a]], a, d).agg(F.grouping_id().alias("_level"), *_uv_and_rate()), "context")
+    fine = levels.where("_level = 0").select(F.col(a).alias(attribute), F.col(d).alias(detail), "uv", "engagement_rate")
+    coarse = levels.where("_level > 0").select(F.col(a).alias(attribute), F.col("uv").alias(f"{attribute}_uv"),
+                                               F.col("engagement_rate").alias(f"{attribute}_engagement_rate"))
     return null_safe_left(fine, coarse, [attribute])
 
 
 def performance_vs_avg(model: StarModel, by=("pagename",), filters: Filters = NO_FILTERS) -> DataFrame:
     """MEA-28 Avg Engagement Rate (over all pages, non-page filters kept),
-    MEA-29 Performance vs Avg, MEA-30 Engagement Variance."""
-    g = _uv_rate(model, by, filters).drop("uv")
+    MEA-29 Performance vs Avg, MEA-30 Engagement Variance.
+
+    By page columns, the fact is read once: reduced to (page, visitor) rows, which are written; the average reads them as they
+    are, the groups with the inventory and its filters."""
     page_free = Filters(date_from=filters.date_from, date_to=filters.date_to,
                         equals=tuple((k, v) for k, v in filters.equals if k not in _PAGE_COLS and k != "marketingpageid"))
-    avg = _uv_rate(model, [], page_free, page=None).select("engagement_rate").scalar()
+    names = _by(by)
+    if set(names) <= _PAGE_COLS and not filters.uses_employee():
+        from .reports import _page_filter_parts
+        per = written(model.wide(page_free, page=None).groupBy("marketingpageid", "viewingcontactid").agg(
+            M.views().alias("views"), M.likes().alias("likes"), M.comments().alias("comments")), "page_visitors")
+        _, page_pred = _page_filter_parts(filters)
+        on_page = [F.col(k).isin(list(v)) for k, v in filters.equals if k == "marketingpageid"]
+        rows = per.join(model.page_inventory, "marketingpageid", "left")
+        for cond in [*on_page, *([page_pred] if page_pred is not None else [])]:
+            rows = rows.where(cond)
+        avg = per.select(_uv_and_rate()[1]).scalar()
+    else:
+        rows = _partials(model, names, filters)
+        avg = _partials(model, (), page_free).select(_uv_and_rate()[1]).scalar()
+    g = rows.groupBy(*_keys(names)).agg(_uv_and_rate()[1])
     return (g.withColumn("avg_engagement_rate", avg)
             .withColumn("performance_vs_avg",
                         F.when(F.col("engagement_rate") > F.col("avg_engagement_rate"), F.lit("Above Average"))
@@ -425,31 +444,44 @@ def division_reach_for_content(model: StarModel, filters: Filters = NO_FILTERS,
         F.count_distinct("viewingcontactid").alias("content_viewers"))
 
 
+def all_segments(model: StarModel, segment: str) -> Column:
+    """All values of an employee attribute, as a sorted array (bounded by the attribute)."""
+    return (model.employee_contact.where(F.col(segment).isNotNull())
+            .select(F.array_sort(F.collect_set(segment))).scalar())
+
+
 def segments_not_reached(model: StarModel, filters: Filters = NO_FILTERS,
-                         segment: str = "employeebusinessdivision") -> DataFrame:
-    """MEA-32 (count) and SET-3 (list): segments with no viewer of the content."""
-    allseg = model.employee_contact.select(segment).where(F.col(segment).isNotNull()).distinct()
-    v = _visitors(model, filters, how="inner")
-    seen = v.select(segment).where(F.col(segment).isNotNull()).distinct()
-    return allseg.join(seen, segment, "left_anti")
+                         segment: str = "employeebusinessdivision", by=()) -> DataFrame:
+    """MEA-32 (count) and SET-3 (list): segments with no viewer of the
+    content; with ``by``, of each group of it (a page, a category, a channel)."""
+    names = _by(by)
+    if not names:
+        allseg = model.employee_contact.select(segment).where(F.col(segment).isNotNull()).distinct()
+        v = _visitors(model, filters, how="inner")
+        seen = v.select(segment).where(F.col(segment).isNotNull()).distinct()
+        return allseg.join(seen, segment, "left_anti")
+    v = _visitors(model, filters, keys=tuple(_keys(names)))
+    seen = v.groupBy(*names).agg(F.collect_set(segment).alias("_seen"))
+    return seen.select(*names, F.explode(F.array_except(all_segments(model, segment), "_seen")).alias(segment))
 
 
 def coverage(model: StarModel, filters: Filters = NO_FILTERS,
-             employees: int | None = None) -> DataFrame:
+             employees: int | None = None, by=()) -> DataFrame:
     """MEA-32 count, MEA-36 Division Coverage %, MEA-37 Region Coverage %,
-    MEA-38 Message Penetration, in one row."""
+    MEA-38 Message Penetration, in one row or per group of content."""
     e = model.employee_contact
+    names = _by(by)
     tot_div = e.select(F.count_distinct("employeebusinessdivision")).scalar()
     tot_reg = e.select(F.count_distinct("employeeregion")).scalar()
-    w = _visitors(model, filters)
-    g = w.agg(
-        F.count_distinct("viewingcontactid").alias("uv"),
-        F.count_distinct("employeebusinessdivision").alias("divisions_reached"),
-        F.count_distinct("employeeregion").alias("regions_reached"))
+    w = _visitors(model, filters, keys=tuple(_keys(names)))
+    cols = [F.count_distinct("viewingcontactid").alias("uv"),
+            F.count_distinct("employeebusinessdivision").alias("divisions_reached"),
+            F.count_distinct("employeeregion").alias("regions_reached")]
+    g = w.groupBy(*names).agg(*cols) if names else w.agg(*cols)
     g = (g.withColumn("total_divisions", tot_div).withColumn("total_regions", tot_reg)
          .withColumn("total_employees", total_employees(model, employees)))
     return g.select(
-        "uv", "divisions_reached", "total_divisions",
+        *names, "uv", "divisions_reached", "total_divisions",
         (F.col("total_divisions") - F.col("divisions_reached")).alias("divisions_not_reached"),
         M.pct_zero(F.col("divisions_reached"), F.col("total_divisions")).alias("division_coverage_pct"),
         "regions_reached", "total_regions",

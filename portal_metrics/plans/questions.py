@@ -18,6 +18,7 @@ from ..model import StarModel
 from ..operators.reshape import arg_extremes, share_of_total, top_k
 from ..operators.trends import period_change, period_start
 from . import measures as MS
+from . import reports as R
 
 GRAIN_KEYS = {"day": "date", "week": "year_week", "month": "year_month",
               "quarter": "year_quarter", "year": "year"}
@@ -189,35 +190,41 @@ def peak_period(model: StarModel, grain: str = "day", metric: str = "uv",
 
 
 # ------------------------------------------------------------ ASK-5..9, 11
-def _pages(model, filters):
-    w = model.wide(filters, page="left")
-    return w.groupBy("marketingpageid", M.label("pagename").alias("pagename")).agg(
-        M.views().alias("total_views"), M.uv().alias("uv"), M.likes_count().alias("likes"),
-        F.coalesce(M.comments(), F.lit(0).cast("long")).alias("comments"),
-        M.engagements_zero().alias("engagements"))
+def _pages(model, filters, by=()):
+    """Per page and group of fact columns ``by``."""
+    return R.page_grouped(model, filters, [F.col("marketingpageid"), M.label("pagename").alias("pagename"), *[F.col(b) for b in by]], [
+        ("total_views", "views"), ("uv", "uv"), ("likes", "likes0"), ("comments", "comments0"), ("engagements", "engagements0")], fact_keys=by)
 
 
-def zero_engagement_pages(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
-    """ASK-5: pages viewed but never liked or commented."""
-    return _pages(model, filters).where(F.col("engagements") == 0)
+def zero_engagement_pages(model: StarModel, filters: Filters = NO_FILTERS, by=()) -> DataFrame:
+    """ASK-5: pages viewed but never liked or commented (in a group of ``by``, e.g. through a channel)."""
+    return _pages(model, filters, by).where(F.col("engagements") == 0)
 
 
-def ignored_pages(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
-    """ASK-6: inventory pages with no view in the filtered period.  The fact
-    side is reduced to its distinct page ids before the anti join."""
-    seen = model.wide(filters, page=None).select("marketingpageid").distinct()
+def ignored_pages(model: StarModel, filters: Filters = NO_FILTERS, by: str | None = None) -> DataFrame:
+    """ASK-6: inventory pages with no view in the filtered period; with
+    ``by`` (a fact column of few values, e.g. the channel), the values through
+    which each page had none.  The fact side is reduced to distinct ids before it
+    meets the inventory."""
     inv = model.page_inventory
     if filters.website or filters.page_url or filters.page_name or filters.uses_page():
         inv = filters.replace(date_from=None, date_to=None,
                               equals=tuple((k, v) for k, v in filters.equals
                                            if k in MS._PAGE_COLS)).apply(inv)
-    return inv.join(seen, "marketingpageid", "left_anti").select(
-        "marketingpageid", "pagename", "websitename", "contenttype")
+    cols = ["marketingpageid", "pagename", "websitename", "contenttype"]
+    if by is None:
+        seen = model.wide(filters, page=None).select("marketingpageid").distinct()
+        return inv.join(seen, "marketingpageid", "left_anti").select(*cols)
+    w = model.wide(filters, page=None)
+    seen = w.groupBy("marketingpageid").agg(F.collect_set(by).alias("_seen"))
+    every = w.select(F.array_sort(F.collect_set(by))).scalar()
+    none = F.array_except(every, F.coalesce("_seen", F.array().cast("array<string>")))
+    return inv.join(seen, "marketingpageid", "left").select(*cols, F.explode(none).alias(by))
 
 
-def comments_without_likes(model: StarModel, filters: Filters = NO_FILTERS) -> DataFrame:
-    """ASK-7: pages with comments but no like."""
-    return _pages(model, filters).where((F.col("comments") > 0) & (F.col("likes") == 0))
+def comments_without_likes(model: StarModel, filters: Filters = NO_FILTERS, by=()) -> DataFrame:
+    """ASK-7: pages with comments but no like (in a group of ``by``)."""
+    return _pages(model, filters, by).where((F.col("comments") > 0) & (F.col("likes") == 0))
 
 
 def top_by_ratio(model: StarModel, filters: Filters = NO_FILTERS, min_views: int = 100,
@@ -229,6 +236,12 @@ def top_by_ratio(model: StarModel, filters: Filters = NO_FILTERS, min_views: int
     return top_k(p, [F.desc("like_to_view_pct")], ["marketingpageid"], k)
 
 
+def comments_per_page(model: StarModel, by: str = "contenttype", filters: Filters = NO_FILTERS) -> DataFrame:
+    """AGG-21: comments per article of each group of pages: comments, pages viewed, and their ratio."""
+    g = R.page_grouped(model, filters, [M.label(by).alias(by)], [("comments", "comments0"), ("pages", "pages"), ("total_views", "views")])
+    return g.withColumn("comments_per_page", M.ratio_zero(F.col("comments"), F.col("pages")))
+
+
 def day_of_week_profile(model: StarModel, filters: Filters = NO_FILTERS, weekend: bool = False) -> DataFrame:
     """ASK-9: per ISO weekday (or weekend vs weekday): days, total views,
     UV across those days, and the mean daily UV and views."""

@@ -77,8 +77,7 @@ def _page_filter_parts(filters: Filters):
 
 def page_partials(model: StarModel, filters: Filters = NO_FILTERS, keys=(), date=None) -> DataFrame:
     """Fact rows pre-aggregated per (page, visitor, keys), then joined to the
-    page inventory: the plan for page-grouped reports when the inventory is
-    too big to broadcast.  The fact is shuffled once, already reduced (and a
+    page inventory: the plan for page-grouped reports.  The fact is shuffled once, already reduced (and a
     hot page's rows are spread over its visitors), before the page join.
     Page filters apply after the join, so orphans drop out as in M7."""
     fact_only, page_pred = _page_filter_parts(filters)
@@ -94,15 +93,14 @@ def page_partials(model: StarModel, filters: Filters = NO_FILTERS, keys=(), date
 def page_grouped(model: StarModel, filters: Filters, keys: list, metrics: list, fact_keys=(),
                  date=None) -> DataFrame:
     """Group by page attributes (``keys`` are Columns over the joined star)
-    with named re-aggregatable metrics [(alias, name)].  The page join is a
-    broadcast when the inventory passes the size check; beyond it, the fact
-    is first reduced per (page, visitor)."""
-    from ..model import fits_broadcast
-    if not filters.uses_employee() and not fits_broadcast(model.page_inventory):
-        j = page_partials(model, filters, keys=fact_keys, date=date)
-        return j.groupBy(*keys).agg(*[_GROUP_METRICS[n][1]().alias(a) for a, n in metrics])
-    w = model.wide(filters, page="left", date=date)
-    return w.groupBy(*keys).agg(*[_GROUP_METRICS[n][0]().alias(a) for a, n in metrics])
+    with named re-aggregatable metrics [(alias, name)], from (page, visitor)
+    rows: one plan at every size, in which Spark picks the type of the
+    page join."""
+    if filters.uses_employee():
+        w = model.wide(filters, page="left", date=date)
+        return w.groupBy(*keys).agg(*[_GROUP_METRICS[n][0]().alias(a) for a, n in metrics])
+    j = page_partials(model, filters, keys=fact_keys, date=date)
+    return j.groupBy(*keys).agg(*[_GROUP_METRICS[n][1]().alias(a) for a, n in metrics])
 
 
 _BASE = [("unique_visitors", "uv"), ("total_views", "views"), ("total_visits", "visits"),

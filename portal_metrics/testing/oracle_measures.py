@@ -122,12 +122,13 @@ SELECT pagename, total_views, uv, engagements,
 FROM (SELECT p.pagename, {VIEWS} AS total_views, {UV} AS uv, {ENG0} AS engagements
       FROM fact f JOIN page_inventory p ON f.marketingpageid = p.marketingpageid GROUP BY p.pagename) t""")
 
-SQL["mea26_27_theme_context"] = q(f"""
-SELECT fine.theme, fine.pagename, fine.uv, fine.engagement_rate, coarse.theme_uv, coarse.theme_engagement_rate
-FROM (SELECT COALESCE(p.theme, 'Unknown') AS theme, COALESCE(p.pagename, 'Unknown') AS pagename,
+for _a in ("theme", "newscategory", "contenttype", "websitename"):
+    SQL[f"mea26_27_{_a}_context"] = q(f"""
+SELECT fine.{_a}, fine.pagename, fine.uv, fine.engagement_rate, coarse.{_a}_uv, coarse.{_a}_engagement_rate
+FROM (SELECT COALESCE(p.{_a}, 'Unknown') AS {_a}, COALESCE(p.pagename, 'Unknown') AS pagename,
              {UV} AS uv, {RATE0} AS engagement_rate {FROM_P} GROUP BY 1, 2) fine
-LEFT JOIN (SELECT COALESCE(p.theme, 'Unknown') AS theme, {UV} AS theme_uv, {RATE0} AS theme_engagement_rate
-           {FROM_P} GROUP BY 1) coarse ON fine.theme = coarse.theme""")
+LEFT JOIN (SELECT COALESCE(p.{_a}, 'Unknown') AS {_a}, {UV} AS {_a}_uv, {RATE0} AS {_a}_engagement_rate
+           {FROM_P} GROUP BY 1) coarse ON fine.{_a} = coarse.{_a}""")
 
 SQL["mea28_30_performance_vs_avg"] = q(f"""
 SELECT pagename, engagement_rate, avg_rate AS avg_engagement_rate,
@@ -144,15 +145,12 @@ FROM (SELECT DISTINCT f.viewingcontactid {FROM_P} WHERE {STRATEGY} AND f.viewing
 LEFT JOIN employee_contact e ON v.viewingcontactid = e.contactid
 GROUP BY 1""")
 
-NARROW = "f.marketingpageid = '1' AND f.referrerapplicationid = 'Other'"
 SQL["mea32_divisions_not_reached"] = q(f"""
-SELECT DISTINCT employeebusinessdivision FROM employee_contact
-WHERE employeebusinessdivision IS NOT NULL
-  AND employeebusinessdivision NOT IN (
-    SELECT e.employeebusinessdivision FROM fact f
-    LEFT JOIN page_inventory p ON f.marketingpageid = p.marketingpageid
-    JOIN employee_contact e ON f.viewingcontactid = e.contactid
-    WHERE {NARROW} AND e.employeebusinessdivision IS NOT NULL)""")
+SELECT c.marketingpageid, a.employeebusinessdivision
+FROM (SELECT DISTINCT marketingpageid FROM fact) c,
+     (SELECT DISTINCT employeebusinessdivision FROM employee_contact WHERE employeebusinessdivision IS NOT NULL) a
+WHERE NOT EXISTS (SELECT 1 FROM fact f JOIN employee_contact e ON f.viewingcontactid = e.contactid
+                  WHERE f.marketingpageid = c.marketingpageid AND e.employeebusinessdivision = a.employeebusinessdivision)""")
 
 SQL["mea33_target_region_match"] = q(f"""
 SELECT targetregion, uv, matching_visitors,
@@ -178,14 +176,18 @@ SELECT f.referrerapplicationid, {_cat('strategy', "p.newscategory = 'Strategy'")
        {_cat('leadership', "p.newscategory IN ('Strategy', 'Culture', 'Thought leadership')")}
 {FROM_P} GROUP BY 1""")
 
-SQL["mea36_38_coverage"] = q(f"""
-SELECT uv, divisions_reached, total_divisions, total_divisions - divisions_reached AS divisions_not_reached,
+def coverage(keys: dict[str, str]) -> str:
+    names = ", ".join(keys)
+    return f"""SELECT {names}, uv, divisions_reached, total_divisions, total_divisions - divisions_reached AS divisions_not_reached,
        {pct0('divisions_reached', 'total_divisions')} AS division_coverage_pct,
        regions_reached, total_regions, {pct0('regions_reached', 'total_regions')} AS region_coverage_pct,
        total_employees, {pct0('uv', 'total_employees')} AS message_penetration_pct
-FROM (SELECT {UV} AS uv, COUNT(DISTINCT e.employeebusinessdivision) AS divisions_reached,
+FROM (SELECT {', '.join(f'{v} AS {k}' for k, v in keys.items())}, {UV} AS uv, COUNT(DISTINCT e.employeebusinessdivision) AS divisions_reached,
              COUNT(DISTINCT e.employeeregion) AS regions_reached,
              (SELECT COUNT(DISTINCT employeebusinessdivision) FROM employee_contact) AS total_divisions,
              (SELECT COUNT(DISTINCT employeeregion) FROM employee_contact) AS total_regions,
              {EMP_TOTAL} AS total_employees
-      {FROM_PE} WHERE {NARROW}) t""")
+      {FROM_PE} GROUP BY {', '.join(keys.values())}) t"""
+
+
+SQL["mea36_38_coverage"] = q(coverage({"marketingpageid": "f.marketingpageid"}))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import oracle_sql
-from .oracle_measures import ENG0, EMP_TOTAL, LIKE_ROW, LIKES_N, RATE0, pct0, ratio0
+from .oracle_measures import ENG0, EMP_TOTAL, LIKE_ROW, LIKES_N, RATE0, coverage, pct0, ratio0
 from .oracle_sql import (BASE, COMMENTS, ENG, FROM_DP, FROM_P, FROM_PE, LIKES, URL, UV, VIEWS, VISITS,
                          calendar_of, q, rate, report)
 
@@ -74,6 +74,9 @@ MONTHLY = f"""m AS (SELECT d.year_month, CAST(date_trunc('month', d.date) AS DAT
 mom AS (SELECT c.year_month, c.month_start, c.uv,
   COALESCE(CAST(c.uv - p.uv AS DOUBLE) * 100.0 / NULLIF(CAST(p.uv AS DOUBLE), 0), 0.0) AS mom_change_pct
   FROM m c LEFT JOIN m p ON p.month_start = CAST(c.month_start - INTERVAL 1 MONTH AS DATE))"""
+SQL["dsh01_top_pages"] = q(f"""
+SELECT f.marketingpageid, p.pagename, {UV} AS uv, {RATE0} AS engagement_rate
+{FROM_P} GROUP BY f.marketingpageid, p.pagename ORDER BY uv DESC, f.marketingpageid, p.pagename LIMIT 10""")
 SQL["dsh01_executive_cards"] = q(f"""
 SELECT core.uv, core.engagement_rate, {EMP_TOTAL} AS total_employees,
        {pct0('core.uv', EMP_TOTAL)} AS reach_rate,
@@ -140,7 +143,6 @@ SQL["dsh09_channel_table"] = q(f"""
 SELECT f.referrerapplicationid AS channel, {UV} AS uv, {VIEWS} AS total_views,
        {ratio0(VIEWS, UV)} AS views_per_visitor, {RATE0} AS engagement_rate
 {FROM_P} GROUP BY 1""")
-NARROW = "f.marketingpageid = '1' AND f.referrerapplicationid = 'Other'"
 
 
 def band(x):
@@ -150,16 +152,7 @@ def band(x):
 SQL["dsh10_coverage_gauges"] = q(f"""
 SELECT *, {band('division_coverage_pct')} AS division_band, {band('region_coverage_pct')} AS region_band,
        {band('message_penetration_pct')} AS penetration_band
-FROM (SELECT uv, divisions_reached, total_divisions, total_divisions - divisions_reached AS divisions_not_reached,
-       {pct0('divisions_reached', 'total_divisions')} AS division_coverage_pct,
-       regions_reached, total_regions, {pct0('regions_reached', 'total_regions')} AS region_coverage_pct,
-       total_employees, {pct0('uv', 'total_employees')} AS message_penetration_pct
-      FROM (SELECT {UV} AS uv, COUNT(DISTINCT e.employeebusinessdivision) AS divisions_reached,
-                   COUNT(DISTINCT e.employeeregion) AS regions_reached,
-                   (SELECT COUNT(DISTINCT employeebusinessdivision) FROM employee_contact) AS total_divisions,
-                   (SELECT COUNT(DISTINCT employeeregion) FROM employee_contact) AS total_regions,
-                   {EMP_TOTAL} AS total_employees
-            {FROM_PE} WHERE {NARROW}) t) c""")
+FROM ({coverage({"newscategory": "COALESCE(p.newscategory, 'Unknown')", "referrerapplicationid": "f.referrerapplicationid"})}) c""")
 
 DIVS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 STRATEGIC = "p.newscategory IN ('Strategy', 'Culture')"
@@ -266,17 +259,20 @@ SELECT CAST(date_trunc('month', d.date) AS DATE) AS period_start, {UV} AS uv, {V
        {ENG} AS engagements
 {FROM_DP} WHERE f.visitdatekey >= 20000101 AND f.visitdatekey <= 20000630 GROUP BY 1""")
 
-OTHER = "f.referrerapplicationid = 'Other'"
 PAGES = f"""pg AS (SELECT f.marketingpageid, COALESCE(p.pagename, 'Unknown') AS pagename, {VIEWS} AS total_views,
   {UV} AS uv, {LIKES_N} AS likes, COALESCE({COMMENTS}, 0) AS comments, {ENG0} AS engagements
   {FROM_P} WHERE {{where}} GROUP BY 1, 2)"""
-SQL["ask05_zero_engagement_pages"] = q("SELECT * FROM pg WHERE engagements = 0", PAGES.format(where=OTHER))
-SQL["ask06_ignored_pages"] = q(f"""
-SELECT marketingpageid, pagename, websitename, contenttype FROM page_inventory
-WHERE marketingpageid NOT IN (SELECT DISTINCT f.marketingpageid FROM fact f WHERE {OTHER}
-                              AND f.marketingpageid IS NOT NULL)""")
-SQL["ask07_comments_without_likes"] = q("SELECT * FROM pg WHERE comments > 0 AND likes = 0",
-                                        PAGES.format(where=OTHER))
+BY_CHANNEL = PAGES.replace("pg AS (SELECT ", "pg AS (SELECT f.referrerapplicationid, ").replace("GROUP BY 1, 2", "GROUP BY ALL").format(where="true")
+SQL["ask05_zero_engagement_pages"] = q("SELECT * FROM pg WHERE engagements = 0", BY_CHANNEL)
+SQL["ask06_ignored_pages"] = q("""
+SELECT p.marketingpageid, p.pagename, p.websitename, p.contenttype, c.referrerapplicationid
+FROM page_inventory p, (SELECT DISTINCT referrerapplicationid FROM fact) c
+WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.marketingpageid = p.marketingpageid AND f.referrerapplicationid = c.referrerapplicationid)""")
+SQL["ask07_comments_without_likes"] = q("SELECT * FROM pg WHERE comments > 0 AND likes = 0", BY_CHANNEL)
+SQL["agg21_comments_per_page"] = q(f"""
+SELECT *, {ratio0('comments', 'pages')} AS comments_per_page
+FROM (SELECT COALESCE(p.contenttype, 'Unknown') AS contenttype, COALESCE({COMMENTS}, 0) AS comments, COUNT(DISTINCT f.marketingpageid) AS pages, {VIEWS} AS total_views
+      {FROM_P} GROUP BY 1) t""")
 SQL["ask08_top_by_ratio"] = q(f"""
 SELECT *, {pct0('likes', 'total_views')} AS like_to_view_pct FROM pg WHERE total_views > 100
 ORDER BY like_to_view_pct DESC, marketingpageid LIMIT 20""", PAGES.format(where="true"))
