@@ -15,7 +15,7 @@ from ..session import scratch_dir
 from ..sources.csv import read_employee_csv, read_fact_csv, read_page_csv
 from ..sources.store import StarStore, export_parquet, export_report
 from ..sources.tpch_star import CAL_END, CAL_START, employees_from_tpch, pages_from_tpch, star_from_tpch
-from ..streaming.extracts import stream_fact_extracts
+from ..streaming.extracts import stream_employee_extracts, stream_fact_extracts, stream_page_extracts
 from . import reports
 from .load_job import run_load
 
@@ -140,6 +140,41 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact(store)
 
 
+def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 for pages: an inventory extract dropped into a folder; a second run finds nothing new."""
+    from .catalog import page_extract
+
+    store, cur = StarStore(spark, scratch_dir(spark, "store")), star_from_tpch(spark, sf_dir).page_inventory
+    store.write_dimension("page_inventory", cur)
+    drop = _to_csv(page_extract(spark, sf_dir, cur).coalesce(1), scratch_dir(spark, "drop"), PAGE_COLUMNS)
+    for _ in range(2):
+        stream_page_extracts(spark, drop, store).awaitTermination()
+    return store.pages()
+
+
+def stream_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 for employees."""
+    from .catalog import employee_extract
+
+    store, cur = StarStore(spark, scratch_dir(spark, "store")), star_from_tpch(spark, sf_dir).employee_contact
+    store.write_dimension("employee_contact", cur)
+    drop = _to_csv(employee_extract(spark, sf_dir, cur).coalesce(1), scratch_dir(spark, "drop"), EMPLOYEE_COLUMNS)
+    for _ in range(2):
+        stream_employee_extracts(spark, drop, store).awaitTermination()
+    return store.employees()
+
+
+def month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-2..4 by month, as a load keeps them: a range of days is replaced between two checks."""
+    from .catalog import EXTRACT_FROM, EXTRACT_TO, fact_extract
+
+    store, star = _stored(spark, sf_dir)
+    store.check_months()
+    store.replace_fact_range(fact_extract(star), EXTRACT_FROM, EXTRACT_TO)
+    rows = [(int(m) if m.isdigit() else None, c["rows"], c["keys"], c["duplicates"]) for m, c in store.check_months().items()]
+    return spark.createDataFrame(rows, "visit_month long, rows long, keys long, duplicates long")
+
+
 QUERIES = {
     "src1_fact_csv": fact_csv,
     "src2_page_csv": page_csv,
@@ -152,4 +187,7 @@ QUERIES = {
     "snk1_export_roundtrip": export_roundtrip,
     "snk3_report_csv": report_csv,
     "str1_stream_merge": stream_merge,
+    "str1_stream_pages": stream_pages,
+    "str1_stream_employees": stream_employees,
+    "val2_month_counts": month_counts,
 }

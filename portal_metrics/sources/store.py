@@ -9,7 +9,8 @@ Layout under ``root``::
     _commits/000001.json                              (what a reader sees; written last, never changed)
 
 A load writes whole months, or whole dimension versions, into new folders and then one small commit file that names, for each
-month, its generation, for each dimension its version, the batches applied so far, and the key counts of checked months.
+month, its generation, for each dimension its version, the batches applied so far, the key counts of checked months, and
+whether page ids are unique.
 Readers take the newest commit.  A load that fails before its commit leaves nothing that a reader sees, and a commit that
 another writer took first is tried again on the new state, or refused where both wrote the same months.  Folders that
 no recent commit names are removed by ``vacuum``.
@@ -28,11 +29,14 @@ from pyspark.sql import types as T
 from ..functions.calendar import date_dim
 from ..model import StarModel
 from ..operators.merge import empty_table, upsert
-from ..schemas import EMPLOYEE_SCHEMA, FACT_KEY, FACT_PARTITION, FACT_SCHEMA, PAGE_SCHEMA
+from ..operators.quality import key_stats
+from ..schemas import EMPLOYEE_SCHEMA, FACT_KEY, FACT_PARTITION, FACT_SCHEMA, PAGE_KEY, PAGE_SCHEMA
 
 #: Folder name of rows without a month, and their key in a commit.
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
-_EMPTY = {"fact": {}, "versions": {}, "applied": {}, "checked": {}}
+_EMPTY = {"fact": {}, "versions": {}, "applied": {}, "checked": {}, "unique": {}}
+#: Dimensions whose keys are checked when they are written.
+_CHECKED_KEYS = {"page_inventory": PAGE_KEY}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -168,8 +172,11 @@ class StarStore:
         return self.dimension("employee_contact", EMPLOYEE_SCHEMA)
 
     def model(self) -> StarModel:
+        """The star; page ids that were unique when they were written let Spark drop the page join of reports that read no page
+        column (``StarModel.with_unique_page_keys``)."""
         dates = self.dimension("dim_date", None)
-        return StarModel(self.fact(), self.pages(), dates if dates is not None else date_dim(self.spark), self.employees())
+        pages = self.pages().dropDuplicates(PAGE_KEY) if self.state().get("unique", {}).get("page_inventory") else self.pages()
+        return StarModel(self.fact(), pages, dates if dates is not None else date_dim(self.spark), self.employees())
 
     # ------------------------------------------------------------ writes
     def _next_folder(self, name: str, letter: str) -> int:
@@ -204,9 +211,14 @@ class StarStore:
             fs, p = _fs(self.spark, path)
             fs.mkdirs(p)
         df.write.mode("overwrite").parquet(path)
+        unique = None
+        if name in _CHECKED_KEYS:
+            unique = not key_stats(self.spark.read.schema(df.schema).parquet(path), _CHECKED_KEYS[name]).first()["duplicate_key_groups"]
 
         def change(state):
             state["versions"][name] = v
+            if unique is not None:
+                state.setdefault("unique", {})[name] = unique
             self._apply(state, batch)
 
         self._commit(change)

@@ -451,3 +451,9 @@ SELECT COALESCE(p.contenttype, 'Unknown') AS contenttype, {UV} AS uv, {VIEWS} AS
 {FROM_P} WHERE f.viewingcontactid IN (
   SELECT DISTINCT f.viewingcontactid {FROM_P} WHERE p.newscategory IN ('Strategy') AND f.viewingcontactid IS NOT NULL)
 GROUP BY 1""")
+SQL["str1_stream_pages"] = SQL["mrg3_upsert_pages"]
+SQL["str1_stream_employees"] = SQL["mrg4_upsert_employees"]
+SQL["val2_month_counts"] = q("""
+SELECT visitdatekey // 100 AS visit_month, CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS keys, COUNT(*) FILTER (n > 1) AS duplicates
+FROM (SELECT visitdatekey, marketingpageid, viewingcontactid, referrerapplicationid, COUNT(*) AS n FROM merged GROUP BY ALL) k
+GROUP BY visitdatekey // 100""", EXTRACT)

@@ -102,6 +102,22 @@ def test_vacuum_removes_what_no_recent_commit_names(spark, tmp_path):
     assert rows_of(s.fact()) == [(20260101, 1)]
 
 
+def test_unique_page_ids_are_recorded_and_drop_the_unread_join(spark, tmp_path, star):
+    from portal_metrics.plans import reports
+    s = StarStore(spark, str(tmp_path / "s"))
+    s.full_refresh_fact(star.fact)
+    pages = star.page_inventory
+    for inventory, unique in ((pages, True), (pages.unionByName(pages.limit(1)), False)):
+        s.write_dimension("page_inventory", inventory)
+        assert s.state()["unique"] == {"page_inventory": unique}
+        model = s.model()
+        plan = reports.summary(model)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("LeftOuter" not in plan) == unique
+        assert model.page_inventory.count() == inventory.count()
+        want = star if unique else type(star)(star.fact, inventory, star.dim_date, star.employee_contact)
+        assert reports.summary(model).first() == reports.summary(want).first()
+
+
 # ------------------------------------------------------------------ STR-1
 def run(spark, fn, drop, store, ck):
     q = fn(spark, str(drop), store, checkpoint=str(ck))
