@@ -71,8 +71,17 @@ def digests(grams: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[0], out[1]
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, known): rows without an id go by a hash of their text and are not ``known``."""
+    own = F.col(id_col).cast("long")
+    return docs.select(F.coalesce(own, F.xxhash64(text_col)).alias("doc_id"), F.col(text_col).alias("text"), own.isNotNull().alias("known"))
+
+
 def signatures(docs: DataFrame, split: Splitter, rows: int, bands: int, least: int = 1, k: int = C.SHINGLE) -> DataFrame:
-    """(doc_id, unit, id, check, n, bands): every unit with at least ``least`` shingles; bands: packed band keys."""
+    """(doc_id, known, unit, id, check, n, bands): every unit with at least ``least`` shingles; bands: packed band keys.
+
+    docs: (doc_id, text, known), see ``keyed``.
+    """
     def work(batches):
         for b in batches:
             data, offsets = C.text_bytes(b.column(1), lower=True)
@@ -85,10 +94,10 @@ def signatures(docs: DataFrame, split: Splitter, rows: int, bands: int, least: i
                 keys = C.band_keys(C.minhashes(grams, per, rows * bands)[keep], rows)
                 packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * bands), len(keep), [None, pa.py_buffer(np.ascontiguousarray(keys))])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i).take(pa.array(row[keep])), pa.array((np.arange(len(row)) - units[row])[keep].astype(np.int32)),
-                     pa.array(one[keep]), pa.array(two[keep]), pa.array(n[keep].astype(np.int32)), packed.cast(pa.binary())],
-                    ["doc_id", "unit", "id", "check", "n", "bands"])
-    return docs.mapInArrow(work, "doc_id long, unit int, id long, check long, n int, bands binary")
+                    [b.column(0).slice(i).take(pa.array(row[keep])), b.column(2).slice(i).take(pa.array(row[keep])),
+                     pa.array((np.arange(len(row)) - units[row])[keep].astype(np.int32)), pa.array(one[keep]), pa.array(two[keep]), pa.array(n[keep].astype(np.int32)), packed.cast(pa.binary())],
+                    ["doc_id", "known", "unit", "id", "check", "n", "bands"])
+    return docs.mapInArrow(work, "doc_id long, known boolean, unit int, id long, check long, n int, bands binary")
 
 
 def bucket_links(nodes: DataFrame) -> DataFrame:

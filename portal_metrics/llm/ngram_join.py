@@ -11,7 +11,8 @@ copies included, itself excluded).
 
 Defined results: a document of 1 to 4 words has one shingle, all its words; a NULL, empty
 or wordless text has no shingles, no links and its own class; repeated rows are copies of
-each other; an empty table gives an empty table; other columns are ignored.
+each other; rows without an id are linked and counted like others, and their class_id is NULL only if no row of their
+class has an id; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portal_metrics.llm import common as C
-from portal_metrics.llm.minhash import near_classes, signatures, whole_rows
+from portal_metrics.llm.minhash import keyed, near_classes, signatures, whole_rows
 
 THRESHOLD = 0.8
 ROWS = 5
@@ -30,17 +31,18 @@ RECALL = 0.9995
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     rows: int = ROWS, recall: float = RECALL, k: int = C.SHINGLE) -> DataFrame:
     """(doc_id, class_id, n_links) of every row of ``docs``."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = keyed(docs, id_col, text_col)
     bands = C.bands_for(threshold, rows, recall)
     signed = C.saved(signatures(docs, whole_rows, rows, bands, least=0, k=k))
     # one node per distinct set: copies are counted map-side
     nodes = C.saved(signed.where("n > 0").groupBy("id", "check")
-                    .agg(F.min("doc_id").alias("doc_id"), F.first("unit").alias("unit"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
+                    .agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("known"), F.col("doc_id"))).alias("least"), F.first("unit").alias("unit"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
     near = near_classes(nodes, docs, whole_rows, threshold, k)
-    named = nodes.select("id", "doc_id", "copies").join(near, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    classes = named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root")
+    named = nodes.select("id", "least", "copies").join(near, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    classes = named.join(named.groupBy("root").agg(F.min("least").alias("class_id")), "root")
     classes = classes.select("id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.select("doc_id", F.when(F.col("n") > 0, F.col("id")).alias("id")).join(classes, "id", "left").select(
+    own = F.when(F.col("known"), F.col("doc_id")).alias("doc_id")
+    return signed.select(own, F.when(F.col("n") > 0, F.col("id")).alias("id")).join(classes, "id", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 

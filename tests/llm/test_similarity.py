@@ -46,6 +46,17 @@ def test_jaccard_join(docs, texts, empty):
     assert kept.columns == docs.columns and {4, 7, 40} & {r.doc_id for r in kept.collect()} >= {4, 7}
 
 
+def test_jaccard_join_with_null_and_repeated_ids(spark):
+    rng = random.Random(9)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    rows = [(None, a), (None, a + " more"), (5, a + " more words"), (None, b), (None, b), (7, c), (7, c), (7, b + " x"), (None, None), (None, None), (8, "")]
+    got = [tuple(r) for r in ngram_join.jaccard_classes(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(None, 5, 2), (None, 5, 2), (5, 5, 2), (None, 7, 2), (None, 7, 2), (7, 7, 1), (7, 7, 1), (7, 7, 2),
+                                           (None, None, 0), (None, None, 0), (8, 8, 0)], key=str)
+    only = [(None, a), (None, a), (None, c)]
+    assert sorted(map(str, map(tuple, ngram_join.jaccard_classes(frame(spark, only)).collect()))) == ["(None, None, 0)", "(None, None, 1)", "(None, None, 1)"]
+
+
 def test_one_row_of_each_class_with_null_and_repeated_ids(spark):
     rng = random.Random(5)
     a, b, c, d = (sentence(rng, 60) for _ in range(4))
@@ -120,6 +131,28 @@ def test_suffix_dedup(docs, texts, empty, local):
     assert suffix_dedup.remove_repeats(empty).collect() == []
 
 
+@pytest.mark.parametrize("local", [suffix_dedup.LOCAL, 1])
+def test_suffix_dedup_names_the_documents_that_share(spark, texts, local):
+    """Documents with a common 400-byte string hang together by their numbers; without one they have none."""
+    rng = random.Random(5)
+    a, b = sentence(rng, 110), sentence(rng, 110)
+    rows = [(i, t) for i, t in dict(texts).items() if t] + [(100 + i, sentence(rng, 20) + x + sentence(rng, 5 + i)) for i, x in enumerate((a, a, b, b + a, sentence(rng, 90)))]
+    rows.append((110, sentence(rng, 3) + b + " " + b))          # a repeat of its own as well
+    rows.append((111, " ".join([sentence(random.Random(1), 100)] * 2)))
+    got = {r.doc_id: set(r.shared_with) for r in suffix_dedup.remove_repeats(frame(spark, rows), keep_first=False, local=local).collect()}
+    held = {i: {t.encode()[k:k + 400] for k in range(len(t.encode()) - 399)} for i, t in rows}
+    common = {(i, j) for i in held for j in held if i < j and held[i] & held[j]}
+    root = {i: i for i in held}
+    for _ in held:
+        for i in held:
+            for j in held:
+                if i != j and got[i] & got[j]:
+                    root[i] = root[j] = min(root[i], root[j])
+    assert all(root[i] == root[j] for i, j in common)
+    assert {i for i in held if got[i]} == {i for pair in common for i in pair} and 111 not in {i for p in common for i in p}
+    assert all(x in held for shared in got.values() for x in shared)
+
+
 @pytest.mark.parametrize("local", [suffix_dedup.LOCAL, 1])
 def test_suffix_dedup_keeps_the_first(docs, texts, local):
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs, keep_first=True, local=local).where("doc_id in (4, 5, 8, 9)").collect()}
@@ -168,6 +201,48 @@ def test_paragraphs(docs, texts, empty, spark):
     assert paragraph_dedup.repeats(empty)[0].collect() == []
 
 
+def wrapped(text, width):
+    w = text.split(" ")
+    return "\n".join(" ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+
+@pytest.mark.parametrize("width", [4, 5, 6, 7, 8, 10, 12])
+def test_paragraphs_wrapped_otherwise_hang_together(spark, width):
+    """Passages of 56 words, wrapped in lines of some words: in both documents alike, from another word on, or in one line."""
+    rng = random.Random(width)
+    rows, pairs = [], []
+    for k in range(12):
+        passage, before, after = sentence(rng, 56), sentence(rng, 20 + k), sentence(rng, 15)
+        rows += [(10 * k, wrapped(passage, width) + "\n" + sentence(rng, 30)), (10 * k + 1, wrapped(before, 9) + "\n" + wrapped(passage, width)),
+                 (10 * k + 2, wrapped(before[::-1] + " " + passage + " " + after, width)), (10 * k + 3, sentence(rng, 8) + " " + passage + " " + sentence(rng, 40))]
+        pairs += [(10 * k, 10 * k + i) for i in (1, 2, 3)]
+    got = {r.doc_id: set(r.classes) for r in paragraph_dedup.paragraph_repeats(frame(spark, rows)).collect()}
+    assert all(got[a] & got[b] for a, b in pairs)
+    assert all(not got[a] & got[b] for a in got for b in got if a // 10 != b // 10)
+
+
+def test_paragraph_columns(spark):
+    """Every column both ways, with NULL and repeated ids, a phrase repeated in a line, and documents that share nothing."""
+    rng = random.Random(3)
+    line, other, phrase = sentence(rng, 30), sentence(rng, 30), "buy now cheap " * 20
+    near = line.split(" ")
+    near[29] = "changed"
+    rows = [(4, line + "\n" + other), (9, sentence(rng, 40) + "\n" + line), (5, " ".join(near) + "\nshort line"), (None, other), (None, other), (6, sentence(rng, 25)),
+            (7, phrase + "\n" + sentence(rng, 12)), (8, sentence(rng, 14) + "\n" + phrase), (None, None), (3, ""), (6, "one two"), (None, sentence(rng, 25))]
+    got = paragraph_dedup.paragraph_repeats(frame(spark, rows)).collect()
+    assert len(got) == 7 + 3
+    of = {r.doc_id: r for r in got if r.doc_id is not None}
+    count = lambda t: sum(len(grams(x)) >= 6 for x in (t or "").split("\n"))
+    assert {i: r.n_paragraphs for i, r in of.items()} == {i: sum(count(t) for j, t in rows if j == i) for i in of}
+    assert of[4].n_repeated == 0 and of[4].repeated == "" and 4 in of[4].classes
+    assert "line 1" in of[9].repeated.split(",") and 4 in of[9].classes and "line 0" in of[5].repeated.split(",") and 4 in of[5].classes
+    assert of[7].n_repeated == 0 and of[8].n_repeated == 1 and list(of[7].classes) == list(of[8].classes) == [7]
+    assert all(not of[i].classes and not of[i].n_repeated for i in (3, 6))
+    # the repeated row repeats its own pieces too, and no document with an id holds all of those
+    nulls = sorted((r.n_paragraphs, r.n_repeated > 0, 4 in r.classes) for r in got if r.doc_id is None)
+    assert nulls == [(0, False, False), (1, False, False), (2, True, True)]
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(300)]
