@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from portal_metrics.llm import common as C
+
 TOP = 20
 #: Queries of a block (bounds what is sent to the executors) and candidates of a task.
 QUERY_BLOCK, CANDIDATES = 8192, 16_384
@@ -109,14 +111,17 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, top: int = TOP) -> DataFrame:
-    """query_id, rank, id, score: the ``top`` largest inner products of the rows whose id ``every`` divides."""
-    rows = usable(vectors, id_col, vector_col)
+    """query_id, rank, id, score: the ``top`` largest inner products of the rows whose id ``every`` divides.
+
+    Usable rows are written once.  Blocks of queries run one after another: a block is broadcast, its result written, the
+    broadcast dropped, so the driver holds one block however many there are.
+    """
+    rows = C.saved(usable(vectors, id_col, vector_col).repartition(max(1, math.ceil(vectors.count() / CANDIDATES)), "id"))
     queries = rows.where(F.col("id") % every == 0)
-    total, asked = rows.agg(F.count("*"), F.sum((F.col("id") % every == 0).cast("long"))).first()
+    blocks = math.ceil(queries.count() / QUERY_BLOCK)
     schema = "query_id long, id long, score double"
-    out = vectors.sparkSession.createDataFrame([], schema)
-    blocks = math.ceil((asked or 0) / QUERY_BLOCK)
-    candidates = rows.repartition(max(1, math.ceil(total / CANDIDATES)), "id")
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")).alias("rank")
+    out = vectors.sparkSession.createDataFrame([], schema).select("query_id", F.lit(0).alias("rank"), "id", "score")
     for k in range(blocks):
         own = defaultdict(list)
         for r in queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect():  # about QUERY_BLOCK rows
@@ -137,9 +142,10 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q.ids, has.sum(axis=1))), pa.array(q.best_id[has]), pa.array(q.best_score[has])],
                                                  ["query_id", "id", "score"])
 
-        out = out.union(candidates.mapInArrow(work, schema))
-    ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id")))
-    return ranked.where(F.col("rank") <= top).select("query_id", "rank", "id", "score")
+        found = rows.mapInArrow(work, schema).select("query_id", best, "id", "score").where(F.col("rank") <= top)
+        out = out.union(C.saved(found))
+        block.unpersist()
+    return out
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
