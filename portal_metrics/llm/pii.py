@@ -15,8 +15,9 @@ where no round could admit it, and its slots are counted in the first round that
 Slots are counted over nested samples of the texts, each about four times the one before, the first of FIRST rows, the last of all.
 Slots seen so far never exceed the slots of the corpus, so a pattern that already has too many for its confidence, were all
 its identifiers known, is dropped without loss.  One that stays has at most its identifiers / CONFIDENCE slots in a
-sample, so what the next one joins grows with the identifiers, not with the pairs of words.  The patterns of a sample are broadcast
-up to SMALL bytes, measured; beyond, its pairs of words are aggregated and shuffled.
+sample, so what the next one joins grows with the identifiers, not with the pairs of words.  Pairs of words are looked up in
+a bitmap of the patterns' hashes of fixed size before they become rows.  The patterns of a sample are broadcast up to SMALL
+bytes, measured; beyond, its pairs of words are aggregated and shuffled.
 
 Work on a text grows with its length and, where running sums are needed, with the power 1.5 of its matches.
 
@@ -34,6 +35,7 @@ other columns are ignored by ``find_pii`` unless named in ``keep``.
 from __future__ import annotations
 
 import math
+import struct
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,9 @@ SUPPORT, CONFIDENCE, SCORE = 3, 0.8, 0.8
 SETTLED, SMALL = 1e-6, 8 << 20
 #: Rows of the first sample; samples grow by GROWTH.
 FIRST, GROWTH = 4096, 4
+#: Bits of the marks of a sample's patterns, a multiple of Spark's bitmap size.
+_BITMAP = 32_768
+MARKS = 16 * _BITMAP
 #: Code points of the pieces that a text is cut into before spans are cut out of it.
 PIECE = 1024
 
@@ -226,11 +231,35 @@ def _samples(texts: DataFrame, rows: int) -> list[DataFrame]:
     return [dealt.where(F.col("level") == k).select("text") for k in range(levels, -1, -1)]
 
 
+def _mark(w1: Column, w2: Column) -> Column:
+    """A number below MARKS for two words."""
+    return F.pmod(F.xxhash64(w1, w2), F.lit(MARKS))
+
+
+def _marks(patterns: DataFrame) -> Column:
+    """The marks of the patterns as bits of an array of longs, which holds MARKS bits however many they are."""
+    no = _mark(F.col("w1"), F.col("w2")) + 1  # bitmaps number from 1
+    parts = patterns.groupBy(F.bitmap_bucket_number(no).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(no)).alias("bits")).collect()
+    of = {r["b"]: bytes(r["bits"]) for r in parts}
+    bits = b"".join(of.get(b + 1, bytes(_BITMAP // 8)) for b in range(MARKS // _BITMAP))
+    return F.from_json(F.lit(str(list(struct.unpack(f"<{MARKS // 64}q", bits)))), "array<bigint>")
+
+
 def _slots(texts: DataFrame, patterns: DataFrame, small: int) -> DataFrame:
-    """(w1, w2, slots): how often each pattern is followed by anything.  patterns: saved; broadcast up to ``small`` bytes of words."""
+    """(w1, w2, slots): how often each pattern is followed by anything.  patterns: saved; broadcast up to ``small`` bytes of words.
+
+    Pairs of words whose mark no pattern has are dropped inside their text; those left meet the patterns themselves.
+    """
     words = texts.select(_words(F.lower(F.btrim(F.col("text"), F.lit(" \t\n\x0b\f\r")))).alias("w"))
-    pairs = words.where(F.size("w") > 2).select(F.explode(F.arrays_zip(
-        F.slice("w", F.lit(1), F.size("w") - 2).alias("w1"), F.slice("w", F.lit(2), F.size("w") - 2).alias("w2"))).alias("p")).select("p.w1", "p.w2")
+    n = F.greatest(F.size("w") - 2, F.lit(0))
+    pairs = F.arrays_zip(F.slice("w", F.lit(1), n).alias("w1"), F.slice("w", F.lit(2), n).alias("w2"))
+    marks = _marks(patterns)
+
+    def marked(p):
+        mark = _mark(p["w1"], p["w2"])
+        return F.bit_get(F.get(marks, F.shiftright(mark, 6).cast("int")), (mark % 64).cast("int")) == 1
+
+    pairs = words.select(F.explode(F.filter(pairs, marked)).alias("p")).select("p.w1", "p.w2")
     size = patterns.agg(F.coalesce(F.sum(F.octet_length("w1") + F.octet_length("w2") + 32), F.lit(0))).first()[0]
     if size <= small:
         return pairs.join(F.broadcast(patterns), ["w1", "w2"]).groupBy("w1", "w2").agg(F.count("*").alias("slots"))

@@ -198,6 +198,25 @@ def test_secrets(spark, texts, empty):
     assert secrets.scan(empty).collect() == []
 
 
+def test_secrets_in_prose_are_words_of_the_documents(spark):
+    """Plain words after a credential word are no secrets where other documents use them; generated values are."""
+    prose = ["The password is important", "My login is necessary", "token: available", "the secret is generosity", "Das Passwort ist da, password: Schlüsselbund"]
+    rows = [(i, t) for i, t in enumerate(prose)] + [(20 + i, f"It is important and necessary that generosity is available, der Schlüsselbund too {i}") for i in range(3)]
+    made = ["pwd: kT9#vQ2!mZ", "login was Xy7$pLq0wR", "passphrase = hjQWzkvbPmnt", "password is importantX9$kq#2"]
+    rows += [(50 + i, t) for i, t in enumerate(made)]
+    got = {r.doc_id: [(s.kind, s.start) for s in r.spans] for r in secrets.scan(frame(spark, rows)).collect()}
+    assert all(got[i] == [] for i in range(len(prose)))
+    assert all([k for k, _ in got[50 + i]] == ["value"] for i in range(len(made)))
+    plain = {r.doc_id: len(r.spans) for r in secrets.scan(frame(spark, rows), words=[]).collect()}
+    assert plain[0] == plain[1] == 1          # without the documents' words, brute force
+
+
+def test_learned_words(spark):
+    rows = [(1, "Alpha alpha beta"), (2, "alpha, Beta2 gamma"), (3, None), (4, ""), (5, "password: gamma token=delta delta"), (6, "beta it's été"), (7, "été"), (8, "x" * 40), (9, "x" * 40)]
+    assert secrets.learned_words(frame(spark, rows)) == ["beta", "alpha", "été"]
+    assert secrets.learned_words(frame(spark, rows), kept=1) == ["beta"] and secrets.learned_words(frame(spark, [])) == []
+
+
 def segments_brute(v):
     """The same program over all segmentations, for short values."""
     low, best = v.lower(), [0.0] + [math.inf] * len(v)
