@@ -117,8 +117,8 @@ def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(a.astype(np.int64) * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
 
 
-def repeated_windows(spans: list[bytes], windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(has an equal window at another place, has one at an earlier place) of all windows of the spans, in order.
+def window_classes(spans: list[bytes], windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (numbered over the spans) that equal another one, class by class and inside a class by place; where classes start.
 
     Places are in the order of the spans, so the caller sorts them by position.
     """
@@ -130,9 +130,8 @@ def repeated_windows(spans: list[bytes], windows: np.ndarray, length: int) -> tu
     h, down = C.prefix_hash(data)
     _, inverse, count = np.unique((h[at + length] - h[at]) * down[at], return_inverse=True, return_counts=True)
     maybe = np.flatnonzero(count[inverse] > 1)  # equal windows have equal digests: only these need the exact order
-    any_, earlier = np.zeros(len(at), bool), np.zeros(len(at), bool)
     if not len(maybe):
-        return any_, earlier
+        return maybe, maybe
     used = np.unique(owner[maybe])
     kept = np.concatenate([data[first[u]:first[u] + len(spans[u])] for u in used])
     moved = np.concatenate([[0], np.cumsum([len(spans[u]) for u in used])])
@@ -141,9 +140,17 @@ def repeated_windows(spans: list[bytes], windows: np.ndarray, length: int) -> tu
     order = np.lexsort((place, rank))  # the suffix array of these windows
     same = rank[order][1:] == rank[order][:-1]
     before = np.append(False, same)    # the previous smaller position has a common prefix of the full length
-    after = np.append(same, False)
-    any_[maybe[order]] = before | after
-    earlier[maybe[order]] = before
+    shared = before | np.append(same, False)
+    return maybe[order][shared], np.flatnonzero(~before[shared])
+
+
+def repeated_windows(spans: list[bytes], windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(has an equal window at another place, has one at an earlier place) of all windows of the spans, in order."""
+    at, starts = window_classes(spans, windows, length)
+    any_ = np.zeros(int(windows.sum()), bool)
+    any_[at] = True
+    earlier = any_.copy()
+    earlier[at[starts]] = False
     return any_, earlier
 
 
@@ -154,15 +161,17 @@ def _intervals(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_intervals(docs: DataFrame, keep_first: bool, length: int = LENGTH, gram: int = GRAM, local: int = LOCAL) -> DataFrame:
-    """(doc_id, digest, start, n): windows start ... start + n - 1 of the text are to be removed."""
+    """(doc_id, digest, start, n, share): windows start ... start + n - 1 of the text are to be removed; share: the least document
+    that holds them, NULL where no other one does."""
     runs = C.saved(all_runs(docs, length, gram))
     place = F.struct("doc_id", "digest", "start")
-    stretches = C.saved(runs.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), F.min(place).alias("holder"), F.first("n").alias("n")))
-    copied = stretches.where("copies > 1").select("anchor", "stretch", "holder")
+    across = F.when(F.min("doc_id") < F.max("doc_id"), F.min("doc_id")).alias("share")
+    stretches = C.saved(runs.groupBy("anchor", "stretch").agg(F.count("*").alias("copies"), F.min(place).alias("holder"), F.first("n").alias("n"), across))
+    copied = stretches.where("copies > 1").select("anchor", "stretch", "holder", "share")
     whole = runs.join(copied, ["anchor", "stretch"])
     if keep_first:
         whole = whole.where(place != F.col("holder"))
-    whole = whole.select("doc_id", "digest", "start", "n")
+    whole = whole.select("doc_id", "digest", "start", "n", "share")
 
     mixed = stretches.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = (stretches.join(mixed, "anchor").groupBy("holder.doc_id")
@@ -197,17 +206,31 @@ def repeated_intervals(docs: DataFrame, keep_first: bool, length: int = LENGTH,
             for s, e in zip(np.append(0, cut), np.append(cut, len(anchor)), strict=True):
                 # a place met twice (repeated rows) is one place
                 own = np.arange(s, e)[np.append(True, (doc[s + 1:e] != doc[s:e - 1]) | (digest[s + 1:e] != digest[s:e - 1]) | (start[s + 1:e] != start[s:e - 1]))]
-                any_, earlier = repeated_windows([held[int(i)].as_py() for i in own], n[own], length)
+                at, first = window_classes([held[int(i)].as_py() for i in own], n[own], length)
+                if not len(at):
+                    continue
                 per = np.concatenate([[0], np.cumsum(n[own])])
+                docs_at = doc[own][np.searchsorted(per, at, side="right") - 1]
+                least, most = np.minimum.reduceat(docs_at, first), np.maximum.reduceat(docs_at, first)
+                size = np.diff(np.append(first, len(at)))
+                # kind of a window: 0 stays, else 1 + number of the share among the shares of this anchor
+                shares, kind = np.unique(np.where(least < most, least, most), return_inverse=True)
+                kinds_at = np.zeros(int(per[-1]), np.int64)
+                kinds_at[at] = 1 + 2 * np.repeat(kind, size) + np.repeat(least < most, size)
+                if keep_first:
+                    kinds_at[at[first]] = 0
                 for k, i in enumerate(own):
-                    flags = (earlier if keep_first else any_)[per[k]:per[k + 1]]
-                    if flags.any():
-                        a, m = _intervals(flags)
-                        out.append((np.full(len(a), doc[i]), np.full(len(a), digest[i]), start[i] + a, m.astype(np.int32)))
+                    mine = kinds_at[per[k]:per[k + 1]]
+                    cuts = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
+                    some = mine[cuts] > 0
+                    if some.any():
+                        a, m, code = cuts[some], np.diff(np.append(cuts, len(mine)))[some], mine[cuts[some]] - 1
+                        out.append((np.full(len(a), doc[i]), np.full(len(a), digest[i]), start[i] + a, m.astype(np.int32), shares[code // 2], code % 2 == 1))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["doc_id", "digest", "start", "n"])
+                *cols, share, across = (np.concatenate(c) for c in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(share, mask=~across)], ["doc_id", "digest", "start", "n", "share"])
 
-    found = "doc_id long, digest long, start long, n int"
+    found = "doc_id long, digest long, start long, n int, share long"
     near = (spans.where(F.col("kinds") <= local).repartition("anchor").sortWithinPartitions("anchor", "doc_id", "digest", "start").mapInArrow(compare, found))
 
     def dealt(batches):
@@ -222,33 +245,41 @@ def repeated_intervals(docs: DataFrame, keep_first: bool, length: int = LENGTH,
                                                   pa.array(np.full(m, row["digest"])), pa.array(row["start"] + at)], ["anchor", "window", "doc_id", "digest", "start"])
 
     single = spans.where(F.col("kinds") > local).mapInArrow(dealt, "anchor long, window long, doc_id long, digest long, start long").distinct()
-    shared = single.groupBy("anchor", "window").agg(F.count("*").alias("places"), F.min(place).alias("first")).where("places > 1")
+    shared = single.groupBy("anchor", "window").agg(F.count("*").alias("places"), F.min(place).alias("first"), across).where("places > 1")
     far = single.join(shared, ["anchor", "window"])
     if keep_first:
         far = far.where(place != F.col("first"))
-    return whole.union(near).union(far.select("doc_id", "digest", "start", F.lit(1).alias("n")))
+    return whole.union(near).union(far.select("doc_id", "digest", "start", F.lit(1).alias("n"), "share"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_first: bool = True,
                    length: int = LENGTH, gram: int = GRAM, local: int = LOCAL) -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans (removed byte ranges), kept (remaining bytes) of every row."""
+    """doc_id, n_bytes, n_removed, spans (removed byte ranges), kept (remaining bytes), shared_with of every row.
+
+    shared_with: the least id among the holders of each string removed that several documents hold, each once in ascending
+    order (a document without an id goes by the hash of its text); documents with a common string hang together by common
+    numbers.  With ``keep_first`` the first holder of a string does not lose it and so has no number from it.
+    """
     docs = docs.select(F.col(id_col).cast("long").alias("own"), F.col(text_col).alias("text"))
     # rows without an id go by a digest of their text: places also hold the text's digest, so an equal id does no harm
     docs = docs.select(F.coalesce("own", F.xxhash64("text")).alias("doc_id"), "text", "own")
-    gone = repeated_intervals(docs.select("doc_id", "text"), keep_first, length, gram, local).groupBy("doc_id").agg(F.collect_list(F.struct("digest", "start", "n")).alias("gone"))
-    schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept binary"
+    gone = repeated_intervals(docs.select("doc_id", "text"), keep_first, length, gram, local).groupBy("doc_id").agg(F.collect_list(F.struct("digest", "start", "n", "share")).alias("gone"))
+    schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept binary, shared_with array<bigint>"
 
     def work(batches):
         for b in batches:
             data, offsets = C.text_bytes(b.column(1))
             lists = b.column(2).to_pylist()
-            sizes, removed, spans, kept = [], [], [], []
+            sizes, removed, spans, kept, shares = [], [], [], [], []
             for r in range(b.num_rows):
                 own = data[offsets[r]:offsets[r + 1]]
                 edge = np.zeros(len(own) + 1, np.int64)
+                shared = set()
                 if lists[r]:
                     text = C.text_digest(own, np.array([0, len(own)]))[0].view(np.int64)[0]
-                    x = np.array([(g["start"], g["n"]) for g in lists[r] if g["digest"] == text], np.int64).reshape(-1, 2)
+                    mine = [g for g in lists[r] if g["digest"] == text]
+                    shared = {g["share"] for g in mine} - {None}
+                    x = np.array([(g["start"], g["n"]) for g in mine], np.int64).reshape(-1, 2)
                     np.add.at(edge, x[:, 0], 1)
                     np.add.at(edge, x[:, 0] + x[:, 1] - 1 + length, -1)
                 out = np.cumsum(edge)[:-1] > 0
@@ -257,15 +288,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 removed.append(int(out.sum()))
                 spans.append([{"start": int(a), "end": int(a + m)} for a, m in zip(s, n, strict=True)])
                 kept.append(own[~out].tobytes())
+                shares.append(sorted(shared))
             yield pa.RecordBatch.from_arrays(
                 [b.column(3), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()),
+                 pa.array(shares, pa.list_(pa.int64()))], ["doc_id", "n_bytes", "n_removed", "spans", "kept", "shared_with"])
 
     return docs.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "gone", "own").mapInArrow(work, schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: every byte of every repeated 400-byte string removed."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, shared_with: every byte of every repeated 400-byte string removed."""
     out = remove_repeats(C.documents(spark, sf_dir), keep_first=False)
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      "shared_with")
