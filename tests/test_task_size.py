@@ -38,3 +38,38 @@ def test_fact_join_in_tasks_by_size(star, small_tasks):
 def test_input_of_unknown_size_is_left_to_spark(spark):
     from tests.fixtures import fixture_model
     assert MD.tasks_for(fixture_model(spark).fact) is None
+
+
+def test_page_reports_join_one_row_per_page(star):
+    """Reports grouped by the page id count a page's visitors before its wide attributes are joined."""
+    from portal_metrics.plans import dashboards as DS
+    from portal_metrics.plans import questions as QS
+    from portal_metrics.plans import reports as R
+    for fn in (R.top_pages_by_uv, R.top_engaged_pages, R.top_pages_by_views, DS.page_performance, DS.top_pages_with_rate, lambda m: QS._pages(m, MD.NO_FILTERS)):
+        p = plan(fn(star))
+        below = p[p.index("LeftOuter"):]
+        assert re.search(r"Aggregate \[marketingpageid#\d+\],", below), p
+        assert "viewingcontactid" not in p[:p.index("LeftOuter")], p
+
+
+def test_page_reports_with_repeated_and_missing_keys(spark):
+    """Repeated inventory rows repeat sums and not visitors, also under another name; NULL pages and visitors are groups."""
+    from portal_metrics.plans import dashboards as DS
+    from portal_metrics.plans import questions as QS
+    from tests.fixtures import FACT_ROWS, PAGE_ROWS, fixture_model
+    m = fixture_model(spark, FACT_ROWS + [(20250103, "Email", None, 6, "u1", "F", 1, 1.0, 1.0, 1, None)],
+                      pages=PAGE_ROWS + [PAGE_ROWS[0], dict(PAGE_ROWS[1], pagename="Other name")])
+    got = {(r["marketingpageid"], r["pagename"]): (r["uv"], r["total_views"], r["engagements"]) for r in DS.page_performance(m).collect()}
+    assert got == {("p1", "CEO message"): (2, 18, 4), ("p2", "Q3 results"): (2, 11, 3), ("p2", "Other name"): (2, 11, 3),
+                   ("p9", "Unknown"): (0, 2, 0), (None, "Unknown"): (1, 6, 1)}
+    by = {(r["marketingpageid"], r["referrerapplicationid"], r["pagename"]): (r["uv"], r["total_views"]) for r in QS._pages(m, MD.NO_FILTERS, ["referrerapplicationid"]).collect()}
+    assert by[("p1", "Email", "CEO message")] == (2, 18) and by[("p1", "Intranet", "CEO message")] == (1, 0) and len(by) == 8
+
+
+def test_attribute_reports_in_tasks_by_size(star, small_tasks):
+    from portal_metrics.plans import measures as MS
+    from portal_metrics.plans import reports as R
+    p = plan(R.uv_by_website(small_tasks))
+    assert re.search(r"RepartitionByExpression \[marketingpageid#\d+, viewingcontactid#\d+\], 7", p), p
+    for fn in (R.uv_by_website, R.uv_by_theme, lambda m: MS.attribute_context(m, "theme")):
+        assert rows(fn(small_tasks)) == rows(fn(star))
