@@ -73,3 +73,11 @@ def test_attribute_reports_in_tasks_by_size(star, small_tasks):
     assert re.search(r"RepartitionByExpression \[marketingpageid#\d+, viewingcontactid#\d+\], 7", p), p
     for fn in (R.uv_by_website, R.uv_by_theme, lambda m: MS.attribute_context(m, "theme")):
         assert rows(fn(small_tasks)) == rows(fn(star))
+
+
+def test_coverage_counts_in_tasks_by_size(star, small_tasks):
+    from portal_metrics.plans import measures as MS
+    p = plan(MS.coverage(small_tasks, by=["marketingpageid"]))
+    assert re.search(r"RepartitionByExpression \[marketingpageid#\d+, viewingcontactid#\d+\], 7", p), p
+    for by in ((), ["marketingpageid"], ["newscategory"]):
+        assert rows(MS.coverage(small_tasks, by=by)) == rows(MS.coverage(star, by=by))
