@@ -94,7 +94,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            m = max(n, 2 * len(self.up), CHUNK_BYTES + 1024)
+            m = max(n, 2 * len(self.up), (CHUNK_BYTES >> 3) + 1024)
             for name, b in (("up", self.base), ("down", self.inv)):
                 p = np.full(m, b, np.uint64)
                 p[0] = 1

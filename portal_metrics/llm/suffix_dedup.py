@@ -36,8 +36,10 @@ from portal_metrics.llm import common as C
 LENGTH, GRAM = 400, 64
 #: Most different stretches of an anchor that one task sorts (about 5 MB of text).
 LOCAL = 8192
+#: Bytes of text that a task hashes at a time (the arrays made of them take up to a hundred times that).
+SLICE = 256 << 10
 #: Longer texts are read in parts of this many windows.
-PART = 16 << 20
+PART = 1 << 20
 _AT = np.uint64((1 << 28) - 1)
 
 
@@ -74,13 +76,13 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
 
 
 def _parts(offsets: np.ndarray, length: int):
-    """(first row, last row, byte range, bytes before it in its row): rows together, or a part of a very long row."""
-    for i, j in C.slices(offsets):
+    """(first row, last row, [(byte range, bytes before it in its row)]): rows together, or the parts of a very long row."""
+    for i, j in C.slices(offsets, SLICE):
         if j - i == 1 and offsets[j] - offsets[i] > PART + length:
-            for s in range(int(offsets[i]), int(offsets[j]) - length + 1, PART):
-                yield i, j, s, min(int(offsets[j]), s + PART + length - 1), s - int(offsets[i])
+            yield i, j, [(s, min(int(offsets[j]), s + PART + length - 1), s - int(offsets[i]))
+                         for s in range(int(offsets[i]), int(offsets[j]) - length + 1, PART)]
         else:
-            yield i, j, int(offsets[i]), int(offsets[j]), 0
+            yield i, j, [(int(offsets[i]), int(offsets[j]), 0)]
 
 
 def all_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -88,13 +90,14 @@ def all_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def work(batches):
         for b in batches:
             data, offsets = C.text_bytes(b.column(1))
-            for i, j, s, e, skipped in _parts(offsets, length):
-                own = np.array([0, e - s]) if j - i == 1 else offsets[i:j + 1] - s
-                row, start, n, _, anchor, stretch = runs_of(data[s:e], own, length, gram)
+            for i, j, parts in _parts(offsets, length):
                 text = C.text_digest(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i).take(pa.array(row)), pa.array(text[row]), pa.array(start + skipped), pa.array(n.astype(np.int32)),
-                     pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64))], ["doc_id", "digest", "start", "n", "anchor", "stretch"])
+                for s, e, skipped in parts:
+                    own = np.array([0, e - s]) if j - i == 1 else offsets[i:j + 1] - s
+                    row, start, n, _, anchor, stretch = runs_of(data[s:e], own, length, gram)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).slice(i).take(pa.array(row)), pa.array(text[row]), pa.array(start + skipped), pa.array(n.astype(np.int32)),
+                         pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64))], ["doc_id", "digest", "start", "n", "anchor", "stretch"])
     return docs.mapInArrow(work, "doc_id long, digest long, start long, n int, anchor long, stretch long")
 
 
@@ -183,7 +186,7 @@ def repeated_intervals(docs: DataFrame, keep_first: bool, length: int = LENGTH,
         for b in batches:
             data, offsets = C.text_bytes(b.column(1))
             ids, lists = b.column(0).to_pylist(), b.column(2)
-            for i, j in C.slices(offsets):
+            for i, j in C.slices(offsets, SLICE):
                 text = C.text_digest(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0].view(np.int64)
                 out = []
                 for r in range(i, j):
