@@ -81,3 +81,52 @@ def test_coverage_counts_in_tasks_by_size(star, small_tasks):
     assert re.search(r"RepartitionByExpression \[marketingpageid#\d+, viewingcontactid#\d+\], 7", p), p
     for by in ((), ["marketingpageid"], ["newscategory"]):
         assert rows(MS.coverage(small_tasks, by=by)) == rows(MS.coverage(star, by=by))
+
+
+def shuffles(df):
+    """What the exchanges of a plan deal by, the last one first."""
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), (\d+)\)", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_context_counts_visitors_in_tasks_by_size(small_tasks, monkeypatch):
+    """Both levels count visitors in one stage of tasks set by size, after one shuffle of the (page, visitor) rows."""
+    from portal_metrics.plans import measures as MS
+    for attribute in ("contenttype", "theme", "newscategory", "websitename"):
+        seen = []
+        monkeypatch.setattr(MS, "written", lambda df, name, seen=seen: seen.append(df) or df)
+        MS.attribute_context(small_tasks, attribute)
+        assert "Expand" not in plan(seen[0])
+        by = shuffles(seen[0])
+        assert by[0][0] == f"_level, _{attribute}, _pagename" and by[1] == (f"_{attribute}, viewingcontactid, _anon", "7"), by
+        # the other shuffles of rows that hold a visitor are sized, too; the page join leaves a hot page to AQE
+        assert {n for keys, n in by if "viewingcontactid" in keys or "orderkey" in keys} == {"7"}, by
+        assert "ShuffledHashJoin" in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("tasks", [None, 5])
+def test_context_of_rows_without_visitor_or_page(spark, monkeypatch, tasks):
+    """Rows without a visitor are no visitor however they are dealt; repeated pages repeat sums; NULL details are a group."""
+    from portal_metrics.plans import measures as MS
+    from portal_metrics.plans import reports as R
+    from tests.fixtures import FACT_ROWS, PAGE_ROWS, fixture_model
+    for module in (MS, R):
+        monkeypatch.setattr(module, "tasks_for", lambda *dfs: tasks)
+    none = [(20250101 + i % 9, "Email", page, 2, None, "F", 1, 1.0, 1.0, 1, None) for i in range(40) for page in ("p1", "p2", None)]
+    m = fixture_model(spark, [*FACT_ROWS, *none, (20250103, "Email", None, 6, "u1", "F", 1, 1.0, 1.0, 1, None)],
+                      pages=[*PAGE_ROWS, PAGE_ROWS[0], dict(PAGE_ROWS[1], pagename="Other name")])
+    w = [r.asDict() for r in m.fact.join(m.page_inventory, "marketingpageid", "left").collect()]
+    for attribute, detail in (("contenttype", "pagename"), ("theme", "marketingpageid")):
+        label = lambda r, c: r[c] if c == "marketingpageid" else r[c] or "Unknown"
+
+        def value(rows):
+            views = sum(r["views"] for r in rows)
+            liked = sum(r["marketingpageidliked"] not in (None, "") for r in rows)
+            return len({r["viewingcontactid"] for r in rows} - {None}), 100 * (liked + sum(r["comments"] or 0 for r in rows)) / views if views else 0.0
+
+        want = set()
+        for a, d in {(label(r, attribute), label(r, detail)) for r in w}:
+            fine = value([r for r in w if (label(r, attribute), label(r, detail)) == (a, d)])
+            want.add((a, d, *fine, *value([r for r in w if label(r, attribute) == a])))
+        got = MS.attribute_context(m, attribute, detail).collect()
+        assert len(got) == len(want)
+        assert {(r[0], r[1], r[2], pytest.approx(r[3]), r[4], pytest.approx(r[5])) == x for r in got for x in want if r[:2] == x[:2]} == {True}
