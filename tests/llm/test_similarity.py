@@ -153,6 +153,50 @@ def test_suffix_dedup_names_the_documents_that_share(spark, texts, local):
     assert all(x in held for shared in got.values() for x in shared)
 
 
+@pytest.mark.parametrize("local", [suffix_dedup.LOCAL, 1])
+def test_suffix_dedup_names_the_documents_with_common_passages(spark, texts, local):
+    """Passages below 400 bytes, at starts, inside and at ends of texts: named, and no byte of them removed."""
+    rng = random.Random(9)
+    short = [sentence(rng, 60)[:n] for n in (257, 300, 399)]
+    long, own = sentence(rng, 110), sentence(rng, 60)[:300]
+    assert all(suffix_dedup.PASSAGE <= len(x) < 400 for x in (*short, own))
+    rows = [(i, t) for i, t in dict(texts).items() if t]
+    rows += [(100, short[0] + sentence(rng, 40)), (101, sentence(rng, 30) + short[0]), (102, sentence(rng, 9) + short[1] + sentence(rng, 90)),
+             (103, short[1]), (104, sentence(rng, 7) + long + short[2]), (105, long[1:] + sentence(rng, 3)), (106, sentence(rng, 20) + short[2] + sentence(rng, 50)),
+             (107, own + sentence(rng, 30) + own), (108, sentence(rng, 120)), (109, short[0][:255] + "#"), (110, short[1])]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), keep_first=False, local=local, passage=suffix_dedup.PASSAGE).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == suffix_brute(rows)
+    for size, column in ((400, "shared_with"), (suffix_dedup.PASSAGE, "passages_with")):
+        named = {r.doc_id: set(r[column]) for r in got}
+        held = {i: {t.encode()[k:k + size] for k in range(len(t.encode()) - size + 1)} for i, t in rows}
+        common = {(i, j) for i in held for j in held if i < j and held[i] & held[j]}
+        root = {i: i for i in held}
+        for _ in held:
+            for i in held:
+                for j in held:
+                    if i != j and named[i] & named[j]:
+                        root[i] = root[j] = min(root[i], root[j])
+        assert all(root[i] == root[j] for i, j in common)
+        assert {i for i in held if named[i]} == {i for pair in common for i in pair}
+    assert {r.doc_id for r in got if r.doc_id >= 100 and r.passages_with} == {100, 101, 102, 103, 104, 105, 106, 110}
+
+
+def test_parts_of_a_long_text_have_each_window_once(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE", 500)
+    monkeypatch.setattr(suffix_dedup, "PART", 700)
+    data = np.random.default_rng(3).integers(97, 123, 5000).astype(np.uint8)
+    offsets = np.array([0, 300, 4700, 5000])
+    found = Counter()
+    for i, j, parts in suffix_dedup._parts(offsets, 100, 160):
+        for s, e, skipped in parts:
+            own = np.array([0, e - s]) if j - i == 1 else offsets[i:j + 1] - s
+            row, start, n, _, _, _, size = suffix_dedup.runs_of(data[s:e], own, 100, 16, 160, suffix_dedup.PART if len(parts) > 1 else None)
+            for r, a, m, z in zip(row, start + skipped, n, size, strict=True):
+                found.update((i + r, a + k) for k in range(m))
+                assert z == min(m - 1 + 160, offsets[i + r + 1] - offsets[i + r] - a)
+    assert found == Counter((r, k) for r in range(3) for k in range(int(offsets[r + 1] - offsets[r]) - 99))
+
+
 @pytest.mark.parametrize("local", [suffix_dedup.LOCAL, 1])
 def test_suffix_dedup_keeps_the_first(docs, texts, local):
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs, keep_first=True, local=local).where("doc_id in (4, 5, 8, 9)").collect()}
